@@ -44,8 +44,9 @@ def strict_median(value: Column) -> Column:
 
 def iqr(value: Column) -> Column:
     """Interquartile range with linear interpolation; NULL when any value is missing."""
-    quartiles = F.percentile(value, F.array(F.lit(0.25), F.lit(0.75)))
-    return F.when(F.count(F.lit(1)) == F.count(value), quartiles[1] - quartiles[0])
+    present = nan_to_null(value)
+    quartiles = F.percentile(present, F.array(F.lit(0.25), F.lit(0.75)))
+    return F.when(F.count(F.lit(1)) == F.count(present), quartiles[1] - quartiles[0])
 
 
 def ratio(numerator: Column, denominator: Column) -> Column:
