@@ -7,12 +7,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from freshet.functions.maths import SQRT_EPSILON
 from freshet.operators.flow_models import bind_parameters, score, without_carbon
-from freshet.operators.quality import covered_series, extents, row_mismatches
 from freshet.operators.series import Series, assign_segments, positions, valid_runs
 from freshet.operators.transforms import log_sinh_inverse
 from freshet.plans.rain import RATIO
@@ -79,22 +78,30 @@ def aligned_series(
     end: int = 2014,
     short_below: int = 50,
 ) -> DataFrame:
-    """Model and observed series of one common period, after the coverage and row-count checks."""
+    """Model and observed series of one common period.
+
+    Kept are the model series that start by ``start``, end in ``end`` and reach into the observed
+    period, unless their row count differs from the observed one and is below ``short_below``.
+    The listed (year, gauge) pairs are left out of every series. The facts of a series come from
+    windows over it, so the prepared rain is read once.
+    """
     observed = observed.where(F.col("year") <= end)
-    observed_extent = extents(observed, ["gauge"], "year", "GCM_start_year", "GCM_end_year").select(
-        "gauge", F.lit(OBSERVED).alias("GCM"), F.lit(OBSERVED).alias("ensemble_id"), "GCM_start_year", "GCM_end_year"
+    is_observed, by_series = F.col("GCM") == OBSERVED, Window.partitionBy(*MODEL_KEYS)
+    facts = observed.groupBy("gauge").agg(
+        F.min("year").alias("__obs_start"),
+        F.nullif(F.count_if(F.col("year") >= start), F.lit(0)).alias("__obs_count"),
     )
-    kept = covered_series(prepared, observed, start, end).unionByName(observed_extent)
     stacked = prepared.drop("warm_season", "cool_season").unionByName(as_model_series(observed))
-    within = (
-        attach_observed(stacked.where(F.col("year") >= start), observed)
-        .withColumnRenamed("annual_scaled_hist_nat_rainfall", "p_mm")
-        .join(kept.select(*MODEL_KEYS), list(MODEL_KEYS), "left_semi")
-    )
-    short = row_mismatches(within, F.col("GCM") == OBSERVED, short_below)
-    return within.join(short.select(*MODEL_KEYS), list(MODEL_KEYS), "left_anti").join(
-        excluded, ["year", "gauge"], "left_anti"
-    )
+    spans = stacked.withColumns({"__first": F.min("year").over(by_series), "__last": F.max("year").over(by_series)})
+    spans = spans.where(is_observed | ((F.col("__first") <= start) & (F.col("__last") == end)))
+    common = spans.where(F.col("year") >= start).withColumn("__count", F.count(F.lit(1)).over(by_series))
+    known = common.join(facts, "gauge")
+    reaches = F.col("__last") > F.col("__obs_start")
+    short = (F.col("__count") != F.col("__obs_count")) & (F.col("__count") < short_below)
+    kept = known.where(is_observed | (reaches & ~F.coalesce(short, F.lit(False))))
+    clean = kept.join(excluded, ["year", "gauge"], "left_anti")
+    dated = attach_observed(clean, observed).withColumnRenamed("annual_scaled_hist_nat_rainfall", "p_mm")
+    return dated.select("year", *MODEL_KEYS, "p_mm", RATIO, "q_mm", "drought", "CO2")
 
 
 def observed_runs(aligned: DataFrame, minimum: int = 2) -> DataFrame:

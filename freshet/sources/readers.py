@@ -13,17 +13,15 @@ from freshet.operators.quality import require_schema
 from freshet.sources.schemas import wide_run
 
 
-def read_csv(
-    spark: SparkSession, paths: str | Sequence[str], schema: StructType, check_header: bool = True
-) -> DataFrame:
+def read_csv(spark: SparkSession, paths: str | Sequence[str], schema: StructType) -> DataFrame:
     """CSV files with a header and ``NA`` for missing values, under a declared schema.
 
-    The header of every file is checked against the schema, unless partition columns come from
-    the directory names.
+    The header of every file is checked against the schema. Columns kept in partition directories
+    are not part of it; Spark adds them.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     return spark.read.schema(schema).csv(
-        paths, header=True, nullValue="NA", enforceSchema=not check_header, mode="FAILFAST"
+        paths, header=True, nullValue="NA", enforceSchema=False, mode="FAILFAST"
     )
 
 
@@ -47,12 +45,8 @@ def read_model_runs(
     ``run_name`` replaces the file name where the name is kept elsewhere, such as in a
     partition directory.
     """
-    schema = wide_run(width)
-    if run_name is None:
-        df, run_name = read_csv(spark, directories, schema), F.col("_metadata.file_name")
-    else:
-        df = read_csv(spark, directories, schema.add("run", "string"), check_header=False)
-    fields = run_fields(run_name)
+    df = read_csv(spark, directories, wide_run(width))
+    fields = run_fields(F.col("_metadata.file_name") if run_name is None else run_name)
     tags = ("GCM", "ensemble_id", "experiment", "realisation", "date_range")
     values = [f"V{i}" for i in range(1, width + 1)]
     return df.select(*[fields[t].alias(t) for t in tags], "time_sum", *values)

@@ -301,8 +301,8 @@ _REGENERATED_KEYS = 'gauge, "GCM", ensemble_id, segment_id'
                a.ratio AS seasonal_ratio
         FROM (SELECT *, row_number() OVER (PARTITION BY gauge, "GCM", ensemble_id ORDER BY year) AS position FROM aligned) a
         JOIN runs r ON r.gauge = a.gauge AND a.position BETWEEN r.start_index AND r.end_index),
-    terms AS ({model_terms("segments", "models_carbon", _REGENERATED_KEYS, "year", "precipitation", 0.0)}),
-    scores AS ({model_scores("terms", _REGENERATED_KEYS)})
+    with_terms AS ({model_terms("segments", "models_carbon", _REGENERATED_KEYS, "year", "precipitation", 0.0)}),
+    scores AS ({model_scores("with_terms", _REGENERATED_KEYS)})
     SELECT s.gauge, s."GCM", s.ensemble_id, s.t AS year, round(g.precipitation, 4) AS precipitation,
            round(g.q_mm, 6) AS observed_streamflow, g.is_drought_year, g."CO2", round(g.seasonal_ratio, 6) AS seasonal_ratio,
            round(s.transformed_streamflow, 4) AS transformed_streamflow,

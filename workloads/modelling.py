@@ -132,8 +132,8 @@ _MONTHLY_SQL = """
 @query(
     "m_auto",
     f"""
-    , terms AS ({model_terms(_MONTHLY_SQL, "models_auto", "gauge", "t", "precipitation")}),
-    scores AS ({model_scores("terms", "gauge")})
+    , with_terms AS ({model_terms(_MONTHLY_SQL, "models_auto", "gauge", "t", "precipitation")}),
+    scores AS ({model_scores("with_terms", "gauge")})
     SELECT gauge, t, round(transformed_streamflow, 6) AS transformed_streamflow FROM scores""",
     "flow_monthly",
     "models_auto",
@@ -170,8 +170,8 @@ _SEGMENTS_SQL = """
 def _score_sql(models: str, carbon: float = 1.0) -> str:
     terms = model_terms(_SEGMENTS_SQL, models, "gauge, segment_id", "year", "precipitation", carbon)
     return f"""
-    , terms AS ({terms}),
-    scores AS ({model_scores("terms", "gauge, segment_id")})
+    , with_terms AS ({terms}),
+    scores AS ({model_scores("with_terms", "gauge, segment_id")})
     SELECT gauge, segment_id, t AS year, round(transformed_streamflow, 6) AS transformed_streamflow FROM scores"""
 
 
@@ -195,8 +195,8 @@ def m_counterfactual(t: Tables) -> DataFrame:
     f"""
     , sets AS (SELECT * REPLACE (a1 * f AS a1), s AS param_set_id
                FROM models_all, (VALUES (1, 1.0::DOUBLE), (2, 1.5::DOUBLE), (3, 2.0::DOUBLE)) v(s, f)),
-    terms AS ({model_terms(_SEGMENTS_SQL, "sets", "gauge, segment_id, param_set_id", "year", "precipitation")}),
-    scores AS ({model_scores("terms", "gauge, segment_id, param_set_id")})
+    with_terms AS ({model_terms(_SEGMENTS_SQL, "sets", "gauge, segment_id, param_set_id", "year", "precipitation")}),
+    scores AS ({model_scores("with_terms", "gauge, segment_id, param_set_id")})
     SELECT gauge, segment_id, param_set_id, t AS year, round(transformed_streamflow, 6) AS transformed_streamflow
     FROM scores""",
     "obs_yearly",
@@ -219,13 +219,13 @@ def m_param_sets(t: Tables) -> DataFrame:
     "m_registry",
     """
     SELECT 'streamflow_model_' || CASE WHEN has_drought THEN 'drought_' ELSE '' END
-           || CASE co2 WHEN 0 THEN 'precip' WHEN 1 THEN 'intercept_shifted_CO2' ELSE 'slope_shifted_CO2' END
+           || CASE co2_kind WHEN 0 THEN 'precip' WHEN 1 THEN 'intercept_shifted_CO2' ELSE 'slope_shifted_CO2' END
            || CASE WHEN has_ratio THEN '_seasonal_ratio' ELSE '' END || CASE WHEN has_auto THEN '_auto' ELSE '' END
-           || CASE WHEN co2 = 0 AND NOT has_ratio AND NOT has_auto THEN '_only' ELSE '' END AS streamflow_model,
+           || CASE WHEN co2_kind = 0 AND NOT has_ratio AND NOT has_auto THEN '_only' ELSE '' END AS streamflow_model,
            has_drought, has_ratio, has_auto,
            CASE WHEN has_drought THEN 'a0_d a0_n' ELSE 'a0' END || ' a1' || CASE WHEN has_auto THEN ' a2' ELSE '' END
-           || CASE co2 WHEN 0 THEN '' WHEN 1 THEN ' a3_intercept' ELSE ' a3_slope' END
-           || CASE WHEN has_ratio THEN ' a4' ELSE '' END || CASE WHEN co2 > 0 THEN ' a5' ELSE '' END AS parameters,
+           || CASE co2_kind WHEN 0 THEN '' WHEN 1 THEN ' a3_intercept' ELSE ' a3_slope' END
+           || CASE WHEN has_ratio THEN ' a4' ELSE '' END || CASE WHEN co2_kind > 0 THEN ' a5' ELSE '' END AS parameters,
            count(*) AS n_gauges
     FROM models_all GROUP BY ALL""",
     "models_all",

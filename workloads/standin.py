@@ -78,7 +78,7 @@ class Tables:
             F.year(date).alias("year"),
             F.month(date).alias("month"),
             F.dayofmonth(date).alias("day"),
-            (F.col("o_totalprice") / 1000).alias("precipitation_mm"),
+            (F.col("o_totalprice") / 7000).alias("precipitation_mm"),
             F.col("o_orderstatus").alias("status"),
         )
 
@@ -121,10 +121,10 @@ class Tables:
         rain = F.col("precipitation_mm")
         total = F.sum(rain)
         yearly = self.rain_obs.groupBy("gauge", "year").agg(
-            (total / 100).alias("p_mm"),
+            (total / 10).alias("p_mm"),
             F.when(
                 F.avg((F.col("status") == "P").cast("double")) <= 0.42,
-                F.sum(F.when(F.col("status") == "F", rain).otherwise(F.lit(0.0))) / 100,
+                F.sum(F.when(F.col("status") == "F", rain).otherwise(F.lit(0.0))) / 10,
             ).alias("q_mm"),
             (F.count(F.lit(1)) < 20).alias("drought"),
             (F.sum(F.when(warm, rain).otherwise(F.lit(0.0))) / total - 0.5).alias(RATIO),
@@ -138,7 +138,7 @@ class Tables:
             F.sum("precipitation_mm").alias("realspace_streamflow")
         )
         observed = self.rain_obs.groupBy("gauge", "year").agg(
-            (F.sum("precipitation_mm") / 15).alias("realspace_streamflow")
+            (F.sum("precipitation_mm") / 2).alias("realspace_streamflow")
         )
         return models.unionByName(
             observed.withColumns({"GCM": F.lit("observed"), "ensemble_id": F.lit("observed")})
@@ -152,7 +152,7 @@ class Tables:
             F.struct(F.lit("first").alias("streamflow_model"), F.lit(0.8).alias("f")),
             F.struct(F.lit("second").alias("streamflow_model"), F.lit(0.9).alias("f")),
         )
-        flow = F.col("s") / 15 * (F.col("f") + F.lit(0.05) * (F.col("year") % 3))
+        flow = F.col("s") / 2 * (F.col("f") + F.lit(0.05) * (F.col("year") % 3))
         return yearly.select("gauge", "year", "s", F.inline(models)).select(
             "gauge", "streamflow_model", "year", flow.alias("realspace_modelled_streamflow")
         )
@@ -229,7 +229,7 @@ class Tables:
     @cached_property
     def evaporation(self) -> DataFrame:
         date = F.to_date("l_shipdate")
-        size = F.col("l_extendedprice") / 6000 * (1 + F.col("l_suppkey") % 10)
+        size = F.col("l_extendedprice") / 60000 * (1 + F.col("l_suppkey") % 10)
         return self.raw("lineitem").select(
             F.year(date).alias("year"),
             F.month(date).alias("month"),
@@ -250,7 +250,7 @@ def _parameter_columns() -> str:
 
 
 _PARTS_SQL = """
-SELECT k, gauge, idx, (idx // 12) = 1 AS has_drought, (idx // 4) % 3 AS co2, (idx // 2) % 2 = 1 AS has_ratio,
+SELECT k, gauge, idx, (idx // 12) = 1 AS has_drought, (idx // 4) % 3 AS co2_kind, (idx // 2) % 2 = 1 AS has_ratio,
        idx % 2 = 1 AS has_auto, %s
 FROM (SELECT s_suppkey AS k, CAST(s_suppkey AS VARCHAR) AS gauge, %s AS idx FROM supplier)
 """
@@ -276,7 +276,7 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
         """
         SELECT CAST(o_custkey % (SELECT count(*) FROM supplier) AS VARCHAR) AS gauge,
                CAST(year(o_orderdate) AS INTEGER) AS year, CAST(month(o_orderdate) AS INTEGER) AS month,
-               CAST(day(o_orderdate) AS INTEGER) AS day, o_totalprice / 1000 AS precipitation_mm,
+               CAST(day(o_orderdate) AS INTEGER) AS day, o_totalprice / 7000 AS precipitation_mm,
                o_orderstatus AS status
         FROM orders""",
     ),
@@ -365,9 +365,9 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
     "obs_yearly": (
         ("rain_obs",),
         """
-        SELECT year, gauge, sum(precipitation_mm) / 100 AS p_mm,
+        SELECT year, gauge, sum(precipitation_mm) / 10 AS p_mm,
                CASE WHEN avg(CASE WHEN status = 'P' THEN 1.0 ELSE 0.0 END) <= 0.42
-                    THEN sum(CASE WHEN status = 'F' THEN precipitation_mm ELSE 0 END) / 100
+                    THEN sum(CASE WHEN status = 'F' THEN precipitation_mm ELSE 0 END) / 10
                          + 1.4901161193847656e-08 END AS q_mm,
                count(*) < 20 AS drought,
                CAST(290.0 + 4 * (year - 1995) AS DOUBLE) AS "CO2",
@@ -382,12 +382,12 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
                sum(precipitation_mm) AS realspace_streamflow
         FROM rain_model GROUP BY 1, 2, 3, 4
         UNION ALL
-        SELECT gauge, 'observed', 'observed', year, sum(precipitation_mm) / 15 FROM rain_obs GROUP BY gauge, year""",
+        SELECT gauge, 'observed', 'observed', year, sum(precipitation_mm) / 2 FROM rain_obs GROUP BY gauge, year""",
     ),
     "fitted": (
         ("rain_obs",),
         """
-        SELECT gauge, streamflow_model, year, s / 15 * (f + 0.05 * (year % 3)) AS realspace_modelled_streamflow
+        SELECT gauge, streamflow_model, year, s / 2 * (f + 0.05 * (year % 3)) AS realspace_modelled_streamflow
         FROM (SELECT gauge, year, sum(precipitation_mm) AS s FROM rain_obs GROUP BY gauge, year),
              (VALUES ('first', 0.8::DOUBLE), ('second', 0.9::DOUBLE)) v(streamflow_model, f)""",
     ),
@@ -487,7 +487,7 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
         """
         SELECT CAST(year(l_shipdate) AS INTEGER) AS year, CAST(month(l_shipdate) AS INTEGER) AS month,
                CAST(day(l_shipdate) AS INTEGER) AS day, CAST(l_suppkey AS VARCHAR) AS gauge,
-               l_extendedprice / 6000 * (1 + l_suppkey % 10) AS "APET_mm"
+               l_extendedprice / 60000 * (1 + l_suppkey % 10) AS "APET_mm"
         FROM lineitem""",
     ),
     "aridity": (
@@ -540,7 +540,7 @@ def model_terms(source: str, models: str, keys: str, t: str, carry: str, carbon:
     return f"""
         SELECT {keys}, {t} AS t, {carry}, a2, b, has_auto, {base} AS base,
                {base}
-               + CASE co2 WHEN 1 THEN {carbon} * a3_intercept * {excess}
+               + CASE co2_kind WHEN 1 THEN {carbon} * a3_intercept * {excess}
                           WHEN 2 THEN {carbon} * a3_slope * precipitation * {excess} ELSE 0 END
                + CASE WHEN has_ratio THEN a4 * seasonal_ratio ELSE 0 END AS c
         FROM {source} JOIN {models} USING (gauge)"""
@@ -550,14 +550,16 @@ def model_scores(terms: str, keys: str) -> str:
     """SQL text: closed form of the recursion, by a self-join inside each segment."""
     on = " AND ".join(f"x.{k.strip()} = y.{k.strip()}" for k in keys.split(","))
     group = ", ".join(f"x.{k.strip()}" for k in keys.split(","))
+    same = f"OVER (PARTITION BY {keys})"
+    mu = f"CASE WHEN count(*) {same} = count(base) {same} THEN avg(base) {same} END"
     return f"""
         SELECT {group}, x.t,
                CASE WHEN any_value(x.has_auto)
                     THEN any_value(x.mu) + sum(power(x.a2, x.n - y.n) * (y.c - y.mu))
                     ELSE any_value(x.c) END AS transformed_streamflow
-        FROM (SELECT *, avg(base) OVER (PARTITION BY {keys}) AS mu,
+        FROM (SELECT *, {mu} AS mu,
                      row_number() OVER (PARTITION BY {keys} ORDER BY t) AS n FROM {terms}) x
-        JOIN (SELECT *, avg(base) OVER (PARTITION BY {keys}) AS mu,
+        JOIN (SELECT *, {mu} AS mu,
                      row_number() OVER (PARTITION BY {keys} ORDER BY t) AS n FROM {terms}) y
           ON {on} AND y.n <= x.n
         GROUP BY {group}, x.t"""

@@ -268,7 +268,7 @@ def a_histogram(t: Tables) -> DataFrame:
 @query(
     "a_facet_extent",
     """
-    SELECT row_number() OVER (ORDER BY "GCM") AS row_number, "GCM", round(left_x + left_x * 0.1, 6) AS xlab,
+    SELECT row_number() OVER (ORDER BY "GCM") AS row_number, "GCM", round(left_x + left_x * 0.1::DOUBLE, 6) AS xlab,
            round(CASE WHEN h > 0 THEN h + h * 0.05 ELSE h - h * 0.05 END, 6) AS ylab, round(low, 6) AS min_ylab,
            round(top - low, 6) AS range_ylab, chr(CAST(64 + row_number() OVER (ORDER BY "GCM") AS INTEGER)) AS label_name
     FROM (SELECT *, CASE WHEN abs(top - low) > 100 AND abs(top) < 10 THEN -10
@@ -320,12 +320,12 @@ def a_any_drought(t: Tables) -> DataFrame:
 @query(
     "a_label_list",
     """
-    SELECT split, CASE WHEN n = 1 THEN g[1] || ' (A).' ELSE
-        array_to_string(list_transform(g[1:n-1], (x, i) -> x || ' (' || chr(CAST(64 + i AS INTEGER)) || ')'), ', ') || ' and '
-        || g[n] || ' (' || chr(CAST(64 + n AS INTEGER)) || ').' END AS caption
-    FROM (SELECT split, list(gauge ORDER BY gauge) AS g, count(*) AS n
-          FROM (SELECT gauge, CAST(ceil(row_number() OVER (ORDER BY gauge) / 7) AS INTEGER) AS split
-                FROM (SELECT DISTINCT gauge FROM rain_model)) GROUP BY split)""",
+    SELECT split, coalesce(string_agg(labelled, ', ' ORDER BY i) FILTER (i < n) || ' and ', '')
+                  || max(labelled) FILTER (i = n) || '.' AS caption
+    FROM (SELECT split, gauge || ' (' || chr(CAST(64 + i AS INTEGER)) || ')' AS labelled, i, max(i) OVER (PARTITION BY split) AS n
+          FROM (SELECT gauge, CAST(ceil(p / 7) AS INTEGER) AS split, (p - 1) % 7 + 1 AS i
+                FROM (SELECT gauge, row_number() OVER (ORDER BY gauge) AS p
+                      FROM (SELECT DISTINCT gauge FROM rain_model)))) GROUP BY split""",
     "rain_model",
 )
 def a_label_list(t: Tables) -> DataFrame:

@@ -58,7 +58,7 @@ def _wide_run_rows(t: Tables) -> DataFrame:
     rows = t.raw("lineitem").groupBy(name.alias("run"), month.alias("month")).agg(*values)
     offset = F.date_diff("month", F.to_date(F.lit("1995-01-01"))).cast("double")
     flux = {f"V{i}": F.col(f"V{i}") / 1e6 for i in range(1, 8)}
-    return rows.withColumns({"time_sum": offset, **flux}).drop("month")
+    return rows.select("run", offset.alias("time_sum"), *[c.alias(n) for n, c in flux.items()])
 
 
 _WIDE_RUNS_SQL = """
@@ -258,7 +258,7 @@ def p_filename(t: Tables) -> DataFrame:
     """
     SELECT year, gauge, drought, CASE WHEN drought THEN 'dry' WHEN NOT drought THEN 'other' END AS state,
            CASE WHEN year BETWEEN 1995 AND 1997 THEN 1 WHEN year BETWEEN 1999 AND 2001 THEN 2 END AS decade,
-           CASE WHEN p_mm > 60 THEN 'high' WHEN p_mm > 40 THEN 'middle' END AS class
+           CASE WHEN p_mm > 90 THEN 'high' WHEN p_mm > 60 THEN 'middle' END AS class
     FROM obs_yearly WHERE q_mm IS NOT NULL""",
     "obs_yearly",
 )
@@ -271,7 +271,7 @@ def p_case(t: Tables) -> DataFrame:
         "drought",
         F.when(F.col("drought"), F.lit("dry")).otherwise(F.lit("other")).alias("state"),
         decade_of(F.col("year"), ((1, 1995, 1997), (2, 1999, 2001))).alias("decade"),
-        F.when(F.col("p_mm") > 60, F.lit("high")).when(F.col("p_mm") > 40, F.lit("middle")).alias("class"),
+        F.when(F.col("p_mm") > 90, F.lit("high")).when(F.col("p_mm") > 60, F.lit("middle")).alias("class"),
     )
 
 
@@ -651,7 +651,7 @@ def e_string(t: Tables) -> DataFrame:
     """
     SELECT date, CAST(year(date) AS INTEGER) AS year, CAST(month(date) AS INTEGER) AS month,
            CAST(day(last_day(date)) AS INTEGER) AS days, CAST(date + 31 AS DATE) AS later,
-           round(0.00001 * 86400 * day(last_day(date)), 6) AS mm, DATE '1995-01-01' AS origin,
+           round(0.00001::DOUBLE * 86400 * day(last_day(date)), 6) AS mm, DATE '1995-01-01' AS origin,
            CAST(CASE WHEN year(date) BETWEEN 1990 AND 1999 THEN 1 WHEN year(date) BETWEEN 2005 AND 2014 THEN 2 END AS INTEGER) AS decade,
            count(*) AS n_rows
     FROM rain_model GROUP BY date""",
