@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.window import WindowSpec
 
-from freshet.session import cut
+from freshet.session import stored
 
 # Rows per array when a run is expanded, and smallest span of a positional chunk.
 SPAN = 4096
@@ -190,6 +190,19 @@ def assign_segments(rows: DataFrame, runs: DataFrame, keys: Sequence[str], posit
     return rows.join(tagged.withColumnRenamed("position", position), [*keys, position], "inner")
 
 
+def own_segments(df: DataFrame, series: Series, column: str, minimum: int = 1) -> DataFrame:
+    """Rows of the stretches of non-null ``column``, tagged with the position of their first row.
+
+    The same rows as ``valid_runs`` joined back on position, in one pass. For calendar series.
+    """
+    marked = islands(df, series, F.col(column).isNotNull())
+    stretch = Window.partitionBy(*series.keys, "island")
+    tagged = marked.withColumns(
+        {"segment_id": F.min("position").over(stretch), "__length": F.count(F.lit(1)).over(stretch)}
+    )
+    return tagged.where(F.col(column).isNotNull() & (F.col("__length") >= minimum)).drop("island", "__length")
+
+
 def rolling(
     df: DataFrame,
     series: Series,
@@ -235,11 +248,11 @@ def centred(df: DataFrame, keys: Sequence[str], value: Column, name: str) -> Dat
 def global_positions(df: DataFrame, order: Sequence[str], name: str = "position") -> DataFrame:
     """1-based row number over the whole table without a single-task window.
 
-    Rows are range-partitioned and sorted, the layout is pinned by a checkpoint, and the row
+    Rows are range-partitioned and sorted, the layout is pinned by a written table, and the row
     counts per partition (one small row each) give every partition its offset.
     """
     ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
-    pinned = cut(ranged.withColumn("__id", F.monotonically_increasing_id()))
+    pinned = stored(ranged.withColumn("__id", F.monotonically_increasing_id()), "ranged")
     pinned = pinned.withColumn("__part", F.shiftright("__id", 33))
     counts = pinned.groupBy("__part").agg(F.count(F.lit(1)).alias("__rows"))
     offsets = counts.select(

@@ -116,11 +116,10 @@ def period_effects(table: DataFrame, gauges: DataFrame, period: tuple[int, int]
     return decompose(_sums(within, ["gauge"])).join(gauges, "gauge", "left")
 
 
-def signed_share() -> Column:
+def signed_share(total: Column, partitioning: Column, hist_nat: Column) -> Column:
     """Total effect over the counterfactual flow; negative for a loss of flow."""
-    share = ratio(F.col("total_effect"), F.col("sum_counterfactual_hist_nat"))
-    gain = F.col("total_effect") < F.col("partitioning_effect")
-    return F.when(gain, share).when(~gain, -share)
+    share = ratio(total, hist_nat)
+    return F.when(total < partitioning, share).when(total >= partitioning, -share)
 
 
 def with_uncertainty(
@@ -128,31 +127,27 @@ def with_uncertainty(
 ) -> DataFrame:
     """Interquartile range over models of the relative effect and of the signed percentage.
 
-    Every model year of the decade counts here, also years without the other two scenarios.
+    Every model year of the decade counts here, also years without the other two scenarios. The
+    effects meet the few models of their gauge and decade once and are folded back in the same
+    aggregate, so neither table is read twice.
     """
-    medians = ensemble_medians(flow.withColumn("__decade", decade_of(F.col("year"), spans)).where("__decade IS NOT NULL"))
+    decade = decade_of(F.col("year"), spans)
     per_model = (
-        medians.withColumn("decade", decade_of(F.col("year"), spans))
-        .groupBy("decade", "gauge", "GCM")
-        .agg(strict_sum(F.col("median_ensemble_realspace_streamflow")).alias("sum_counterfactual_hist_nat"))
+        ensemble_medians(flow.where(decade.isNotNull()))
+        .groupBy(decade.alias("decade"), "gauge", "GCM")
+        .agg(strict_sum(F.col("median_ensemble_realspace_streamflow")).alias("__hist_nat"))
+        .drop("GCM")
     )
-    joined = per_model.join(effects.select("gauge", "decade", "sum_counterfactual_obs", "sum_CO2_obs"), ["decade", "gauge"], "left")
-    parts = joined.withColumns(
-        {
-            "total_effect": F.abs(F.col("sum_counterfactual_hist_nat") - F.col("sum_CO2_obs")),
-            "partitioning_effect": F.abs(F.col("sum_counterfactual_obs") - F.col("sum_CO2_obs")),
-        }
-    )
-    relative = smaller_over_larger(F.col("partitioning_effect"), F.col("total_effect"))
-    spread = (
-        parts.withColumns({"__relative": relative, "__percent": signed_share() * 100})
-        .groupBy("gauge", "decade")
-        .agg(
-            iqr(F.col("__relative")).alias("range_relative_rainfall_effect"),
-            iqr(F.col("__percent")).alias("range_total_CC_percentage_effect"),
-        )
+    joined = effects.join(per_model, ["gauge", "decade"], "left")
+    total = F.abs(F.col("__hist_nat") - F.col("sum_CO2_obs"))
+    part = F.abs(F.col("sum_counterfactual_obs") - F.col("sum_CO2_obs"))
+    percent = signed_share(total, part, F.col("__hist_nat")) * 100
+    rest = [c for c in effects.columns if c not in ("gauge", "decade")]
+    return joined.groupBy("gauge", "decade").agg(
+        *[F.first(c).alias(c) for c in rest],
+        iqr(smaller_over_larger(part, total)).alias("range_relative_rainfall_effect"),
+        iqr(percent).alias("range_total_CC_percentage_effect"),
     )
-    return effects.join(spread, ["gauge", "decade"], "left")
 
 
 def effect_series(table: DataFrame) -> DataFrame:
@@ -175,7 +170,8 @@ def total_percent(effects: DataFrame) -> DataFrame:
     """Signed share of the total change and its rain and partitioning parts."""
     share = F.col("total_effect_CC_percent")
     relative = F.col("relative_rainfall_effect")
-    return effects.withColumn("total_effect_CC_percent", signed_share()).withColumns(
+    signed = signed_share(F.col("total_effect"), F.col("partitioning_effect"), F.col("sum_counterfactual_hist_nat"))
+    return effects.withColumn("total_effect_CC_percent", signed).withColumns(
         {"rainfall_effect_CC_percent": relative * share, "partitioning_effect_CC_percent": (1 - relative) * share}
     )
 

@@ -37,7 +37,6 @@ def shared_folder(spark: SparkSession) -> str:
     app = context.applicationId
     if app not in _LOCAL_FOLDERS:
         _LOCAL_FOLDERS[app] = tempfile.mkdtemp(prefix="freshet-")
-        context.setCheckpointDir(_LOCAL_FOLDERS[app])
     return _LOCAL_FOLDERS[app]
 
 
@@ -45,7 +44,12 @@ def new_table_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the checkpoint folder and go on from the written copy."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint()
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once to the shared folder and go on from the written table.
+
+    For a table that several branches of a plan read: the raw rows behind it are then read once,
+    and a lost executor costs a read of the table, not the work before it.
+    """
+    path = new_table_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -224,7 +224,7 @@ def _aligned(t: Tables) -> DataFrame:
     """Gauges with strong evidence, aligned over the years of the driver's tables."""
     strong = rain.gauges_with_evidence(t.fits, 3.0)
     prepared = rain.prepared_rain(smoothed_rows(t).join(strong, "gauge", "left_semi"))
-    observed = t.obs_yearly.join(strong, "gauge", "left_semi")
+    observed = t.obs_table.join(strong, "gauge", "left_semi")
     excluded = flow.excluded_years(t.spark, [(1997, "1"), (1999, "12"), (2000, "25")])
     return flow.aligned_series(prepared, observed, excluded, START_YEAR + 1, END_YEAR, _SHORT)
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from freshet.operators.flow_models import bind_parameters, registry, score, without_carbon
-from freshet.operators.series import Series, assign_segments, positions, valid_runs
+from freshet.operators.series import Series, own_segments
 from freshet.operators.transforms import (
     TRANSFORMS,
     boxcox,
@@ -146,9 +146,7 @@ def m_auto(t: Tables) -> DataFrame:
 
 def yearly_segments(t: Tables) -> DataFrame:
     """Observed yearly rows of each contiguous stretch of flow."""
-    series = Series(("gauge",), ("year",))
-    runs = valid_runs(t.obs_yearly, series, "q_mm", 2)
-    return assign_segments(positions(t.obs_yearly, series), runs, ["gauge"]).select(
+    return own_segments(t.obs_yearly, Series(("gauge",), ("year",)), "q_mm", 2).select(
         "gauge",
         "segment_id",
         "year",

@@ -19,7 +19,7 @@ from freshet.operators.series import (
 )
 from freshet.plans import rain
 from workloads.registry import query
-from workloads.standin import ROLL, Tables
+from workloads.standin import ROLL, Tables, minute_of
 from workloads.tidy import rounded
 
 EVENTS = Series(("gauge",), ("ts", "event_id"), "block")
@@ -168,7 +168,7 @@ def w_diff(t: Tables) -> DataFrame:
         "ts",
         "event_id",
         "value",
-        F.date_trunc("minute", "ts").alias("block"),
+        minute_of("ts").alias("block"),
     )
     return rounded(differences(rows, EVENTS, "value", "change").select("gauge", "event_id", "change"))
 

@@ -24,6 +24,7 @@ from freshet.functions.nulls import strict_sum
 from freshet.operators.flow_models import ALL_MODELS, registry
 from freshet.plans.flow import lift_zero_flow
 from freshet.plans.rain import RATIO, seasonal_model_rain, seasonal_observed_rain
+from freshet.session import stored
 
 # Windows and spans that fit the seven calendar years of the driver's tables.
 ROLL = 4
@@ -47,6 +48,23 @@ PARAMETER_SQL = {
 }
 
 
+RAW_SCHEMAS = {
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, "
+    "o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
+
+
+def minute_of(ts: str) -> Column:
+    """Minutes since the epoch, whatever the session time zone."""
+    return F.unix_date(F.to_date(ts)) * 1440 + F.hour(ts) * 60 + F.minute(ts)
+
+
 class Tables:
     """Lazily built stand-ins for one scale-factor directory."""
 
@@ -54,7 +72,8 @@ class Tables:
         self.spark, self.sf_dir = spark, sf_dir.rstrip("/")
 
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        """A driver table under its declared schema, so that no job is spent on inferring it."""
+        return self.spark.read.schema(RAW_SCHEMAS[name]).parquet(f"{self.sf_dir}/{name}.parquet")
 
     @cached_property
     def rain_model(self) -> DataFrame:
@@ -78,7 +97,7 @@ class Tables:
             F.year(date).alias("year"),
             F.month(date).alias("month"),
             F.dayofmonth(date).alias("day"),
-            (F.col("o_totalprice") / 7000).alias("precipitation_mm"),
+            (F.col("o_totalprice") / 6543.21).alias("precipitation_mm"),
             F.col("o_orderstatus").alias("status"),
         )
 
@@ -89,7 +108,7 @@ class Tables:
             F.col("user_id").cast("string").alias("gauge"),
             "ts",
             "event_id",
-            F.date_trunc("minute", "ts").alias("block"),
+            minute_of("ts").alias("block"),
             flow.alias("q"),
             "event_type",
         )
@@ -144,6 +163,16 @@ class Tables:
             observed.withColumns({"GCM": F.lit("observed"), "ensemble_id": F.lit("observed")})
         )
 
+    @cached_property
+    def flow_table(self) -> DataFrame:
+        """``regenerated`` as a written table, for queries that read it in several branches."""
+        return stored(self.regenerated, "regenerated")
+
+    @cached_property
+    def obs_table(self) -> DataFrame:
+        """``obs_yearly`` as a written table, for queries that read it in several branches."""
+        return stored(self.obs_yearly, "obs_yearly")
+
     @cached_property
     def fitted(self) -> DataFrame:
         """Two models per gauge and year; the best one of a gauge is in ``best``."""
@@ -276,7 +305,7 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
         """
         SELECT CAST(o_custkey % (SELECT count(*) FROM supplier) AS VARCHAR) AS gauge,
                CAST(year(o_orderdate) AS INTEGER) AS year, CAST(month(o_orderdate) AS INTEGER) AS month,
-               CAST(day(o_orderdate) AS INTEGER) AS day, o_totalprice / 7000 AS precipitation_mm,
+               CAST(day(o_orderdate) AS INTEGER) AS day, o_totalprice / 6543.21 AS precipitation_mm,
                o_orderstatus AS status
         FROM orders""",
     ),

@@ -26,7 +26,9 @@ def decade_rows(t: Tables) -> DataFrame:
 
 
 def uncertain_rows(t: Tables) -> DataFrame:
-    return effects.with_uncertainty(t.regenerated, decade_rows(t), SPANS)
+    """Two branches read the flow table, so it is written first."""
+    table = effects.scenario_table(effects.stacked_scenarios(t.flow_table, t.fitted, t.best))
+    return effects.with_uncertainty(t.flow_table, effects.decade_effects(table, t.gauges, SPANS), SPANS)
 
 
 def period_rows(t: Tables) -> DataFrame:

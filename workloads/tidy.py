@@ -146,7 +146,7 @@ def s_file_tags(t: Tables) -> DataFrame:
 def s_parquet(t: Tables) -> DataFrame:
     """Lazy parquet scan: the date filter and the three columns reach the reader."""
     lines = read_parquet(t.spark, f"{t.sf_dir}/lineitem.parquet").where(
-        F.col("l_shipdate") >= F.lit("1998-01-01").cast("timestamp")
+        F.col("l_shipdate") >= F.lit("1998-01-01").cast("timestamp_ntz")
     )
     sums = lines.groupBy("l_suppkey").agg(F.sum("l_quantity").alias("total"))
     known = sums.join(t.raw("supplier").select(F.col("s_suppkey").alias("l_suppkey")), "l_suppkey")
@@ -229,7 +229,7 @@ def p_filter(t: Tables) -> DataFrame:
         F.col("l_returnflag").isin("A", "R")
         & F.col("l_quantity").between(10, 20)
         & is_near(F.col("l_discount"), F.lit(0.05), 0.015)
-        & (F.col("l_shipdate") >= F.lit("1996-01-01").cast("timestamp"))
+        & (F.col("l_shipdate") >= F.lit("1996-01-01").cast("timestamp_ntz"))
     )
     return kept.join(wanted, "l_suppkey", "left_semi").select(
         "l_orderkey", "l_linenumber", "l_suppkey", "l_quantity", "l_discount"
