@@ -39,12 +39,18 @@ def ecdf_on_grid(df: DataFrame, value: str, low: float, high: float, points: int
 
 
 def histogram(df: DataFrame, value: str, bins: int = 30) -> DataFrame:
-    """Counts in ``bins`` equal bins over the range of a column; empty bins have no row."""
+    """Counts in ``bins`` equal bins over the range of a column; empty bins have no row.
+
+    The range is found first, so ``df`` is read twice: pass a written table.
+    """
     present = df.where(F.col(value).isNotNull()).select(value)
-    limits = present.agg(F.min(value).alias("low"), F.max(value).alias("high"))
-    placed = present.crossJoin(F.broadcast(limits)).withColumn("width", (F.col("high") - F.col("low")) / bins)
-    index = F.least(F.lit(bins), F.floor(F.try_divide(F.col(value) - F.col("low"), F.col("width"))) + 1)
-    counts = placed.groupBy(F.coalesce(index, F.lit(1)).cast("int").alias("bin"), "low", "width").agg(
+    limits = present.agg(F.struct(F.min(value).alias("low"), F.max(value).alias("high"))).scalar()
+    placed = present.withColumn("__l", limits).select(
+        value, F.col("__l.low").alias("low"), ((F.col("__l.high") - F.col("__l.low")) / bins).alias("width")
+    )
+    index = F.floor(F.try_divide(F.col(value) - F.col("low"), F.col("width"))) + 1
+    bounded = F.when(F.col("width") == 0, F.lit(1)).otherwise(F.least(F.lit(bins), index))
+    counts = placed.groupBy(bounded.cast("int").alias("bin"), "low", "width").agg(
         F.count(F.lit(1)).alias("n")
     )
     return counts.select("bin", (F.col("low") + F.col("width") * (F.col("bin") - 1)).alias("bin_start"), "width", "n")
@@ -66,11 +72,11 @@ def facet_labels(
 ) -> DataFrame:
     """Where to put the letter of each panel: top of the panel and the left end of all panels.
 
-    ``facet_order`` holds the facet and its ``row_number``.
+    ``facet_order`` holds the facet and its ``row_number``. ``df`` is read twice: pass a written
+    table.
     """
     panels = df.groupBy(facet).agg(F.max(y).alias("top"), F.min(y).alias("bottom"))
-    left = df.agg(F.min(x).alias("xlab"))
-    placed = panels.join(facet_order, facet).crossJoin(F.broadcast(left))
+    placed = panels.join(facet_order, facet).withColumn("xlab", df.agg(F.min(x)).scalar())
     height = label_height(F.col("top"), F.col("bottom"))
     return placed.select(
         "row_number",

@@ -12,6 +12,7 @@ from freshet.operators import summaries
 from freshet.operators.quality import extents
 from freshet.operators.series import chunks, global_positions
 from freshet.plans import effects, rain
+from freshet.session import stored
 from workloads.registry import query
 from workloads.standin import PERIOD, ROLL, SPANS, Tables
 from workloads.tidy import rounded
@@ -263,7 +264,7 @@ def a_ecdf(t: Tables) -> DataFrame:
 )
 def a_histogram(t: Tables) -> DataFrame:
     """Counts in 30 equal bins."""
-    bins = summaries.histogram(smoothed_rows(t), "smooth_scale_term", 30)
+    bins = summaries.histogram(stored(smoothed_rows(t), "smoothed"), "smooth_scale_term", 30)
     return bins.select("bin", F.round("width", 6).alias("width"), "n")
 
 
@@ -281,8 +282,8 @@ def a_histogram(t: Tables) -> DataFrame:
 )
 def a_facet_extent(t: Tables) -> DataFrame:
     """Letter positions per panel: one panel per model."""
-    order = global_positions(t.regenerated.select("GCM").distinct(), ["GCM"], "row_number")
-    return rounded(summaries.facet_labels(t.regenerated, "GCM", "year", "realspace_streamflow", order, 0.1, 0.05))
+    order = global_positions(t.flow_table.select("GCM").distinct(), ["GCM"], "row_number")
+    return rounded(summaries.facet_labels(t.flow_table, "GCM", "year", "realspace_streamflow", order, 0.1, 0.05))
 
 
 @query(
