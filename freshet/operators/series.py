@@ -204,22 +204,18 @@ def own_segments(df: DataFrame, series: Series, column: str, minimum: int = 1) -
 
 
 def rolling(
-    df: DataFrame,
-    series: Series,
-    length: int,
-    results: Mapping[str, tuple[Callable[[Column], Column], str]],
+    df: DataFrame, series: Series, results: Mapping[str, tuple[Callable[[Column], Column], str, int]]
 ) -> DataFrame:
-    """Trailing windows of exactly ``length`` rows; NULL before the first full one and wherever a
-    value in the window is missing. ``results`` maps a name to ``(aggregate, column)``.
+    """Trailing windows of a fixed number of rows; NULL before the first full one and wherever a
+    value in the window is missing. ``results`` maps a name to ``(aggregate, column, rows)``.
 
-    On a blocked series the rows are cut into positional chunks, and the last ``length - 1`` rows
-    of each chunk are copied to the next one.
+    On a blocked series the rows are cut into positional chunks, and the last rows of each chunk
+    are copied to the next one.
     """
     if series.block is None:
-        return df.withColumns(
-            {n: _full(f, F.col(c), series.window(), length) for n, (f, c) in results.items()}
-        )
-    span, halo = max(SPAN, length), length - 1
+        return df.withColumns({n: _full(f, F.col(c), series.window(), rows) for n, (f, c, rows) in results.items()})
+    longest = max(rows for _, _, rows in results.values())
+    span, halo = max(SPAN, longest), longest - 1
     numbered = positions(df, series, "__pos")
     chunk = F.floor((F.col("__pos") - 1) / span)
     late = (F.col("__pos") - 1) % span >= span - halo
@@ -227,7 +223,7 @@ def rolling(
     copies = F.when(late, F.array(home, F.struct((chunk + 1).alias("chunk"), F.lit(True).alias("copy")))).otherwise(F.array(home))
     spread = numbered.select("*", F.inline(copies).alias("__chunk", "__copy"))
     w = Window.partitionBy(*series.keys, "__chunk").orderBy("__pos")
-    windowed = spread.withColumns({n: _full(f, F.col(c), w, length) for n, (f, c) in results.items()})
+    windowed = spread.withColumns({n: _full(f, F.col(c), w, rows) for n, (f, c, rows) in results.items()})
     return windowed.where(~F.col("__copy")).drop("__pos", "__chunk", "__copy")
 
 
@@ -236,8 +232,8 @@ def _full(agg: Callable[[Column], Column], value: Column, window: WindowSpec, le
     return F.when(F.count(value).over(trailing) == length, agg(value).over(trailing))
 
 
-def rolling_mean(df: DataFrame, series: Series, length: int, column: str, name: str) -> DataFrame:
-    return rolling(df, series, length, {name: (F.avg, column)})
+def rolling_mean(df: DataFrame, series: Series, rows: int, column: str, name: str) -> DataFrame:
+    return rolling(df, series, {name: (F.avg, column, rows)})
 
 
 def centred(df: DataFrame, keys: Sequence[str], value: Column, name: str) -> DataFrame:

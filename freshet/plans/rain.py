@@ -6,7 +6,7 @@ All later steps work on at most one row per series, year and season, whatever th
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from freshet.functions.calendar import COOL, WARM, mm_per_month, offset_date, range_origin, season_of, season_rank
 from freshet.functions.nulls import nan_to_null, ratio, strict_median, strict_sum
 from freshet.operators.reshape import name_positions, sum_to_wide, to_long, to_wide
-from freshet.operators.series import Series, centred, rolling_mean
+from freshet.operators.series import Series, centred, rolling
 
 # Experiment labels of the model runs, and the models that cover the whole period.
 EXPERIMENTS = {"historical": "historical", "hist-nat": "hist_nat"}
@@ -102,10 +102,15 @@ def series_in_order(keys: Sequence[str] = SERIES_KEYS) -> Series:
     return Series(tuple(keys), (F.col("year"), season_rank(F.col("season"))))
 
 
-def smoothed_terms(terms: DataFrame, rows: int = SMOOTHING_ROWS, name: str = "smooth_scale_term") -> DataFrame:
-    """Trailing mean over ``rows`` rows (not years) of each series."""
+def smoothed_terms(terms: DataFrame, lengths: Mapping[str, int] | None = None) -> DataFrame:
+    """Trailing means over rows (not years) of each series; ``lengths`` maps a name to its rows.
+
+    All lengths share one sort of the series.
+    """
+    lengths = lengths or {"smooth_scale_term": SMOOTHING_ROWS}
     clean = terms.withColumn("naive_scale_term", nan_to_null(F.col("naive_scale_term")))
-    return rolling_mean(clean, series_in_order(), rows, "naive_scale_term", name)
+    means = {name: (F.avg, "naive_scale_term", rows) for name, rows in lengths.items()}
+    return rolling(clean, series_in_order(), means)
 
 
 def scale_observed(terms: DataFrame, observed: DataFrame, term: str) -> DataFrame:
@@ -115,7 +120,8 @@ def scale_observed(terms: DataFrame, observed: DataFrame, term: str) -> DataFram
 
 
 def scaled_rain(seasonal: DataFrame, observed: DataFrame, rows: int = SMOOTHING_ROWS) -> DataFrame:
-    scaled = scale_observed(smoothed_terms(scale_terms(seasonal), rows), observed, "smooth_scale_term")
+    smooth = smoothed_terms(scale_terms(seasonal), {"smooth_scale_term": rows})
+    scaled = scale_observed(smooth, observed, "smooth_scale_term")
     return scaled.drop("naive_scale_term")
 
 
@@ -149,9 +155,7 @@ def window_sensitivity(terms: DataFrame, observed: DataFrame, lengths: Sequence[
 
     Median and 90th percentile over the members of a model, then the median over models.
     """
-    smooth = terms
-    for n in lengths:
-        smooth = smoothed_terms(smooth, n, f"{n}")
+    smooth = smoothed_terms(terms, {f"{n}": n for n in lengths})
     long = to_long(smooth, ["GCM", "gauge", "year", "season"], [f"{n}" for n in lengths], "window_rows", "term")
     per_model = long.groupBy("window_rows", "GCM", "gauge", "year", "season").agg(
         strict_median(F.col("term")).alias("middle"), F.percentile("term", F.lit(0.9)).alias("high")

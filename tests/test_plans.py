@@ -104,7 +104,7 @@ def seasonal(spark, years=6):
 
 
 def test_smoothing_runs_over_interleaved_seasons(spark):
-    rows = rain.smoothed_terms(rain.scale_terms(seasonal(spark)), 4).collect()
+    rows = rain.smoothed_terms(rain.scale_terms(seasonal(spark)), {"smooth_scale_term": 4}).collect()
     ordered = sorted(rows, key=lambda r: (r.year, r.season == "cool_season"))
     terms = [r.naive_scale_term for r in ordered]
     want = [None] * 3 + [sum(terms[i - 3 : i + 1]) / 4 for i in range(3, len(terms))]

@@ -125,7 +125,7 @@ def test_long_runs_expand_in_spans(spark, monkeypatch):
 @pytest.mark.parametrize("n", [1, 3, 5])
 def test_rolling(spark, series, rows, n, monkeypatch):
     monkeypatch.setattr(S, "SPAN", 6)
-    df = S.rolling(frame(spark, rows), series, n, {"m": (F.avg, "x"), "top": (F.max, "x")})
+    df = S.rolling(frame(spark, rows), series, {"m": (F.avg, "x", n), "top": (F.max, "x", n)})
     got = {(r.k, r.t): (r.m, r.top) for r in df.collect()}
     assert len(got) == len(rows)
     for k, g in by_key(rows).items():

@@ -36,7 +36,7 @@ EVENTS = Series(("gauge",), ("ts", "event_id"), "block")
 )
 def w_rolling(t: Tables) -> DataFrame:
     """Trailing windows of three events, full windows only."""
-    rows = rolling(t.flow_events, EVENTS, 3, {"mean3": (F.avg, "q"), "max3": (F.max, "q")})
+    rows = rolling(t.flow_events, EVENTS, {"mean3": (F.avg, "q", 3), "max3": (F.max, "q", 3)})
     return rows.select("gauge", "event_id", F.round("mean3", 6).alias("mean3"), "max3")
 
 
@@ -49,7 +49,7 @@ def w_rolling(t: Tables) -> DataFrame:
 )
 def w_smooth_scale(t: Tables) -> DataFrame:
     """Moving mean of the scale term over interleaved seasons."""
-    rows = rain.smoothed_terms(rain.scale_terms(t.seasonal_model), ROLL)
+    rows = rain.smoothed_terms(rain.scale_terms(t.seasonal_model), {"smooth_scale_term": ROLL})
     return rounded(rows.drop("realisation", "historical", "hist_nat"))
 
 
