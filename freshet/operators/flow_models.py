@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from freshet.functions.maths import clamp_below_zero
 from freshet.functions.nulls import strict_mean
+from freshet.operators.reshape import unique_cell
 
 # Name parts, parameter names in order, trailing parameters of a fitted set.
 PREFIX = "streamflow_model_"
@@ -88,9 +89,8 @@ def bind_parameters(parameters: DataFrame, keys: Sequence[str] = ("gauge",)) ->
     Input rows are ``keys, streamflow_model, parameter_index, parameter, parameter_value``. The
     second-last parameter of a set is the transform's. A missing model or parameter fails.
     """
-    named = [
-        F.max(F.when(F.col("parameter") == p, F.col("parameter_value"))).alias(p) for p in MODEL_PARAMETERS
-    ]
+    name, value = F.col("parameter"), F.col("parameter_value")
+    named = [unique_cell(name == p, value, p).alias(p) for p in MODEL_PARAMETERS]
     ordered = F.array_sort(F.collect_list(F.struct("parameter_index", "parameter_value")))
     sets = parameters.groupBy(*keys, "streamflow_model").agg(
         *named,

@@ -20,9 +20,9 @@ def columns_ending(df: DataFrame, suffix: str) -> list[str]:
     return [c for c in df.columns if c.endswith(suffix)]
 
 
-def name_positions(df: DataFrame, keys: DataFrame, position: str, name: str) -> DataFrame:
-    """Replace the labels ``V1..Vn`` in ``position`` by the ``name`` of the same position in ``keys``."""
-    labelled = keys.select(F.concat(F.lit("V"), F.col("position").cast("string")).alias(position), F.col(name))
+def name_positions(df: DataFrame, names: DataFrame, position: str, name: str) -> DataFrame:
+    """Replace the labels ``V1..Vn`` in ``position`` by the ``name`` of the same position in ``names``."""
+    labelled = names.select(F.concat(F.lit("V"), F.col("position").cast("string")).alias(position), F.col(name))
     return df.join(labelled, position, "left").drop(position)
 
 
@@ -34,10 +34,11 @@ def to_wide(
     One aggregate with one shuffle; ``groupBy.pivot`` would shuffle twice and the uniqueness
     check would be a job of its own.
     """
-    return df.groupBy(*ids).agg(*[_cell(name == F.lit(k), value, k).alias(label) for k, label in labels.items()])
+    return df.groupBy(*ids).agg(*[unique_cell(name == F.lit(k), value, k).alias(label) for k, label in labels.items()])
 
 
-def _cell(match: Column, value: Column, label: object) -> Column:
+def unique_cell(match: Column, value: Column, label: object) -> Column:
+    """Aggregate: the one value of the matching rows; fails when there are several rows."""
     repeated = F.raise_error(F.lit(f"more than one value for {label}"))
     return F.when(F.count_if(match) > 1, repeated).otherwise(F.max(F.when(match, value)))
 

@@ -50,26 +50,34 @@ def _before(window: WindowSpec) -> WindowSpec:
     return window.rowsBetween(Window.unboundedPreceding, -1)
 
 
-def _join_blocks(rows: DataFrame, carried: DataFrame, series: Series) -> DataFrame:
-    """Bring the carried state of each block back to its rows (rows keep their partitioning)."""
-    renamed = carried.select(*[F.col(c).alias(f"__{c}") if c in series.parts else F.col(c) for c in carried.columns])
-    same = [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in series.parts]
-    condition = same[0]
-    for extra in same[1:]:
-        condition = condition & extra
-    return rows.join(renamed, condition, "left").drop(*[f"__{c}" for c in series.parts])
+def _checked(df: DataFrame, series: Series) -> DataFrame:
+    """Fail on a missing key or block: such a row belongs to no series and no block.
+
+    The filter drops nothing. It states on both sides of the coming join what Spark would infer
+    on one side only, so that the two sides can share a shuffle.
+    """
+    wrong = F.raise_error(F.lit("the keys and the block of a series must not be missing"))
+    checked = df.withColumns({c: F.coalesce(F.col(c), wrong) for c in series.parts})
+    present = F.lit(True)
+    for c in series.parts:
+        present = present & F.col(c).isNotNull()
+    return checked.where(present)
 
 
 def running_totals(df: DataFrame, series: Series, totals: Mapping[str, Column]) -> DataFrame:
-    """Running sums of whole-number expressions along the series."""
+    """Running sums of whole-number expressions along the series.
+
+    With blocks, the sums per block are reduced before they move, and the rows keep the layout of
+    their window for the join, so the rows themselves move once.
+    """
     inside = _so_far(series.window())
     if series.block is None:
         return df.withColumns({n: F.sum(e).over(inside) for n, e in totals.items()})
+    df = _checked(df, series)
     sums = df.groupBy(*series.parts).agg(*[F.sum(e).alias(n) for n, e in totals.items()])
     before = _before(series.blocks())
     carried = sums.select(*series.parts, *[F.coalesce(F.sum(n).over(before), F.lit(0)).alias(f"__b_{n}") for n in totals])
-    rows = df.withColumns({n: F.sum(e).over(inside) for n, e in totals.items()})
-    rows = _join_blocks(rows, carried, series)
+    rows = df.withColumns({n: F.sum(e).over(inside) for n, e in totals.items()}).join(carried, series.parts)
     return rows.withColumns({n: F.col(n) + F.col(f"__b_{n}") for n in totals}).drop(*[f"__b_{n}" for n in totals])
 
 
@@ -83,10 +91,11 @@ def previous(df: DataFrame, series: Series, column: str, name: str) -> DataFrame
     w = series.window()
     if series.block is None:
         return df.withColumn(name, F.lag(column).over(w))
+    df = _checked(df, series)
     last = df.groupBy(*series.parts).agg(F.max_by(F.struct(column), series.sort_key()).alias("__last"))
     carried = last.select(*series.parts, F.lag("__last").over(series.blocks()).alias("__carry"))
     rows = df.withColumns({name: F.lag(column).over(w), "__first": F.row_number().over(w) == 1})
-    rows = _join_blocks(rows, carried, series)
+    rows = rows.join(carried, series.parts)
     at_border = F.when(F.col("__first"), F.col(f"__carry.{column}")).otherwise(F.col(name))
     return rows.withColumn(name, at_border).drop("__first", "__carry")
 
@@ -97,39 +106,42 @@ def differences(df: DataFrame, series: Series, column: str, name: str) -> DataFr
 
 
 def islands(df: DataFrame, series: Series, value: Column, position: str = "position", island: str = "island") -> DataFrame:
-    """Number the stretches of equal values (NULL equals NULL) and the rows of each series."""
+    """Number the stretches of equal values (NULL equals NULL) and the rows of a calendar series."""
     w = series.window()
-    rows = df.withColumn("__v", value)
-    lagged, number = F.lag("__v").over(w), F.row_number().over(w)
-    moved = ~F.col("__v").eqNullSafe(F.col("__p"))
-    if series.block is None:
-        rows = rows.withColumns({"__p": lagged, position: number.cast("long")})
-        rows = rows.withColumn("__c", F.when((F.col(position) == 1) | moved, 1).otherwise(0))
-        return rows.withColumn(island, F.sum("__c").over(_so_far(w))).drop("__v", "__p", "__c")
-
-    rows = rows.withColumns({"__p": lagged, "__n": number})
-    rows = rows.withColumn("__c", F.when((F.col("__n") > 1) & moved, 1).otherwise(0))
+    rows = df.withColumn("__v", value).withColumns(
+        {"__p": F.lag("__v").over(w), position: F.row_number().over(w).cast("long")}
+    )
+    moved = (F.col(position) == 1) | ~F.col("__v").eqNullSafe(F.col("__p"))
+    rows = rows.withColumn("__c", F.when(moved, 1).otherwise(0))
+    return rows.withColumn(island, F.sum("__c").over(_so_far(w))).drop("__v", "__p", "__c")
+
+
+def _blocked_islands(rows: DataFrame, series: Series, value: str) -> DataFrame:
+    """``islands`` across blocks. Rows and block summaries need the same columns in the same
+    layout, so both come from one shuffle."""
+    w, blocks = series.window(), series.blocks()
+    rows = _checked(rows, series).withColumns({"__p": F.lag(value).over(w), "__n": F.row_number().over(w)})
+    moved = (F.col("__n") > 1) & ~F.col(value).eqNullSafe(F.col("__p"))
+    rows = rows.withColumn("__c", F.when(moved, 1).otherwise(0))
     summary = rows.groupBy(*series.parts).agg(
         F.count(F.lit(1)).alias("__rows"),
         F.sum("__c").alias("__changes"),
-        F.min_by(F.struct("__v"), series.sort_key()).alias("__head"),
-        F.max_by(F.struct("__v"), series.sort_key()).alias("__tail"),
+        F.min_by(F.struct(value), series.sort_key()).alias("__head"),
+        F.max_by(F.struct(value), series.sort_key()).alias("__tail"),
     )
-    blocks = series.blocks()
     summary = summary.withColumn("__before", F.lag("__tail").over(blocks))
-    opens = F.col("__before").isNull() | ~F.col("__head.__v").eqNullSafe(F.col("__before.__v"))
+    opens = F.col("__before").isNull() | ~F.col(f"__head.{value}").eqNullSafe(F.col(f"__before.{value}"))
     summary = summary.withColumn("__opens", opens.cast("long"))
+    earlier = F.coalesce(F.sum("__changes").over(_before(blocks)), F.lit(0))
     carried = summary.select(
         *series.parts,
         F.coalesce(F.sum("__rows").over(_before(blocks)), F.lit(0)).alias("__b_rows"),
-        (
-            F.sum("__opens").over(_so_far(blocks)) + F.coalesce(F.sum("__changes").over(_before(blocks)), F.lit(0))
-        ).alias("__b_island"),
+        (F.sum("__opens").over(_so_far(blocks)) + earlier).alias("__b_island"),
+    )
+    numbered = rows.withColumn("__i", F.sum("__c").over(_so_far(w))).join(carried, series.parts)
+    return numbered.withColumns(
+        {"position": F.col("__n") + F.col("__b_rows"), "island": F.col("__i") + F.col("__b_island")}
     )
-    rows = rows.withColumn("__i", F.sum("__c").over(_so_far(w)))
-    rows = _join_blocks(rows, carried, series)
-    rows = rows.withColumns({position: F.col("__n") + F.col("__b_rows"), island: F.col("__i") + F.col("__b_island")})
-    return rows.drop("__v", "__p", "__n", "__c", "__i", "__b_rows", "__b_island")
 
 
 def run_lengths(df: DataFrame, series: Series, column: str) -> DataFrame:
@@ -137,16 +149,18 @@ def run_lengths(df: DataFrame, series: Series, column: str) -> DataFrame:
 
     Each task first reduces its own rows, so a stretch of any length costs one row per task.
     """
-    marked = islands(df, series, F.col(column))
-    return (
-        marked.groupBy(*series.keys, "island")
-        .agg(
-            F.max(column).alias("value"),
-            F.min("position").alias("start_index"),
-            F.max("position").alias("end_index"),
-            F.count(F.lit(1)).alias("length"),
-        )
-        .withColumnRenamed("island", "run")
+    if series.block is None:
+        marked = islands(df.withColumn("__v0", F.col(column)), series, F.col("__v0"))
+    else:
+        named = {f"__o{i}": o for i, o in enumerate(series.order)}
+        order = [F.col(o).alias(n) if isinstance(o, str) else o.alias(n) for n, o in named.items()]
+        narrow = df.select(*series.parts, *order, F.col(column).alias("__v0"))
+        marked = _blocked_islands(narrow, Series(series.keys, tuple(named), series.block), "__v0")
+    return marked.groupBy(*series.keys, F.col("island").alias("run")).agg(
+        F.max("__v0").alias("value"),
+        F.min("position").alias("start_index"),
+        F.max("position").alias("end_index"),
+        F.count(F.lit(1)).alias("length"),
     )
 
 

@@ -33,18 +33,24 @@ SERIES_KEYS = ("GCM", "ensemble_id", "realisation", "gauge")
 RATIO = "standardised_warm_season_to_annual_rainfall_ratio"
 
 
-def dated_runs(runs: DataFrame, gauges: DataFrame) -> DataFrame:
-    """Wide run rows to one row per run, date and gauge, in mm per month.
-
-    ``gauges`` maps ``position`` (the number in ``V1..Vn``) to ``gauge``.
-    """
+def dated_runs(runs: DataFrame) -> DataFrame:
+    """Wide run rows to one row per run, date and position, in mm per month."""
     ids = ["GCM", "ensemble_id", "experiment", "realisation", "date"]
     date = offset_date(range_origin(F.col("date_range")), F.col("time_sum"))
     dated = runs.withColumn("date", date).drop("time_sum", "date_range")
-    long = to_long(dated, ids, None, "position", "flux")
-    mm = mm_per_month(F.col("flux"), F.col("date"))
-    named = name_positions(long, gauges, "position", "gauge")
-    return named.withColumn("precipitation_mm", mm).drop("flux")
+    long = to_long(dated, ids, None, "gauge", "flux")
+    return long.withColumn("precipitation_mm", mm_per_month(F.col("flux"), F.col("date"))).drop("flux")
+
+
+def tidy_runs(runs: DataFrame, gauges: DataFrame) -> DataFrame:
+    """Wide model runs to seasonal rain per gauge.
+
+    ``gauges`` maps ``position`` (the number in ``V1..Vn``) to ``gauge``. The names are joined to
+    the seasonal sums, not to the far more numerous monthly values.
+    """
+    seasonal = seasonal_model_rain(dated_runs(runs)).withColumnRenamed("gauge", "__position")
+    named = name_positions(seasonal, gauges, "__position", "gauge")
+    return named.select("year", *SERIES_KEYS, "season", *EXPERIMENTS.values())
 
 
 def seasonal_model_rain(dated: DataFrame) -> DataFrame:
@@ -62,10 +68,13 @@ def monthly_observed_rain(daily: DataFrame) -> DataFrame:
 
 
 def seasonal_observed_rain(daily: DataFrame) -> DataFrame:
-    """Daily rain summed to months and then to seasons."""
-    tagged = monthly_observed_rain(daily).withColumn("season", season_of(F.col("month")))
+    """Daily rain summed to seasons.
+
+    A strict sum of monthly strict sums is the strict sum of the days, so one shuffle is enough.
+    """
+    tagged = daily.withColumn("season", season_of(F.col("month")))
     return tagged.groupBy("year", "gauge", "season").agg(
-        strict_sum(F.col("monthly_precipitation_mm")).alias("season_obs_precipitation")
+        strict_sum(F.col("precipitation_mm")).alias("season_obs_precipitation")
     )
 
 

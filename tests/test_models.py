@@ -149,6 +149,12 @@ def test_a_missing_parameter_fails(spark, skip, names, word):
         scores(spark, series(spark, 1, [1.0]), parameters(spark, names, skip=skip))
 
 
+def test_a_repeated_parameter_fails(spark):
+    params = parameters(spark, ["streamflow_model_precip_only"])
+    with pytest.raises(Exception, match="more than one value for a1"):
+        scores(spark, series(spark, 1, [1.0]), params.union(params.where("parameter = 'a1'")))
+
+
 def test_an_unknown_model_fails(spark):
     params = parameters(spark, ["streamflow_model_precip_only"]).withColumn("streamflow_model", F.lit("other"))
     with pytest.raises(Exception, match="unknown model"):

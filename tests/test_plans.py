@@ -84,7 +84,7 @@ def test_tidy_from_wide_runs(spark):
     schema = "GCM string, ensemble_id string, experiment string, realisation string, date_range string, time_sum double, V1 double, V2 double"
     rows = [("m", "r1", "historical", "gn", "200401-200412", 45.0, 1e-5, None), ("m", "r1", "hist-nat", "gn", "200401-200412", 45.0, 2e-5, 1e-5)]
     keys = spark.createDataFrame([(1, "003303A"), (2, "102101A")], "position int, gauge string")
-    got = rain.seasonal_model_rain(rain.dated_runs(spark.createDataFrame(rows, schema), keys))
+    got = rain.tidy_runs(spark.createDataFrame(rows, schema), keys)
     found = {r.gauge: (r.year, r.season, r.historical, r.hist_nat) for r in got.collect()}
     assert found["003303A"] == (2004, "warm_season", pytest.approx(25.056), pytest.approx(50.112))
     assert found["102101A"] == (2004, "warm_season", None, pytest.approx(25.056))

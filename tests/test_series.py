@@ -173,3 +173,9 @@ def test_global_positions(spark):
     df = spark.range(1000).select((F.col("id") * 7919 % 1000).alias("v")).repartition(6)
     rows = S.global_positions(df, ["v"]).collect()
     assert {r.v: r.position for r in rows} == {i: i + 1 for i in range(1000)}
+
+
+def test_a_missing_block_is_an_error(spark):
+    df = spark.createDataFrame([("k", 1, None, 1.0, "a"), ("k", 2, 1, 1.0, "a")], SCHEMA)
+    with pytest.raises(Exception, match="must not be missing"):
+        S.positions(df, MODES["blocked"]).collect()

@@ -133,7 +133,7 @@ def q_tidy(t: Tables) -> DataFrame:
     gauges = t.spark.range(1, 8).select(
         F.col("id").alias("position"), F.concat(F.lit("g"), F.col("id").cast("string")).alias("gauge")
     )
-    return rounded(rain.seasonal_model_rain(rain.dated_runs(runs, gauges)))
+    return rounded(rain.tidy_runs(runs, gauges))
 
 
 @query(
