@@ -14,6 +14,7 @@ from freshet.functions.calendar import DECADES, decade_of
 from freshet.functions.maths import smaller_over_larger
 from freshet.functions.nulls import iqr, ratio, strict, strict_mean, strict_median, strict_sum
 from freshet.operators.reshape import columns_ending, to_long, to_wide
+from freshet.operators.series import chunks
 
 # Scenario labels in plot order, effect labels, comparison period.
 CO2_ON = "CO2 Model - Observed Precipitation"
@@ -26,6 +27,9 @@ EFFECT_LABELS = {
     "total_effect": "Total Effect",
 }
 COMPARISON_PERIOD = (1982, 2010)
+# Gauges of the main panels, and gauges per supplementary panel.
+HANDPICKED = ("606195", "227210", "405240", "319204", "138004B")
+PANEL_SIZE = 7
 LAST_YEAR = 2014
 
 FLOW = "median_GCM_realspace_streamflow"
@@ -73,6 +77,14 @@ def stacked_scenarios(flow: DataFrame, fitted: DataFrame, best: DataFrame, last_
     return envelope(flow).withColumn("type", F.lit(HIST_NAT)).unionByName(off).unionByName(on)
 
 
+def supplementary_panels(
+    stacked: DataFrame, handpicked: Sequence[str] = HANDPICKED, size: int = PANEL_SIZE
+) -> DataFrame:
+    """Rows of the gauges outside the main panels, with the number of their panel (``split``)."""
+    others = stacked.where((F.col("type") == HIST_NAT) & ~F.col("gauge").isin(*handpicked)).select("gauge")
+    return stacked.join(chunks(others, "gauge", size), "gauge", "right")
+
+
 def scenario_table(stacked: DataFrame) -> DataFrame:
     """One row per year and gauge with all three scenarios; incomplete rows are dropped."""
     labels = {HIST_NAT: "hist_nat", CO2_OFF: "co2_off", CO2_ON: "co2_on"}

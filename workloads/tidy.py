@@ -28,10 +28,10 @@ from freshet.functions.maths import (
 )
 from freshet.functions.nulls import ratio
 from freshet.functions.text import letter, run_fields, state_code
-from freshet.operators.reshape import columns_ending, sum_to_wide, to_long, to_wide
+from freshet.operators.reshape import columns_ending, sum_to_wide, to_long, to_wide, with_rank
 from freshet.operators.series import Series, assign_segments, positions, valid_runs
 from freshet.plans import effects, flow, rain
-from freshet.session import new_table_path
+from freshet.session import new_table_path, stored
 from freshet.sources.readers import csv_header, read_csv, read_model_runs, read_parquet
 from freshet.sources.schemas import GAUGE_INFORMATION, wide_run
 from freshet.sources.writers import write_parquet
@@ -542,6 +542,58 @@ def u_union(t: Tables) -> DataFrame:
     )
 
 
+_STACKED_SQL = f"""
+    SELECT year, gauge, med AS flow, top, low, '{effects.HIST_NAT}' AS type FROM envelope
+    UNION ALL SELECT year, gauge, realspace_streamflow, NULL, NULL, '{effects.CO2_OFF}'
+              FROM regenerated WHERE "GCM" = 'observed'
+    UNION ALL SELECT year, gauge, realspace_modelled_streamflow, NULL, NULL, '{effects.CO2_ON}'
+              FROM fitted SEMI JOIN best USING (gauge, streamflow_model)"""
+
+
+def _stacked(t: Tables) -> DataFrame:
+    return effects.stacked_scenarios(t.flow_table, t.fitted, t.best)
+
+
+@query(
+    "u_scenarios",
+    f"""
+    SELECT type, CAST(CASE type WHEN '{effects.CO2_ON}' THEN 1 WHEN '{effects.CO2_OFF}' THEN 2 ELSE 3 END AS INTEGER) AS rank,
+           count(*) AS n_rows, round(sum(flow), 4) AS flow, round(max(top), 4) AS top, round(min(low), 4) AS low
+    FROM ({_STACKED_SQL}) GROUP BY type""",
+    "envelope",
+    "regenerated",
+    "fitted",
+    "best",
+)
+def u_scenarios(t: Tables) -> DataFrame:
+    """Three stacked scenarios in their fixed order of labels."""
+    sums = _stacked(t).groupBy("type").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.sum(effects.FLOW).alias("flow"),
+        F.max("max_GCM_realspace_streamflow").alias("top"),
+        F.min("min_GCM_realspace_streamflow").alias("low"),
+    )
+    return rounded(with_rank(sums, "type", effects.SCENARIOS, "rank"), 4)
+
+
+@query(
+    "j_panels",
+    f"""
+    SELECT s.gauge, s.year, s.type, round(s.flow, 4) AS flow, p.split
+    FROM ({_STACKED_SQL}) s
+    JOIN (SELECT gauge, CAST(ceil(row_number() OVER (ORDER BY gauge) / 7) AS INTEGER) AS split
+          FROM (SELECT DISTINCT gauge FROM envelope WHERE gauge NOT IN ('1', '4', '7'))) p USING (gauge)""",
+    "envelope",
+    "regenerated",
+    "fitted",
+    "best",
+)
+def j_panels(t: Tables) -> DataFrame:
+    """Rows of the gauges outside a hand-picked list, in panels of seven gauges."""
+    panels = effects.supplementary_panels(stored(_stacked(t), "stacked"), ("1", "4", "7"))
+    return panels.select("gauge", "year", "type", F.round(effects.FLOW, 4).alias("flow"), "split")
+
+
 # Sorts
 
 
