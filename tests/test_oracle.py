@@ -21,6 +21,35 @@ def test_flagship(spark):
     assert entry.entry(spark).count() > 0
 
 
+# Plan nodes that pair all rows with all rows, or leave the JVM.
+UNWANTED = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "InPandas", "InArrow")
+
+
 @pytest.mark.parametrize("key", list(entry.queries()))
 def test_query_agrees_with_sql(spark, con, key):
-    assert compare(entry.queries()[key](spark, SF_DIR), con, entry.oracle_sql()[key]) == []
+    df = entry.queries()[key](spark, SF_DIR)
+    assert compare(df, con, entry.oracle_sql()[key]) == []
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert [node for node in UNWANTED if node in plan] == []
+
+
+@pytest.mark.parametrize("key", ["w_rolling", "w_row_number", "w_runs", "w_rle", "w_diff"])
+def test_raw_series_are_windowed_by_block(spark, key):
+    """No window over the raw events is partitioned by the gauge alone."""
+    df = entry.queries()[key](spark, SF_DIR)
+    windows = [line for line in df._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Window [" in line]
+    raw = [w for w in windows if "ts#" in w or "event_id#" in w]
+    assert windows and all("block#" in w or "__chunk#" in w for w in raw)
+
+
+def test_rows_and_summaries_share_a_shuffle(spark):
+    df = entry.queries()["w_rle"](spark, SF_DIR)
+    df.collect()
+    assert "ReusedExchange" in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_filters_and_columns_reach_the_scan(spark):
+    plan = entry.queries()["p_filter"](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+    scan = next(line for line in plan.splitlines() if "FileScan" in line and "lineitem" in line)
+    assert "GreaterThanOrEqual(l_quantity" in scan and "In(l_returnflag" in scan and "l_comment" not in scan
+    assert "l_extendedprice" not in scan

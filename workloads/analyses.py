@@ -10,6 +10,7 @@ from freshet.operators.quality import covered_series, empty_segments, missing_se
 from freshet.operators.series import Series, valid_runs
 from freshet.plans import aridity, effects, flow, rain
 from freshet.plans.drought import drought_flags
+from freshet.session import stored
 from freshet.sources.schemas import OBSERVED_YEARLY
 from workloads.registry import query
 from workloads.standin import END_YEAR, START_YEAR, Tables, model_scores, model_terms
@@ -310,8 +311,11 @@ _REGENERATED_KEYS = 'gauge, "GCM", ensemble_id, segment_id'
     "models_carbon",
 )
 def q_regenerate(t: Tables) -> DataFrame:
-    """From raw rain to flow with the carbon terms switched off, end to end."""
-    aligned = _aligned(t)
+    """From raw rain to flow with the carbon terms switched off, end to end.
+
+    The aligned series feed both the runs and the segments, so they are written first.
+    """
+    aligned = stored(_aligned(t), "aligned")
     segments = flow.segmented_series(aligned, flow.observed_runs(aligned, 2))
     result = flow.regenerated_flow(segments, t.carbon_parameters)
     six = ("observed_streamflow", "seasonal_ratio")

@@ -222,9 +222,8 @@ class Tables:
         listed = models.join(F.broadcast(registry(self.spark)), "streamflow_model").select(
             "k", "streamflow_model", F.posexplode(names).alias("parameter_index", "parameter")
         )
-        value = F.lit(None).cast("double")
-        for name, text in PARAMETER_SQL.items():
-            value = F.when(F.col("parameter") == name, F.expr(text).cast("double")).otherwise(value)
+        cases = " ".join(f"WHEN '{name}' THEN CAST({text} AS DOUBLE)" for name, text in PARAMETER_SQL.items())
+        value = F.expr(f"CASE parameter {cases} END")
         return listed.select(
             F.col("k").cast("string").alias("gauge"),
             "streamflow_model",
@@ -234,7 +233,7 @@ class Tables:
         )
 
     def _models(self, index: Column) -> DataFrame:
-        names = F.array(*[F.lit(m.name) for m in ALL_MODELS])
+        names = F.split(F.lit(" ".join(m.name for m in ALL_MODELS)), " ")
         return self.raw("supplier").select(
             F.col("s_suppkey").alias("k"), F.element_at(names, (index + 1).cast("int")).alias("streamflow_model")
         )
