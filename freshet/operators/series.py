@@ -14,8 +14,10 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, FloatType
 from pyspark.sql.window import WindowSpec
 
+from freshet.functions.nulls import missing
 from freshet.session import stored
 
 # Rows per array when a run is expanded, and smallest span of a positional chunk.
@@ -164,9 +166,15 @@ def run_lengths(df: DataFrame, series: Series, column: str) -> DataFrame:
     )
 
 
+def present(df: DataFrame, column: str) -> Column:
+    """Neither NULL nor NaN."""
+    floating = isinstance(df.schema[column].dataType, DoubleType | FloatType)
+    return ~missing(F.col(column)) if floating else F.col(column).isNotNull()
+
+
 def valid_runs(df: DataFrame, series: Series, column: str, minimum: int = 1) -> DataFrame:
     """Stretches of consecutive non-null values with at least ``minimum`` rows."""
-    flagged = df.withColumn("__valid", F.col(column).isNotNull())
+    flagged = df.withColumn("__valid", present(df, column))
     runs = run_lengths(flagged, series, "__valid")
     return runs.where(F.col("value") & (F.col("length") >= minimum)).select(
         *series.keys, "start_index", "end_index", "length"
@@ -179,15 +187,18 @@ def longest_runs(runs: DataFrame, keys: Sequence[str]) -> DataFrame:
     return runs.groupBy(*keys).agg(best.alias("__best")).select(*keys, "__best.*")
 
 
-def expand_runs(runs: DataFrame, keys: Sequence[str], carry: Sequence[str] = ()) -> DataFrame:
-    """One row per position of each run, in two steps so that no single array is long."""
+def expand_runs(runs: DataFrame, keys: Sequence[str], carry: Sequence[str] = (), spread: bool = False) -> DataFrame:
+    """One row per position of each run, in two steps so that no single array is long.
+
+    ``spread`` moves the spans apart between the steps, so that one very long run is written out
+    by many tasks.
+    """
     rest = [F.col(c) for c in (*keys, *carry)]
-    spans = runs.select(
-        *rest,
-        "start_index",
-        "end_index",
-        F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("end_index") - F.col("start_index")) / SPAN))).alias("__s"),
-    )
+    last = F.floor((F.col("end_index") - F.col("start_index")) / SPAN)
+    numbers = F.explode(F.sequence(F.lit(0).cast("long"), last))
+    spans = runs.select(*rest, "start_index", "end_index", numbers.alias("__s"))
+    if spread:
+        spans = spans.repartition(*keys, "start_index", "__s")
     first = F.col("start_index") + F.col("__s") * SPAN
     return spans.select(
         *rest, F.explode(F.sequence(first, F.least(F.col("end_index").cast("long"), first + (SPAN - 1)))).alias("position")
@@ -198,7 +209,8 @@ def assign_segments(rows: DataFrame, runs: DataFrame, keys: Sequence[str], posit
     """Keep the rows whose position lies in a run, tagged with the run's start as ``segment_id``.
 
     Runs are expanded to positions, so this is a plain equi-join on ``(keys, position)``: no row
-    meets the other runs of its gauge, and a hot gauge spreads over its positions.
+    meets the other runs of its gauge, and a hot gauge spreads over its positions. For runs of
+    calendar series, which are short.
     """
     tagged = expand_runs(runs.withColumn("segment_id", F.col("start_index").cast("long")), keys, ["segment_id"])
     return rows.join(tagged.withColumnRenamed("position", position), [*keys, position], "inner")
@@ -209,12 +221,12 @@ def own_segments(df: DataFrame, series: Series, column: str, minimum: int = 1) -
 
     The same rows as ``valid_runs`` joined back on position, in one pass. For calendar series.
     """
-    marked = islands(df, series, F.col(column).isNotNull())
+    marked = islands(df, series, present(df, column))
     stretch = Window.partitionBy(*series.keys, "island")
     tagged = marked.withColumns(
         {"segment_id": F.min("position").over(stretch), "__length": F.count(F.lit(1)).over(stretch)}
     )
-    return tagged.where(F.col(column).isNotNull() & (F.col("__length") >= minimum)).drop("island", "__length")
+    return tagged.where(present(df, column) & (F.col("__length") >= minimum)).drop("island", "__length")
 
 
 def rolling(
@@ -234,7 +246,8 @@ def rolling(
     chunk = F.floor((F.col("__pos") - 1) / span)
     late = (F.col("__pos") - 1) % span >= span - halo
     home = F.struct(chunk.alias("chunk"), F.lit(False).alias("copy"))
-    copies = F.when(late, F.array(home, F.struct((chunk + 1).alias("chunk"), F.lit(True).alias("copy")))).otherwise(F.array(home))
+    away = F.struct((chunk + 1).alias("chunk"), F.lit(True).alias("copy"))
+    copies = F.when(late, F.array(home, away)).otherwise(F.array(home))
     spread = numbered.select("*", F.inline(copies).alias("__chunk", "__copy"))
     w = Window.partitionBy(*series.keys, "__chunk").orderBy("__pos")
     windowed = spread.withColumns({n: _full(f, F.col(c), w, rows) for n, (f, c, rows) in results.items()})

@@ -118,7 +118,7 @@ def test_run_lengths_decode_to_the_rows(spark, series, rows):
 def test_long_runs_expand_in_spans(spark, monkeypatch):
     monkeypatch.setattr(S, "SPAN", 8)
     runs = spark.createDataFrame([("k", 3, 40), ("k", 41, 41), ("j", 1, 8), ("j", 9, 24)], "k string, start_index long, end_index long")
-    got = sorted((r.k, r.position) for r in S.expand_runs(runs, ["k"]).collect())
+    got = sorted((r.k, r.position) for r in S.expand_runs(runs, ["k"], spread=True).collect())
     assert got == [("j", i) for i in range(1, 25)] + [("k", i) for i in range(3, 42)]
 
 
@@ -179,3 +179,11 @@ def test_a_missing_block_is_an_error(spark):
     df = spark.createDataFrame([("k", 1, None, 1.0, "a"), ("k", 2, 1, 1.0, "a")], SCHEMA)
     with pytest.raises(Exception, match="must not be missing"):
         S.positions(df, MODES["blocked"]).collect()
+
+
+def test_nan_counts_as_missing(spark):
+    rows = [("k", i, i, x, None) for i, x in enumerate([1.0, float("nan"), 2.0, 3.0])]
+    for s in MODES.values():
+        got = sorted(tuple(r) for r in S.valid_runs(frame(spark, rows), s, "x").collect())
+        assert got == [("k", 1, 1, 1), ("k", 3, 4, 2)]
+    assert sorted(r.t for r in S.own_segments(frame(spark, rows), MODES["plain"], "x", 2).collect()) == [2, 3]

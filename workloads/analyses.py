@@ -487,4 +487,4 @@ def q_aridity_stats(t: Tables) -> DataFrame:
 def q_naive_annual(t: Tables) -> DataFrame:
     """Member median of the unsmoothed scaled rain, per model and year."""
     naive = rain.scale_observed(rain.scale_terms(t.seasonal_model), t.seasonal_obs, "naive_scale_term")
-    return rounded(rain.median_annual_rain(naive), 4)
+    return rounded(rain.median_annual_rain(naive, None), 4)

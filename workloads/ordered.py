@@ -138,9 +138,8 @@ def w_rle(t: Tables) -> DataFrame:
 )
 def w_rle_decode(t: Tables) -> DataFrame:
     """The rows back from their runs."""
-    return expand_runs(run_lengths(_kinds(t), EVENTS, "kind"), ["gauge"], ["value"]).select(
-        "gauge", "position", "value"
-    )
+    rows = expand_runs(run_lengths(_kinds(t), EVENTS, "kind"), ["gauge"], ["value"], spread=True)
+    return rows.select("gauge", "position", "value")
 
 
 @query(
