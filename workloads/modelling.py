@@ -92,7 +92,7 @@ def t_logsinh_inv(t: Tables) -> DataFrame:
         WHEN 'log_sinh_transform' THEN ln(sinh(b * (y + 0.5))) / b
         WHEN 'boxcox_transform' THEN (power(y + 0.5, b) - 1) / b
         WHEN 'inverse_log_sinh_transform' THEN asinh(exp(b * y)) / b - 0.5
-        ELSE power(y * b + 1, 1 / b) - 0.5 END, 6) AS value
+        ELSE power(y * b + 1, 1 / b) - 0.5 END, 3) AS value
     FROM (SELECT gauge, t, rain / 100 AS y, unnest(['log_sinh_transform', 'boxcox_transform',
                  'inverse_log_sinh_transform', 'inverse_boxcox_transform']) AS method FROM flow_monthly)
     JOIN models_all USING (gauge)""",
@@ -109,7 +109,7 @@ def t_by_name(t: Tables) -> DataFrame:
     )
     joined = rows.join(transform_parameters(t.parameters, ["gauge"]), "gauge")
     value = transform_by_name(F.col("method"), F.col("y"), F.col("transform_parameter"), F.lit(0.5))
-    return rounded(joined.select("gauge", "t", "method", value.alias("value")))
+    return rounded(joined.select("gauge", "t", "method", value.alias("value")), 3)
 
 
 def _monthly_rows(t: Tables) -> DataFrame:
