@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
+import atexit
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_LOCAL_FOLDERS: dict[str, str] = {}
+_WRITTEN: list[tuple[SparkSession, str]] = []
 
 
 def local_session(cores: str | int = "*", shuffle_partitions: int = 8, app: str = "freshet") -> SparkSession:
@@ -27,21 +27,37 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8, app: str
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a temporary one only on a local master."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
+    """The folder that every executor reaches: ``spark.checkpoint.dir``, or the context's own checkpoint folder."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not folder:
         raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-    app = context.applicationId
-    if app not in _LOCAL_FOLDERS:
-        _LOCAL_FOLDERS[app] = tempfile.mkdtemp(prefix="freshet-")
-    return _LOCAL_FOLDERS[app]
+    return folder
+
+
+def use_folder_if_unset(spark: SparkSession, folder: str) -> None:
+    """For tests, the bench and local runs: ``folder`` holds written tables where the session names none."""
+    if not (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()):
+        spark.sparkContext.setCheckpointDir(folder)
 
 
 def new_table_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A path for a written table; it is removed when the driver's Python ends."""
+    path = f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    if not _WRITTEN:
+        atexit.register(remove_written)
+    _WRITTEN.append((spark, path))
+    return path
+
+
+def remove_written() -> None:
+    """Delete the tables that this driver has written, as far as their session still runs."""
+    while _WRITTEN:
+        spark, path = _WRITTEN.pop()
+        context = spark.sparkContext
+        if context._jsc is None or context._jsc.sc().isStopped():
+            continue
+        target = context._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(context._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

@@ -4,6 +4,7 @@ import pytest
 
 import __spark_entry__ as entry
 from tests.compare import compare, connect
+from workloads.registry import ORACLES, QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -14,7 +15,7 @@ def con():
 
 
 def test_every_query_has_a_twin():
-    assert set(entry.oracle_sql()) == set(entry.queries())
+    assert set(ORACLES) == set(QUERIES)
 
 
 def test_flagship(spark):
@@ -25,7 +26,7 @@ def test_flagship(spark):
 UNWANTED = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "InPandas", "InArrow")
 
 
-@pytest.mark.parametrize("key", list(entry.queries()))
+@pytest.mark.parametrize("key", list(QUERIES))
 def test_query_agrees_with_sql(spark, con, key):
     df = entry.queries()[key](spark, SF_DIR)
     assert compare(df, con, entry.oracle_sql()[key]) == []
