@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from freshet.llm import exact_dedup
+from freshet.llm import exact_dedup, url_filter, vantage_point
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 LLM_ORACLES: dict[str, str] = {}
@@ -37,3 +38,42 @@ SELECT doc_id, max(doc_id) OVER (PARTITION BY h) AS keep_id, count(*) OVER (PART
        doc_id = max(doc_id) OVER (PARTITION BY h) AS kept, h AS text_sha256
 FROM t
 """
+
+
+URL_RULES = [
+    url_filter.Rule("allow", "com", "/"),
+    url_filter.Rule("block", "example.com", "/en/"),
+    url_filter.Rule("allow", "www.example.com", "/en/"),
+    url_filter.Rule("block", "net", "/es/"),
+    url_filter.Rule("block", "net", "/fr/"),
+]
+
+
+@_query
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's host, path, fitting rule and verdict; two character models decide where no rule fits."""
+    return url_filter.judged(_table(spark, sf_dir, "pages"), URL_RULES)
+
+
+@_query
+def op7_vantage_point(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest neighbours of every hundredth vector, searched exactly (factor one)."""
+    vectors = _table(spark, sf_dir, "embeddings")
+    return vantage_point.nearest(vectors, F.col("vec_id") % 100 == 0)
+
+
+# The same search by brute force: 1 % of the rows against all rows.
+LLM_ORACLES["op7_vantage_point"] = """
+WITH v AS (
+  SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, x -> x <> 0)) > 0
+), d AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+         sqrt(list_sum(list_transform(list_zip(q.e, c.e), p -> (p[1] - p[2]) * (p[1] - p[2])))) AS score
+  FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id
+), r AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id)::INTEGER AS rank FROM d
+)
+SELECT query_id, rank, vec_id, round(score, 9) AS score FROM r WHERE rank <= 10
+"""
