@@ -61,13 +61,19 @@ def _fold(table: pa.Table, keep: str, listed: str) -> pa.Table:
     )
 
 
-def _folded(batches: Iterator[pa.RecordBatch], keep: str, listed: str, names: list[str]) -> Iterator[pa.Table]:
+def _schema(listed: str, kind: pa.DataType) -> pa.Schema:
+    longs = {name: pa.int64() for name in ("sort_key", "n_bytes", "keep_id", "n")}
+    kinds = longs | {"digest": pa.binary(), listed: pa.list_(kind)}
+    return pa.schema([(name, kinds[name]) for name in ("sort_key", "digest", "n_bytes", "keep_id", "n", listed)])
+
+
+def _folded(batches: Iterator[pa.RecordBatch], keep: str, listed: str, schema: pa.Schema) -> Iterator[pa.Table]:
     """Fold a sorted stream; the last row of each batch waits for the next batch."""
     waiting: pa.Table | None = None
     for batch in batches:
         if not batch.num_rows:
             continue
-        table = pa.Table.from_batches([batch]).select(names)
+        table = pa.Table.from_batches([batch]).select(schema.names).cast(schema)
         table = _fold(pa.concat_tables([waiting, table]) if waiting is not None else table, keep, listed)
         waiting = table.slice(table.num_rows - 1)
         if table.num_rows > 1:
@@ -77,11 +83,11 @@ def _folded(batches: Iterator[pa.RecordBatch], keep: str, listed: str, names: li
 
 
 def _runs(keep: str):
-    names = ["sort_key", "digest", "n_bytes", "keep_id", "n", "ids"]
+    schema = _schema("ids", pa.int64())
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId()
-        for table in _folded(batches, keep, "ids", names):
+        for table in _folded(batches, keep, "ids", schema):
             run = pa.array(np.full(table.num_rows, number, np.int32))
             yield from table.add_column(0, "run", run).combine_chunks().to_batches()
 
@@ -89,10 +95,10 @@ def _runs(keep: str):
 
 
 def _merge(keep: str):
-    names = ["sort_key", "digest", "n_bytes", "keep_id", "n", "runs"]
+    schema = _schema("runs", pa.int32())
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in _folded(batches, keep, "runs", names):
+        for table in _folded(batches, keep, "runs", schema):
             yield from table.combine_chunks().to_batches()
 
     return merge
