@@ -4,10 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from freshet.llm import exact_dedup, url_filter, vantage_point
+from freshet.llm import exact_dedup, piece_encoding, token_records, url_filter, vantage_point
+
+def tokenizer_file(name: str) -> str:
+    """Where the installed package of public tokenizers keeps a file."""
+    return public_tokenizers.path(name)
+
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 LLM_ORACLES: dict[str, str] = {}
@@ -22,6 +28,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@_query
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's SentencePiece ids and what they decode to, as digests."""
+    return piece_encoding.digests(_table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
+
+
 @_query
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Of the texts that are equal when A-Z is lower-cased, the row with the largest doc_id stays."""
@@ -55,6 +67,13 @@ def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judged(_table(spark, sf_dir, "pages"), URL_RULES)
 
 
+@_query
+def op6_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's ids written as framed records in ascending doc_id order, and read back."""
+    documents = _table(spark, sf_dir, "documents")
+    return token_records.encoded_and_read_back(spark, documents, tokenizer_file("byte_bpe_50k.json"))
+
+
 @_query
 def op7_vantage_point(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ten nearest neighbours of every hundredth vector, searched exactly (factor one)."""
@@ -66,14 +85,14 @@ def op7_vantage_point(spark: SparkSession, sf_dir: str) -> DataFrame:
 LLM_ORACLES["op7_vantage_point"] = """
 WITH v AS (
   SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
-  WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
-    AND len(list_filter(embedding, x -> x <> 0)) > 0
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
 ), d AS (
   SELECT q.vec_id AS query_id, c.vec_id,
-         sqrt(list_sum(list_transform(list_zip(q.e, c.e), p -> (p[1] - p[2]) * (p[1] - p[2])))) AS score
+         sqrt(list_sum(list_transform(list_zip(q.e, c.e), lambda p: (p[1] - p[2]) * (p[1] - p[2])))) AS score
   FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id
 ), r AS (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id)::INTEGER AS rank FROM d
 )
-SELECT query_id, rank, vec_id, round(score, 9) AS score FROM r WHERE rank <= 10
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
 """

@@ -64,10 +64,15 @@ def longest_rule(rules: list[Rule], host: Column, path: Column) -> Column:
 def _grams(url: Column) -> Column:
     """Per character its cell in the dense table: two predecessors and itself as one number."""
     codes = F.transform(F.split(F.concat(F.lit(START), lower_ascii(url)), ""), lambda c: F.instr(F.lit(ALPHABET), c))
-    return F.transform(
-        F.sequence(F.lit(3), F.length(url) + 2),
-        lambda i: (F.element_at(codes, i - 2) * SIZE + F.element_at(codes, i - 1)) * SIZE + F.element_at(codes, i),
+    # One-element array: the codes are computed once per URL, not once per character.
+    cells = F.transform(
+        F.array(codes),
+        lambda own: F.transform(
+            F.sequence(F.lit(3), F.length(url) + 2),
+            lambda i: (F.element_at(own, i - 2) * SIZE + F.element_at(own, i - 1)) * SIZE + F.element_at(own, i),
+        ),
     )
+    return F.element_at(cells, 1)
 
 
 def _smoothed(counts: DataFrame, n: str, least: int) -> DataFrame:

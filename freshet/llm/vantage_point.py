@@ -91,7 +91,8 @@ class Tree:
             near = (rough - slack <= best[active, -1:] ** 2) & (self.ids[first:last] != own[active, None])
             for at in np.flatnonzero(near.any(axis=1)):
                 q, cols = active[at], np.flatnonzero(near[at])
-                exact = np.sqrt(((rows[cols] - queries[q]) ** 2).sum(axis=1))
+                # Summed from the first component to the last, as the definition says.
+                exact = np.sqrt(np.cumsum((rows[cols] - queries[q]) ** 2, axis=1)[:, -1])
                 d, i = np.append(best[q], exact), np.append(names[q], self.ids[first + cols])
                 top = np.lexsort((i, d))[:k]
                 best[q], names[q] = d[top], i[top]
