@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from freshet.llm.columns import text_or_empty
-from freshet.llm.tokens import Pieces
+from freshet.llm.tokens import pieces_of
 
 SLICE = 64
 
@@ -29,7 +29,7 @@ def encoded(docs: DataFrame, model: str, id_column: str = "doc_id", text_column:
     """
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = Pieces(model)
+        pieces = pieces_of(model)
         for batch in batches:
             for at in range(0, batch.num_rows, SLICE):
                 part = batch.slice(at, SLICE)
@@ -51,7 +51,7 @@ def digests(docs: DataFrame, model: str, id_column: str = "doc_id", text_column:
     """
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = Pieces(model)
+        pieces = pieces_of(model)
         for batch in batches:
             for at in range(0, batch.num_rows, SLICE):
                 part = batch.slice(at, SLICE)

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from freshet.llm.columns import text_or_empty
-from freshet.llm.tokens import ByteBpe
+from freshet.llm.tokens import ByteBpe, byte_bpe
 from freshet.session import new_table_path, stored
 
 MASK_DELTA = 0xA282EAD8  # fixed value of the masked-checksum format
@@ -93,7 +93,7 @@ def write_records(
             if not batch.num_rows:
                 continue
             if encoder is None:
-                encoder = ByteBpe(tokenizer)
+                encoder = byte_bpe(tokenizer)
                 tail = b"" if end_id is None else np.array([end_id], encoder.kind).tobytes()
                 system, path = _opened(folder)
                 system.create_dir(path, recursive=True)

@@ -7,13 +7,14 @@ together. Texts in which a cut could matter go to the library whole. Nothing is
 
 from __future__ import annotations
 
+import functools
 import os
 import re
 
 import numpy as np
 
 SPACE = "▁"
-REMEMBERED = 400_000
+REMEMBERED = 1_000_000
 
 
 class _Memo(dict):
@@ -206,3 +207,14 @@ class Pieces:
     def joined(self, ids: list[int]) -> str:
         """The ids in decimal, joined by commas."""
         return ",".join(map(self.decimal.__getitem__, ids))
+
+
+@functools.lru_cache
+def byte_bpe(path: str) -> ByteBpe:
+    """One encoder per worker, so its memo outlives a task."""
+    return ByteBpe(path)
+
+
+@functools.lru_cache
+def pieces_of(path: str) -> Pieces:
+    return Pieces(path)
