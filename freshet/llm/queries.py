@@ -8,7 +8,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from freshet.llm import exact_dedup, piece_encoding, token_records, url_filter, vantage_point
+from freshet.llm import (
+    exact_dedup,
+    line_dedup,
+    piece_encoding,
+    source_mixing,
+    token_records,
+    toxicity,
+    url_filter,
+    vantage_point,
+)
 
 def tokenizer_file(name: str) -> str:
     """Where the installed package of public tokenizers keeps a file."""
@@ -28,6 +37,19 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@_query
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's toxicity, learned from the labels of four fifths of the ids."""
+    return toxicity.scored(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+@_query
+def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents that a mix of as many tokens as there are takes, with weights by the square root of each leaf's."""
+    mix = source_mixing.mixed(_table(spark, sf_dir, "documents"))
+    return mix.select("doc_id", "source", "lang", "mix_epoch", "mix_tokens", "mix_taken")
+
+
 @_query
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's SentencePiece ids and what they decode to, as digests."""
@@ -96,3 +118,39 @@ WITH v AS (
 )
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
 """
+
+
+@_query
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines that an earlier line repeats exactly or but for one edit."""
+    found = line_dedup.without_repeated_lines(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("text_sha256"))
+
+
+LLM_ORACLES["op8_line_dedup"] = """
+WITH l AS (
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+         unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS n
+  FROM documents
+), f AS (
+  SELECT line, min(doc_id * 1000000 + n) AS first, length(line) AS size FROM l WHERE trim(line, ' ') <> '' GROUP BY line
+), k AS (
+  SELECT line, first, size, unnest([size, size + 1]) AS longer FROM f WHERE size >= 20
+), h AS (
+  SELECT *, 'first' AS half, left(line, (longer - 1) // 2) AS part FROM k
+  UNION ALL SELECT *, 'last', right(line, (longer - 1) // 2) FROM k
+), near AS (
+  SELECT DISTINCT b.line
+  FROM h a JOIN h b ON a.longer = b.longer AND a.half = b.half AND a.part = b.part AND a.first < b.first
+  WHERE (a.size = b.size AND len(list_filter(range(1, a.size + 1), lambda i: a.line[i] <> b.line[i])) = 1)
+     OR (a.size = b.size + 1 AND len(list_filter(range(1, a.size + 1), lambda i: left(a.line, i - 1) || a.line[i + 1:] = b.line)) > 0)
+     OR (b.size = a.size + 1 AND len(list_filter(range(1, b.size + 1), lambda i: left(b.line, i - 1) || b.line[i + 1:] = a.line)) > 0)
+), kept AS (
+  SELECT l.doc_id, l.n, l.line,
+         trim(l.line, ' ') = '' OR (f.first = l.doc_id * 1000000 + l.n AND near.line IS NULL) AS stays
+  FROM l LEFT JOIN f ON l.line = f.line LEFT JOIN near ON l.line = near.line
+)
+SELECT doc_id, count(*)::INTEGER AS n_lines, count_if(NOT stays)::INTEGER AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY n) FILTER (stays), '')) AS text_sha256
+FROM kept GROUP BY doc_id
+"""
