@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from freshet.llm import (
     exact_dedup,
+    jaccard_join,
     line_dedup,
     piece_encoding,
     source_mixing,
@@ -154,3 +155,9 @@ SELECT doc_id, count(*)::INTEGER AS n_lines, count_if(NOT stays)::INTEGER AS n_d
        sha256(coalesce(string_agg(line, chr(10) ORDER BY n) FILTER (stays), '')) AS text_sha256
 FROM kept GROUP BY doc_id
 """
+
+
+@_query
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's number of five-word shingles and the component of its links at a similarity of 0.8."""
+    return jaccard_join.jaccard_groups(_table(spark, sf_dir, "documents"))
