@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from freshet.llm import (
+    attention_scores,
     exact_dedup,
     jaccard_join,
     line_dedup,
@@ -19,6 +21,7 @@ from freshet.llm import (
     url_filter,
     vantage_point,
 )
+from freshet.llm.columns import remainder_of_id
 
 def tokenizer_file(name: str) -> str:
     """Where the installed package of public tokenizers keeps a file."""
@@ -161,3 +164,14 @@ FROM kept GROUP BY doc_id
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's number of five-word shingles and the component of its links at a similarity of 0.8."""
     return jaccard_join.jaccard_groups(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op9_attention_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's log10 probability under a word unigram model and under a trained self-attention model."""
+    trains = remainder_of_id(F.col("doc_id"), 7) != 2
+    found = attention_scores.scored(_table(spark, sf_dir, "documents"), trains, tokenizer_file("piece_bpe_32k.model"))
+    return found.withColumn("held_out", remainder_of_id(F.col("doc_id"), 7) == 2)
+
+
+LLM_QUERIES["pipeline"] = corpus_pipeline.run
