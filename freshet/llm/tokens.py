@@ -14,20 +14,20 @@ import re
 import numpy as np
 
 SPACE = "▁"
-REMEMBERED = 1_000_000
+REMEMBERED = 1_500_000
 
 
 class _Memo(dict):
     """Chunk to value. Chunks that are not there are encoded together; a full memo starts anew."""
 
-    def __init__(self, encode_all) -> None:
+    def __init__(self, encode_all, most: int = REMEMBERED) -> None:
         super().__init__()
-        self.encode_all = encode_all
+        self.encode_all, self.most = encode_all, most
 
     def joined(self, texts: list[list[str]]) -> list[bytes]:
         """The values of each text's chunks, strung together."""
         missing = list({word: None for words in texts for word in words if word not in self})
-        if len(self) + len(missing) > REMEMBERED and len(self):
+        if len(self) + len(missing) > self.most and len(self):
             self.clear()
             missing = list({word: None for words in texts for word in words})
         self.update(zip(missing, self.encode_all(missing)))
@@ -46,6 +46,7 @@ class ByteBpe:
 
         self.library = Tokenizer.from_file(path)
         self.kind = np.dtype("<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4")
+        self.heads = _Memo(self.whole, 10_000)
         self.memo = _Memo(lambda words: self.whole([" " + w for w in words]))
 
     def whole(self, texts: list[str]) -> list[bytes]:
@@ -55,7 +56,7 @@ class ByteBpe:
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as packed integers of ``kind``."""
         cut = [[t] if self.UNSAFE.search(t) else t.split(" ") for t in texts]
-        first = self.whole([x[0] for x in cut])
+        first = self.heads.joined([x[:1] for x in cut])
         return [a + b for a, b in zip(first, self.memo.joined([x[1:] for x in cut]))]
 
 
