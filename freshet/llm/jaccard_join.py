@@ -9,7 +9,7 @@ What brings points together is the prefix rule: under one order of all shingles,
 first ``n - ceil(0.8 n) + 1``. The order is rarest first by a count sketch of fixed size, then by hash; any order is
 exact, this one keeps common passages out of the prefixes. Sets with a common prefix shingle form a bucket, and buckets
 are worked off in two rounds. Round one pairs each member with the bucket's first and with its predecessor by size, which
-is linear, and joins what is similar. Round two takes the buckets of three or more that still hold several components and
+is linear, and verifies one surviving pair per node, then those that still lie in two components. Round two takes the buckets of three or more that still hold several components and
 joins them over R-trees; boxes that lie in one component are skipped, so a large group of near copies costs no pairs.
 Buckets of more than ``BLOCK`` members are cut in blocks, and pairs of blocks are separate work.
 """
@@ -237,13 +237,19 @@ def jaccard_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str
     )
     near = buckets.select(F.explode(F.array("head", "before")).alias("x"), "node").filter("x <> node")
     near = near.select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct()
-    links = stored(_verified(stored(_bounded(near, points), "near-pairs"), rows), "near-links")
+    near = stored(_bounded(near, points), "near-pairs")
+    # One pair per node joins most of a group; other pairs are verified only where that left two components.
+    nearest = stored(near.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "near-firsts")
+    links = stored(_verified(nearest, rows), "near-links")
     # One id in several sets is one document.
     several = sets.join(points.select("sig", "node"), "sig").filter("id <> node").select(F.col("id").alias("a"), F.col("node").alias("b"))
     repeated = sets.groupBy("id").agg(F.count_distinct("sig").alias("k")).filter("k > 1").select(F.col("id").alias("a"))
     links = stored(links.unionByName(several.join(repeated, "a", "left_semi")), "near-links")
     first = stored(components(links), "near-components")
-    more = _verified(stored(_round_two(buckets, points, first), "near-pairs"), rows)
+    of_a, of_b = (first.select(F.col("node").alias(x), F.col("component").alias(f"of_{x}")) for x in "ab")
+    apart = near.join(of_a, "a", "left").join(of_b, "b", "left").filter("coalesce(of_a, a) <> coalesce(of_b, b)")
+    later = apart.select("a", "b").unionByName(_round_two(buckets, points, first)).distinct()
+    more = _verified(stored(later.join(nearest, ["a", "b"], "left_anti"), "near-pairs"), rows)
     found = stored(components(links.unionByName(more)), "near-components")
     of_sig = points.join(found, "node", "left").select("sig", F.coalesce("component", "node").alias("component"))
     return (
