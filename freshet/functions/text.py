@@ -36,8 +36,19 @@ def state_code(name: Column) -> Column:
 
 
 def letter(position: Column) -> Column:
-    """A for 1, B for 2, ... (26 letters)."""
-    return F.when(position.between(1, 26), F.char(F.lit(64) + position))
+    """A for 1, B for 2, ..., AA for 27, ..., ZZZ for 18,278; an error beyond."""
+    n = position - 1
+
+    def place(x: Column) -> Column:
+        return F.char(F.lit(65) + x.cast("int") % 26)
+
+    return (
+        F.when(position < 1, F.lit(None).cast("string"))
+        .when(n < 26, place(n))
+        .when(n < 702, F.concat(place(F.floor(n / 26) - 1), place(n)))
+        .when(n < 18278, F.concat(place(F.floor((n - 702) / 676)), place(F.floor((n - 702) / 26)), place(n - 702)))
+        .when(position.isNotNull(), F.raise_error(F.lit("no letters for a place behind 18278")))
+    )
 
 
 def lettered_list(labels: Column) -> Column:

@@ -133,15 +133,24 @@ def score(
     segment: Sequence[str],
     order: str = "year",
     carry: Sequence[str] = (),
+    missing: str = "error",
 ) -> DataFrame:
     """Score every row with the model of its key; returns the rows with ``transformed_streamflow``.
 
     ``segment`` names the columns that identify one contiguous segment (they include ``keys``
     where a key has several parameter sets). A segment holds at most one row per ``order`` step,
-    so the ordered fold below works on a short array.
+    so the ordered fold below works on a short array. A key without parameters is an error, or keeps
+    its rows without a flow when ``missing`` is ``"keep"``.
     """
+    if missing not in ("error", "keep"):
+        raise ValueError(f"missing is error or keep, not {missing}")
     base, full = _terms()
-    ready = rows.join(bound, list(keys)).withColumns({"__base": base, "__full": full})
+    if missing == "error":
+        absent = F.raise_error(F.concat_ws(" ", F.lit("no parameters for"), *[F.col(k).cast("string") for k in keys]))
+        full = F.when(F.col("has_auto").isNull(), absent).otherwise(full)
+    else:
+        full, base = (F.when(F.col("has_auto").isNotNull(), c) for c in (full, base))
+    ready = rows.join(bound, list(keys), "left").withColumns({"__base": base, "__full": full})
     record = F.struct(order, *[c for c in carry if c != order], F.col("__full").alias("__c"))
     grouped = ready.groupBy(*segment).agg(
         F.array_sort(F.collect_list(record)).alias("__rows"),

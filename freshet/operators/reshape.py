@@ -21,20 +21,40 @@ def columns_ending(df: DataFrame, suffix: str) -> list[str]:
 
 
 def name_positions(df: DataFrame, names: DataFrame, position: str, name: str) -> DataFrame:
-    """Replace the labels ``V1..Vn`` in ``position`` by the ``name`` of the same position in ``names``."""
+    """Replace the labels ``V1..Vn`` in ``position`` by the ``name`` of the same position in ``names``.
+
+    A position that ``names`` lacks is an error.
+    """
     labelled = names.select(F.concat(F.lit("V"), F.col("position").cast("string")).alias(position), F.col(name))
-    return df.join(labelled, position, "left").drop(position)
+    unknown = F.raise_error(F.concat(F.lit("no name for position "), F.col(position)))
+    named = F.when(F.col(name).isNull() & F.col(position).isNotNull(), unknown).otherwise(F.col(name))
+    return df.join(labelled, position, "left").withColumn(name, named).drop(position)
 
 
 def to_wide(
-    df: DataFrame, ids: Sequence[str], name: Column, labels: Mapping[object, str], value: Column
+    df: DataFrame, ids: Sequence[str], name: Column, labels: Mapping[object, str], value: Column, others: str = "error"
 ) -> DataFrame:
     """One column per label. Fails when ``(ids, name)`` is not unique.
 
+    A row whose label is not listed is an error, or left out with ``others="drop"``.
+
     One aggregate with one shuffle; ``groupBy.pivot`` would shuffle twice and the uniqueness
     check would be a job of its own.
     """
-    return df.groupBy(*ids).agg(*[unique_cell(name == F.lit(k), value, k).alias(label) for k, label in labels.items()])
+    cells = {label: unique_cell(name == F.lit(k), value, k) for k, label in labels.items()}
+    return df.groupBy(*ids).agg(*_listed_only(cells, name, labels, others))
+
+
+def _listed_only(cells: dict[str, Column], name: Column, labels: Mapping[object, str], others: str) -> list[Column]:
+    """The cells; the first one fails for a group with a label outside the list."""
+    if others not in ("error", "drop"):
+        raise ValueError(f"others is error or drop, not {others}")
+    first = next(iter(cells))
+    if others == "error":
+        listed = F.coalesce(name.isin(*labels), F.lit(False))
+        unlisted = F.raise_error(F.concat(F.lit("a label that is not listed: "), F.max(F.when(~listed, name.cast("string")))))
+        cells[first] = F.when(F.count_if(~listed) > 0, unlisted).otherwise(cells[first])
+    return [cell.alias(label) for label, cell in cells.items()]
 
 
 def unique_cell(match: Column, value: Column, label: object) -> Column:
@@ -44,12 +64,11 @@ def unique_cell(match: Column, value: Column, label: object) -> Column:
 
 
 def sum_to_wide(
-    df: DataFrame, ids: Sequence[str], name: Column, labels: Mapping[object, str], value: Column
+    df: DataFrame, ids: Sequence[str], name: Column, labels: Mapping[object, str], value: Column, others: str = "error"
 ) -> DataFrame:
-    """Strict sum per ``(ids, name)`` laid out with one column per label, in one shuffle."""
-    return df.groupBy(*ids).agg(
-        *[strict_sum_where(name == F.lit(k), value).alias(label) for k, label in labels.items()]
-    )
+    """Strict sum per ``(ids, name)`` laid out with one column per label, in one shuffle; ``others`` as in ``to_wide``."""
+    cells = {label: strict_sum_where(name == F.lit(k), value) for k, label in labels.items()}
+    return df.groupBy(*ids).agg(*_listed_only(cells, name, labels, others))
 
 
 def with_rank(df: DataFrame, column: str, levels: Sequence[str], rank: str) -> DataFrame:

@@ -15,7 +15,8 @@ def ecdf_on_grid(df: DataFrame, value: str, low: float, high: float, points: int
     """Empirical distribution function at ``points`` equal steps from ``low`` to ``high``.
 
     Each value is assigned to the first grid point that is not below it, the values per grid
-    point are counted, and a running sum over the ``points`` counts gives the function.
+    point are counted, and a running sum over the ``points`` counts gives the function. NaN is left
+    out; infinities lie before the first point and behind the last.
     """
     step = (high - low) / (points - 1)
     v = F.col(value)
@@ -23,10 +24,11 @@ def ecdf_on_grid(df: DataFrame, value: str, low: float, high: float, points: int
     def at(i: Column) -> Column:
         return F.lit(low) + F.lit(step) * i
 
-    guess = F.ceil((v - F.lit(low)) / F.lit(step))
+    # Bounded as a double: an infinity has no integer.
+    guess = F.ceil(F.greatest(F.lit(-1.0), F.least(F.lit(points + 1.0), (v - F.lit(low)) / F.lit(step))))
     slot = F.when(v <= at(guess - 1), guess - 1).when(v > at(guess), guess + 1).otherwise(guess)
     bounded = F.greatest(F.lit(0), F.least(F.lit(points), slot)).cast("int")
-    counts = df.where(v.isNotNull()).groupBy(bounded.alias("i")).agg(F.count(F.lit(1)).alias("n"))
+    counts = df.where(v.isNotNull() & ~F.isnan(v.cast("double"))).groupBy(bounded.alias("i")).agg(F.count(F.lit(1)).alias("n"))
     grid = df.sparkSession.range(points + 1).select(F.col("id").cast("int").alias("i"))
     # points + 1 rows: the one window without keys is as small as the grid.
     w = Window.orderBy("i")
@@ -39,11 +41,12 @@ def ecdf_on_grid(df: DataFrame, value: str, low: float, high: float, points: int
 
 
 def histogram(df: DataFrame, value: str, bins: int = 30) -> DataFrame:
-    """Counts in ``bins`` equal bins over the range of a column; empty bins have no row.
+    """Counts in ``bins`` equal, left-closed bins over the finite range of a column; empty bins have no row.
 
+    NaN and infinities are in no bin and do not move the range.
     The range is found first, so ``df`` is read twice: pass a written table.
     """
-    present = df.where(F.col(value).isNotNull()).select(value)
+    present = df.where(F.abs(F.col(value).cast("double")) < float("inf")).select(value)
     limits = present.agg(F.struct(F.min(value).alias("low"), F.max(value).alias("high"))).scalar()
     placed = present.withColumn("__l", limits).select(
         value, F.col("__l.low").alias("low"), ((F.col("__l.high") - F.col("__l.low")) / bins).alias("width")
@@ -57,8 +60,8 @@ def histogram(df: DataFrame, value: str, bins: int = 30) -> DataFrame:
 
 
 def share_above(value: Column, threshold: float) -> Column:
-    """Aggregate: percentage of values above a threshold."""
-    return F.avg((value > threshold).cast("double")) * 100
+    """Aggregate: percentage of values above a threshold; NULL where one of them is NaN."""
+    return F.when(F.count_if(F.isnan(value.cast("double"))) == 0, F.avg((value > threshold).cast("double")) * 100)
 
 
 def label_lists(df: DataFrame, group: str, label: str) -> DataFrame:

@@ -47,12 +47,13 @@ def log_sinh_inverse(z: Column, b: Column, offset: Column) -> Column:
 
 
 def transform_by_name(method: Column, value: Column, parameter: Column, offset: Column) -> Column:
-    """The transform named in each row; the parameter is ``b`` or ``lambda`` accordingly."""
+    """The transform named in each row; the parameter is ``b`` or ``lambda`` accordingly. An unknown name is an error."""
     return (
         F.when(method == LOG_SINH, log_sinh(value, parameter, offset))
         .when(method == BOX_COX, boxcox(value, parameter, offset))
         .when(method == LOG_SINH_INVERSE, log_sinh_inverse(value, parameter, offset))
         .when(method == BOX_COX_INVERSE, boxcox_inverse(value, parameter, offset))
+        .when(method.isNotNull(), F.raise_error(F.concat(F.lit("unknown transform "), method)))
     )
 
 

@@ -141,8 +141,8 @@ def annual_rain(scaled: DataFrame) -> DataFrame:
     )
 
 
-def median_annual_rain(scaled: DataFrame, models: Sequence[str] | None = FINAL_MODELS) -> DataFrame:
-    """Median over the ensemble members of each of ``models`` (of all with ``None``)."""
+def median_annual_rain(scaled: DataFrame, models: Sequence[str] | None = None) -> DataFrame:
+    """Median over the ensemble members of each of ``models``, such as ``FINAL_MODELS``; of all by default."""
     kept = scaled if models is None else scaled.where(F.col("GCM").isin(*models))
     return annual_rain(kept).groupBy("year", "gauge", "GCM").agg(
         strict_median(F.col("annual_rainfall_obs")).alias("annual_rainfall_obs"),
