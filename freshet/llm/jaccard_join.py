@@ -31,7 +31,7 @@ from freshet.llm.components import components
 from freshet.llm.shingles import slices
 from freshet.session import stored
 
-GROUPS = 32
+GROUPS = 128
 SKETCH = 1 << 16
 BLOCK = 4_096
 LEAF = 32
@@ -65,7 +65,7 @@ def _points(rows: DataFrame, sketch: np.ndarray) -> DataFrame:
             count = piece.num_rows
             n = np.bincount(owner, minlength=count)
             ends = np.cumsum(n)
-            groups = owner * GROUPS + (hashes >> np.uint64(59)).astype(np.int64)
+            groups = owner * GROUPS + (hashes >> np.uint64(57)).astype(np.int64)
             vec = np.bincount(groups, minlength=count * GROUPS).astype("<u4").reshape(count, GROUPS)
             signed = hashes.view(SIGNED)
             sig = [hashlib.blake2b(signed[e - m : e].tobytes(), digest_size=16).digest() for e, m in zip(ends, n)]
