@@ -1,9 +1,11 @@
 """Jaccard join of word shingles over a count-vector R-tree.
 
-Texts with equal shingle sets are one node, so copies cost nothing further. Shingles are hashed into ``GROUPS`` groups; a
+Texts with equal shingle sets are one node, so copies cost nothing further. Shingles are hashed into groups, two to four
+shingles to a group from ``GROUPS`` groups on, so that the counts of a long text tell as much as those of a short one; a
 node's counts per group are a point. Two sets share at most the sum over groups of the lesser count, and a similarity of
 0.8 needs an overlap of 4/9 of both sizes together: an R-tree over the points, bounding a box by the minima with its upper
-corner, leaves only pairs that may be similar. These are verified on the whole sets.
+corner, leaves only pairs that may be similar. These are verified on the whole sets. The number of groups is a power of
+two by the set's size; similar sets have the same or neighbouring ones, and adding up neighbours halves a point's width.
 
 What brings points together is the prefix rule: under one order of all shingles, sets as similar as this share one of their
 first ``n - ceil(0.8 n) + 1``. The order is rarest first by a count sketch of fixed size, then by hash; any order is
@@ -28,10 +30,11 @@ from pyspark.sql.window import Window
 
 from freshet.llm.columns import text_or_empty
 from freshet.llm.components import components
-from freshet.llm.shingles import slices
+from freshet.llm.shingles import slices, sort_within
 from freshet.session import stored
 
-GROUPS = 128
+GROUPS = 64
+#: Cells of the sketch, by the low 16 bits of a hash.
 SKETCH = 1 << 16
 BLOCK = 4_096
 LEAF = 32
@@ -60,31 +63,51 @@ def _sketch(rows: DataFrame) -> np.ndarray:
 def _points(rows: DataFrame, sketch: np.ndarray) -> DataFrame:
     """(id, n, sig, vec, keys) per row: size, digest and group counts of the shingle set, and its prefix."""
 
+    rank = np.argsort(np.argsort(sketch, kind="stable"), kind="stable").astype(np.uint64)
+
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece, owner, hashes in slices(batches):
             count = piece.num_rows
             n = np.bincount(owner, minlength=count)
             ends = np.cumsum(n)
-            groups = owner * GROUPS + (hashes >> np.uint64(57)).astype(np.int64)
-            vec = np.bincount(groups, minlength=count * GROUPS).astype("<u4").reshape(count, GROUPS)
+            width = widths(n)
+            before = np.append(0, np.cumsum(width))
+            shift = (64 - np.log2(width).astype(np.int64)).astype(np.uint64)
+            groups = before[owner] + (hashes >> shift[owner]).astype(np.int64)
+            counts = np.bincount(groups, minlength=before[-1])
+            vec = [packed(counts[i:j]) for i, j in zip(before, before[1:])]
             signed = hashes.view(SIGNED)
             sig = [hashlib.blake2b(signed[e - m : e].tobytes(), digest_size=16).digest() for e, m in zip(ends, n)]
-            weight = sketch[(hashes & np.uint64(SKETCH - 1)).astype(np.int64)]
-            order = np.lexsort((hashes, weight, owner))
-            rank = np.arange(len(owner)) - np.repeat(ends - n, n)
             prefix = n - (4 * n + 4) // 5 + (n > 0)
-            first = rank < prefix[owner]
+            # The cell's rank in place of its number: the order is by this, and no two shingles become one.
+            ordered = (rank[(hashes & np.uint64(SKETCH - 1)).astype(np.int64)] << np.uint64(48)) | (hashes >> np.uint64(16))
+            sort_within(ordered, n)
+            first = np.arange(len(owner)) - np.repeat(ends - n, n) < prefix[owner]
             keys = pa.ListArray.from_arrays(
-                pa.array(np.append(0, np.cumsum(prefix)), pa.int32()), pa.array(signed[order][first])
+                pa.array(np.append(0, np.cumsum(prefix)), pa.int32()), pa.array(ordered.view(SIGNED)[first])
             )
-            columns = [piece["id"], pa.array(n), pa.array(sig), pa.array([v.tobytes() for v in vec]), keys]
+            columns = [piece["id"], pa.array(n), pa.array(sig), pa.array(vec, pa.binary()), keys]
             yield pa.record_batch(columns, names=["id", "n", "sig", "vec", "keys"])
 
     return rows.mapInArrow(make, "id long, n long, sig binary, vec binary, keys array<long>")
 
 
-def _vectors(column: pd.Series) -> np.ndarray:
-    return np.frombuffer(b"".join(column), "<u4").reshape(-1, GROUPS).astype(np.int64)
+def widths(n: np.ndarray) -> np.ndarray:
+    """How many groups a set of n shingles has."""
+    half = np.log2(np.maximum(n, 2)).astype(np.int64) - 1
+    return np.maximum(GROUPS, 1 << half)
+
+
+def packed(counts: np.ndarray) -> bytes:
+    """Counts in a byte each; where one does not fit, all are 255, which bounds any overlap."""
+    return (counts if counts.max(initial=0) <= 255 else np.full(len(counts), 255)).astype(np.uint8).tobytes()
+
+
+def folded(points: np.ndarray, width: int) -> np.ndarray:
+    """Points with neighbouring groups added up until there are ``width``."""
+    while points.shape[-1] > width:
+        points = points[..., ::2].astype(np.uint16) + points[..., 1::2]
+    return points
 
 
 def _bounded(pairs: DataFrame, points: DataFrame) -> DataFrame:
@@ -92,14 +115,16 @@ def _bounded(pairs: DataFrame, points: DataFrame) -> DataFrame:
 
     def keep(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
-            most = np.minimum(_vectors(f["vec_a"]), _vectors(f["vec_b"])).sum(axis=1)
-            yield f.loc[9 * most >= 4 * (f["n_a"] + f["n_b"]).to_numpy(), ["a", "b"]]
+            able = np.zeros(len(f), bool)
+            for i, (a, b, both) in enumerate(zip(f["vec_a"], f["vec_b"], (f["n_a"] + f["n_b"]).tolist())):
+                x, y = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
+                width = min(len(x), len(y))
+                able[i] = 9 * int(np.minimum(folded(x, width), folded(y, width)).sum(dtype=np.int64)) >= 4 * both
+            yield f.loc[able, ["a", "b"]]
 
     own = points.select("node", "n", "vec")
     a, b = (own.select(*[F.col(c).alias(x if c == "node" else f"{c}_{x}") for c in own.columns]) for x in "ab")
-    return pairs.join(a, "a").join(b, "b").filter("5 * least(n_a, n_b) >= 4 * greatest(n_a, n_b)").mapInPandas(
-        keep, "a long, b long"
-    )
+    return pairs.join(a, "a").join(b, "b").mapInPandas(keep, "a long, b long")
 
 
 def _verified(pairs: DataFrame, rows: DataFrame) -> DataFrame:
@@ -125,8 +150,8 @@ def _verified(pairs: DataFrame, rows: DataFrame) -> DataFrame:
 class Tree:
     """An R-tree over count vectors: boxes by their upper corner, least size and, where there is only one, component."""
 
-    def __init__(self, points: np.ndarray, sizes: np.ndarray, parts: np.ndarray) -> None:
-        self.points, self.sizes, self.parts = points, sizes, parts
+    def __init__(self, points: np.ndarray, sizes: np.ndarray, parts: np.ndarray, rows: np.ndarray) -> None:
+        self.points, self.sizes, self.parts, self.rows = points, sizes, parts, rows
         self.root = self._node(np.arange(len(points)))
 
     def _node(self, own: np.ndarray) -> tuple:
@@ -146,12 +171,12 @@ class Tree:
         waiting = [(self.root, other.root)]
         while waiting:
             x, y = waiting.pop()
-            if x[2] == y[2] != -1 or 9 * np.minimum(x[0], y[0]).sum() < 4 * (x[1] + y[1]):
+            if x[2] == y[2] != -1 or 9 * int(np.minimum(x[0], y[0]).sum(dtype=np.int64)) < 4 * (x[1] + y[1]):
                 continue
             if x[3] or y[3]:
                 waiting += [(a, b) for a in x[3] or [x] for b in y[3] or [y]]
                 continue
-            most = np.minimum(self.points[x[4]][:, None], other.points[y[4]]).sum(axis=2)
+            most = np.minimum(self.points[x[4]][:, None], other.points[y[4]]).sum(axis=2, dtype=np.int32)
             able = 9 * most >= 4 * (self.sizes[x[4]][:, None] + other.sizes[y[4]])
             able &= self.parts[x[4]][:, None] != other.parts[y[4]]
             i, j = np.nonzero(able)
@@ -159,19 +184,46 @@ class Tree:
                 yield x[4][i], y[4][j]
 
 
-def _tree_pairs(group: pd.DataFrame) -> pd.DataFrame:
-    """Pairs that one (bucket, block, block) leaves."""
-    trees = []
-    for block in sorted(group["block"].unique()):
-        own = group[group["block"] == block]
-        ids = own["node"].to_numpy()
-        trees.append((ids, Tree(_vectors(own["vec"]), own["n"].to_numpy(), own["component"].to_numpy())))
-    (ids_x, x), (ids_y, y) = trees[0], trees[-1]
-    found = [(ids_x[i], ids_y[j]) for i, j in x.pairs(y)]
-    a = np.concatenate([f[0] for f in found]) if found else np.zeros(0, np.int64)
-    b = np.concatenate([f[1] for f in found]) if found else np.zeros(0, np.int64)
-    low, high = np.minimum(a, b), np.maximum(a, b)
-    return pd.DataFrame({"a": low, "b": high}).drop_duplicates()
+def _leaf_pairs(sizes: np.ndarray, parts: np.ndarray, vec: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows i < j that may be similar and lie in different components; few rows, as of one leaf."""
+    able = (parts[:, None] != parts) & (5 * np.minimum(sizes[:, None], sizes) >= 4 * np.maximum(sizes[:, None], sizes))
+    found = []
+    for i, j in zip(*np.nonzero(np.triu(able))):
+        x, y = np.frombuffer(vec[i], np.uint8), np.frombuffer(vec[j], np.uint8)
+        width = min(len(x), len(y))
+        most = int(np.minimum(folded(x, width), folded(y, width)).sum(dtype=np.int64))
+        if 9 * most >= 4 * int(sizes[i] + sizes[j]):
+            found.append((i, j))
+    found = np.array(found, np.int64).reshape(-1, 2)
+    return found[:, 0], found[:, 1]
+
+
+def _work_pairs(nodes: np.ndarray, sizes: np.ndarray, parts: np.ndarray, block: np.ndarray, vec: np.ndarray) -> np.ndarray:
+    """Pairs (a row each) that one (bucket, block, block) leaves."""
+    if (parts == parts[0]).all():
+        return np.zeros((0, 2), np.int64)
+    if len(nodes) <= LEAF:
+        i, j = _leaf_pairs(sizes, parts, vec)
+        return np.stack([nodes[i], nodes[j]], axis=1)
+    width = np.fromiter(map(len, vec), np.int64, len(vec))
+    trees: dict[tuple, Tree | None] = {}
+
+    def tree(side: int, own: int, to: int) -> Tree | None:
+        if (side, own, to) not in trees:
+            rows = np.flatnonzero((block == side) & (width == own))
+            points = np.frombuffer(b"".join(vec[rows]), np.uint8).reshape(len(rows), -1) if len(rows) else None
+            trees[side, own, to] = Tree(folded(points, to), sizes[rows], parts[rows], rows) if len(rows) else None
+        return trees[side, own, to]
+
+    low, high = int(block.min()), int(block.max())
+    found = [np.zeros((2, 0), np.int64)]
+    for w in np.unique(width).tolist():
+        # Equal widths, and those of which one is double the other.
+        for v, u in {(w, w), (w, 2 * w)} | ({(2 * w, w)} if low < high else set()):
+            x, y = tree(low, v, w), tree(high, u, w)
+            if x and y:
+                found += [np.stack([nodes[x.rows[i]], nodes[y.rows[j]]]) for i, j in x.pairs(y)]
+    return np.concatenate(found, axis=1).T
 
 
 def _round_two(buckets: DataFrame, points: DataFrame, found: DataFrame) -> DataFrame:
@@ -181,7 +233,15 @@ def _round_two(buckets: DataFrame, points: DataFrame, found: DataFrame) -> DataF
         .join(found.select("node", "component"), "node", "left")
         .withColumn("component", F.coalesce("component", "node"))
     )
-    mixed = member.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi")
+    mixed = member.groupBy("key").agg(
+        F.min("component").alias("lo"),
+        F.max("component").alias("hi"),
+        F.count("*").alias("k"),
+        F.bit_xor(F.xxhash64("node")).alias("x"),
+        F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y"),
+    )
+    # Buckets with the same members, as the shingles of one passage make them, are the same work.
+    mixed = mixed.filter("lo < hi").groupBy("lo", "hi", "k", "x", "y").agg(F.min("key").alias("key"))
     member = member.join(mixed.select("key"), "key", "left_semi").join(points.select("node", "vec"), "node")
     member = member.withColumn("block", F.floor((F.col("place") - 1) / BLOCK).cast("int"))
     blocks = F.ceil(F.col("members") / BLOCK).cast("int")
@@ -190,17 +250,23 @@ def _round_two(buckets: DataFrame, points: DataFrame, found: DataFrame) -> DataF
         "node", "n", "vec", "component", "block",
     )
 
+    def pairs_of(frame: pd.DataFrame) -> pd.DataFrame:
+        work = frame["work"].to_numpy()
+        edges = [0, *(np.flatnonzero(work[1:] != work[:-1]) + 1).tolist(), len(work)]
+        columns = [frame[c].to_numpy() for c in ("node", "n", "component", "block", "vec")]
+        found = [_work_pairs(*(c[i:j] for c in columns)) for i, j in zip(edges, edges[1:]) if i < j]
+        pairs = np.unique(np.sort(np.concatenate([np.zeros((0, 2), np.int64), *found]), axis=1), axis=0)
+        return pd.DataFrame(pairs, columns=["a", "b"])
+
     def join(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rest = None
         for frame in frames:
             frame = frame if rest is None else pd.concat([rest, frame], ignore_index=True)
-            last = frame["work"].iloc[-1] if len(frame) else None
-            rest = frame[frame["work"] == last]
-            done = [_tree_pairs(g) for _, g in frame[frame["work"] != last].groupby("work", sort=False)]
-            if done:
-                yield pd.concat(done).drop_duplicates()
-        if rest is not None and len(rest):
-            yield _tree_pairs(rest)
+            last = frame["work"] == frame["work"].iloc[-1] if len(frame) else np.zeros(0, bool)
+            rest = frame[last]
+            yield pairs_of(frame[~last])
+        if rest is not None:
+            yield pairs_of(rest)
 
     # A bucket's work is bounded by two blocks; sorting puts it side by side.
     return dealt.repartition("work").sortWithinPartitions("work").mapInPandas(join, "a long, b long").distinct()
@@ -230,13 +296,14 @@ def jaccard_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str
             "key", "node", "n",
             F.count("*").over(Window.partitionBy("key")).alias("members"),
             F.row_number().over(by_size).alias("place"),
-            F.first("node").over(by_size).alias("head"),
-            F.lag("node").over(by_size).alias("before"),
+            F.first(F.struct("node", "n")).over(by_size).alias("head"),
+            F.lag(F.struct("node", "n")).over(by_size).alias("before"),
         ).filter("members > 1"),
         "near-buckets",
     )
-    near = buckets.select(F.explode(F.array("head", "before")).alias("x"), "node").filter("x <> node")
-    near = near.select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct()
+    near = buckets.select(F.explode(F.array("head", "before")).alias("x"), "node", "n")
+    near = near.filter("x.node <> node and 5 * x.n >= 4 * n")  # x is not the larger one
+    near = near.select(F.least("x.node", "node").alias("a"), F.greatest("x.node", "node").alias("b")).distinct()
     near = stored(_bounded(near, points), "near-pairs")
     # One pair per node joins most of a group; other pairs are verified only where that left two components.
     nearest = stored(near.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "near-firsts")

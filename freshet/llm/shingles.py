@@ -27,6 +27,15 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def sort_within(values: np.ndarray, sizes: np.ndarray) -> None:
+    """Sort each stretch of ``values`` in place; the stretches follow one another and have the given sizes."""
+    start = 0
+    for stop in np.cumsum(sizes).tolist():
+        if stop - start > 1:
+            values[start:stop].sort()
+        start = stop
+
+
 def _words(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words (runs of bytes other than ASCII white space), and how many words precede each text."""
     if not len(data):
@@ -63,8 +72,7 @@ def _distinct(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     for step in range(WORDS):
         hashes += np.where(size > step, padded[first + step] * _STEPS[step], np.uint64(0))
     hashes = mixed(hashes)
-    order = np.lexsort((hashes, owner))
-    owner, hashes = owner[order], hashes[order]
+    sort_within(hashes, n)
     new = np.ones(len(owner), bool)
     new[1:] = (owner[1:] != owner[:-1]) | (hashes[1:] != hashes[:-1])
     return owner[new], hashes[new]
