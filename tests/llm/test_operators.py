@@ -281,3 +281,37 @@ def test_pipeline(spark):
     texts = {(r["doc_id"], hashlib.sha256(library.decode(library.encode(r["text"] or "")).encode()).hexdigest()) for r in docs.collect()}
     last = corpus_pipeline.STAGES[-1][1](spark, docs, SF).collect()
     assert {(r["doc_id"], r["decoded_sha256"]) for r in last} == texts and len(last) == docs.count()
+
+
+@pytest.mark.parametrize("split", [False, True])
+def test_tree_pairs_lose_no_similar_pair(split):
+    rng = np.random.default_rng(5)
+    base = rng.integers(0, 1 << 63, 900, dtype=np.uint64) * np.uint64(2)
+    sets = []
+    for size in rng.integers(60, 900, 150):
+        own = np.unique(np.append(base[:size], rng.integers(0, 1 << 63, size // 12, dtype=np.uint64)))
+        sets.append(own)
+    sets.sort(key=len)
+    sizes = np.array([len(s) for s in sets])
+    widths = jaccard_join.widths(sizes)
+    vec = np.empty(len(sets), object)
+    for i, (s, w) in enumerate(zip(sets, widths.tolist())):
+        cell = (s >> np.uint64(64 - int(np.log2(w)))).astype(np.int64)
+        vec[i] = jaccard_join.packed(np.bincount(cell, minlength=w))
+    parts = np.arange(len(sets)) // 3
+    block = np.arange(len(sets)) // 75 * split
+    assert len(set(widths.tolist())) > 2
+    found = {tuple(sorted(p)) for p in jaccard_join._work_pairs(np.arange(len(sets)), sizes, parts, block, vec).tolist()}
+    assert all(parts[a] != parts[b] for a, b in found)
+    for b in range(len(sets)):
+        for a in range(b):
+            common = len(np.intersect1d(sets[a], sets[b]))
+            similar = 100 * common >= 80 * (sizes[a] + sizes[b] - common)
+            if similar and parts[a] != parts[b] and (not split or block[a] != block[b]):
+                assert (a, b) in found
+
+
+def test_a_count_beyond_a_byte_bounds_any_overlap():
+    assert jaccard_join.packed(np.array([3, 255])) == bytes([3, 255])
+    assert jaccard_join.packed(np.array([0, 256, 1])) == bytes([255] * 3)
+    assert jaccard_join.folded(np.full(4, 255, np.uint8), 1).tolist() == [1020]
