@@ -26,6 +26,9 @@ from freshet.operators.reshape import unique_cell
 PREFIX = "streamflow_model_"
 MODEL_PARAMETERS = ("a0", "a0_d", "a0_n", "a1", "a2", "a3_intercept", "a3_slope", "a4", "a5")
 
+#: Rows that one inner fold of the autoregression gathers.
+BLOCK = 64
+
 
 @dataclass(frozen=True)
 class FlowModel:
@@ -168,12 +171,23 @@ def score(
 
 
 def _recursion(rows: Column, mu: Column, a2: Column, auto: Column) -> Column:
-    """Ordered fold of the autoregression; without autocorrelation the terms stand alone."""
+    """Ordered fold of the autoregression; without autocorrelation the terms stand alone.
+
+    Appending to an array copies it, so values are gathered in blocks of ``BLOCK`` rows, and blocks in an array of blocks.
+    """
     plain = F.transform(rows, lambda r: r["__c"])
-    start = F.struct(F.array().cast("array<double>").alias("y"), mu.alias("last"))
+    none = F.array().cast("array<double>")
 
     def step(state: Column, r: Column) -> Column:
         now = r["__c"] + a2 * (state["last"] - mu)
         return F.struct(F.array_append(state["y"], now).alias("y"), now.alias("last"))
 
-    return F.when(auto, F.aggregate(rows, start, step, lambda s: s["y"])).otherwise(plain)
+    def block(done: Column, first: Column) -> Column:
+        last = F.element_at(done, -1)["last"]
+        start = F.struct(none.alias("y"), last.alias("last"))
+        return F.array_append(done, F.aggregate(F.slice(rows, first, BLOCK), start, step))
+
+    firsts = F.sequence(F.lit(1), F.size(rows), F.lit(BLOCK))
+    start = F.array(F.struct(none.alias("y"), mu.alias("last")))
+    folded = F.aggregate(firsts, start, block, lambda done: F.flatten(F.transform(done, lambda b: b["y"])))
+    return F.when(auto, folded).otherwise(plain)

@@ -104,6 +104,16 @@ def test_every_model_against_the_written_out_recursion(spark):
         assert got[f"g{i}"] == pytest.approx(by_hand(model, rain, drought, co2, ratio, segment)), model.name
 
 
+def test_a_segment_longer_than_a_block(spark):
+    rng = random.Random(6)
+    n = 3 * M.BLOCK + 5
+    for rain in ([rng.uniform(1, 9) for _ in range(n)], [rng.uniform(1, 9) for _ in range(M.BLOCK)]):
+        got = scores(spark, series(spark, 1, rain), parameters(spark, ["streamflow_model_precip_auto"]))
+        model = next(m for m in M.ALL_MODELS if m.name == "streamflow_model_precip_auto")
+        no = [0.0] * len(rain)
+        assert got["g0"] == pytest.approx(by_hand(model, rain, no, [310.0] * len(rain), no, [1] * len(rain)))
+
+
 def test_worked_values(spark):
     p = "streamflow_model_"
     auto = scores(spark, series(spark, 1, [1.0, 2.0, 3.0]), parameters(spark, [p + "precip_auto"]))
