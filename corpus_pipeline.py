@@ -29,7 +29,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without repeated lines, and without documents that were nothing but such; n_chars follows the text."""
     found = line_dedup.without_repeated_lines(docs)
-    emptied = (F.col("n_dropped") > 0) & (F.length(F.trim("text")) == 0)
+    # Blank lines stay and may be several; a line of spaces is blank.
+    emptied = (F.col("n_dropped") > 0) & (F.length(F.trim(F.translate("text", "\n", " "))) == 0)
     changed = F.when(F.col("n_dropped") > 0, F.length("text")).otherwise(F.col("n_chars"))
     return found.filter(~emptied).withColumn("n_chars", changed.cast("long")).select(*docs.columns)
 

@@ -12,6 +12,7 @@ import sentencepiece
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+import corpus_pipeline
 from freshet.llm import (
     attention_scores,
     components,
@@ -315,3 +316,11 @@ def test_a_count_beyond_a_byte_bounds_any_overlap():
     assert jaccard_join.packed(np.array([3, 255])) == bytes([3, 255])
     assert jaccard_join.packed(np.array([0, 256, 1])) == bytes([255] * 3)
     assert jaccard_join.folded(np.full(4, 255, np.uint8), 1).tolist() == [1020]
+
+
+def test_copies_with_several_blank_lines_are_emptied(spark):
+    text = "a first paragraph of text\n\nand a second one here\n \n\nthe end of it"
+    rows = [(i, text, "en", "s", len(text)) for i in range(40)] + [(40, "\n\n", "en", "s", 2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    left = corpus_pipeline.drop_repeated_lines(spark, docs, SF).collect()
+    assert sorted((r["doc_id"], r["text"]) for r in left) == [(0, text), (40, "\n\n")]
