@@ -21,9 +21,8 @@ ORACLE_SQL = None
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without the documents whose toxicity reaches one half."""
-    scores = toxicity.scored(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    rejected = scores.filter("predicted = 1").select("doc_id").distinct()
-    return docs.join(rejected, "doc_id", "left_anti").select(*docs.columns)
+    found = toxicity.with_scores(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return found.filter("score < 0.5").select(*docs.columns)
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -26,6 +26,8 @@ from freshet.llm.columns import lower_ascii, text_or_empty
 from freshet.session import stored
 
 RUN = "run int, sort_key long, digest binary, n_bytes long, keep_id long, n long, ids array<long>"
+#: Stands for no id among identifiers: loses against every other.
+NO_ID = {"largest": -(1 << 63), "smallest": (1 << 63) - 1}
 ENTRY = "sort_key long, digest binary, n_bytes long, keep_id long, n long, runs array<int>"
 
 
@@ -110,7 +112,7 @@ def sorted_runs(rows: DataFrame, keep: str = "largest") -> DataFrame:
         F.conv(F.substring(F.hex("digest"), 1, 15), 16, 10).cast("long").alias("sort_key"),
         "digest",
         "n_bytes",
-        F.col("id").alias("keep_id"),
+        F.coalesce("id", F.lit(NO_ID[keep])).alias("keep_id"),
         F.lit(1).cast("long").alias("n"),
         F.array("id").alias("ids"),
     )
@@ -149,17 +151,20 @@ def exact_groups(
 ) -> DataFrame:
     """Each row with the identifier that stays for its text: (id, keep_id, group_size, kept, text_sha256).
 
-    Null texts count as empty, so all empty and null texts are one group. Rows without an id are an error. A repeated
-    id is a row of its own: it counts in ``group_size``, and each of its rows that holds the kept text is kept.
+    Null texts count as empty, so all empty and null texts are one group. A row without an id counts in its group but
+    never gives the identifier that stays; its ``kept`` is null, and so is ``keep_id`` where no row of the group has an
+    id. (The least long stands for no id while runs are merged; with ``keep="smallest"`` the largest.) A repeated id is a
+    row of its own: it counts in ``group_size``, and each of its rows that holds the kept text is kept.
     Columns other than the two named are not read, whatever their names. No rows give no rows.
     """
     if keep not in ("largest", "smallest"):
         raise ValueError(f"keep is largest or smallest, not {keep}")
     text: Column = normalise(text_or_empty(F.col(text_column)))
     rows = docs.select(
-        F.expr(f"coalesce(`{id_column}`, raise_error('a row without an id'))").cast("long").alias("id"),
+        F.col(id_column).cast("long").alias("id"),
         text.alias("text"),
     ).select("id", F.unhex(F.sha2("text", 256)).alias("digest"), F.octet_length("text").cast("long").alias("n_bytes"))
+    none = NO_ID[keep]
     runs = sorted_runs(rows, keep)
     found = merged_runs(runs, keep, fan_in).select(F.explode("runs").alias("run"), "digest", "n_bytes", "keep_id", "n")
     return (
@@ -167,7 +172,7 @@ def exact_groups(
         .join(found, ["run", "digest", "n_bytes"])
         .select(
             F.explode("ids").alias(id_column),
-            "keep_id",
+            F.when(F.col("keep_id") != none, F.col("keep_id")).alias("keep_id"),
             F.col("n").alias("group_size"),
             F.lower(F.hex("digest")).alias("text_sha256"),
         )

@@ -24,7 +24,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -61,7 +61,7 @@ def _sketch(rows: DataFrame) -> np.ndarray:
 
 
 def _points(rows: DataFrame, sketch: np.ndarray) -> DataFrame:
-    """(id, n, sig, vec, keys) per row: size, digest and group counts of the shingle set, and its prefix."""
+    """(id, unnamed, n, sig, vec, keys) per row: size, digest and group counts of the shingle set, and its prefix."""
 
     rank = np.argsort(np.argsort(sketch, kind="stable"), kind="stable").astype(np.uint64)
 
@@ -86,10 +86,10 @@ def _points(rows: DataFrame, sketch: np.ndarray) -> DataFrame:
             keys = pa.ListArray.from_arrays(
                 pa.array(np.append(0, np.cumsum(prefix)), pa.int32()), pa.array(ordered.view(SIGNED)[first])
             )
-            columns = [piece["id"], pa.array(n), pa.array(sig), pa.array(vec, pa.binary()), keys]
-            yield pa.record_batch(columns, names=["id", "n", "sig", "vec", "keys"])
+            columns = [piece["id"], piece["unnamed"], pa.array(n), pa.array(sig), pa.array(vec, pa.binary()), keys]
+            yield pa.record_batch(columns, names=["id", "unnamed", "n", "sig", "vec", "keys"])
 
-    return rows.mapInArrow(make, "id long, n long, sig binary, vec binary, keys array<long>")
+    return rows.mapInArrow(make, "id long, unnamed boolean, n long, sig binary, vec binary, keys array<long>")
 
 
 def widths(n: np.ndarray) -> np.ndarray:
@@ -276,10 +276,34 @@ def jaccard_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str
     """Each row's (id, n_shingles, component_id): the size of its set and the smallest id reachable by links.
 
     Null, empty and wordless texts have no shingles and are linked with nothing. Rows with one id are one document: a
-    link of either counts for both. A null id is an error. Other columns are not read; no rows give no rows.
+    link of either counts for both. Rows without an id are documents by their texts, linked like others; they come last,
+    so ``component_id`` is null only where no row of the component has an id. Other columns are not read; no rows give no
+    rows.
     """
+    found = _keyed_groups(docs, id_column, text_column)
+    if not _has_null_id(docs, id_column):
+        return found.select(F.col("id").alias(id_column), "n_shingles", F.col("component").alias("component_id"))
+    found = stored(found, "near-groups")
+    named = found.filter("not unnamed").groupBy("component").agg(F.min("id").alias("component_id"))
+    return found.join(named, "component", "left").select(
+        F.when(~F.col("unnamed"), F.col("id")).alias(id_column), "n_shingles", "component_id"
+    )
+
+
+def _has_null_id(docs: DataFrame, id_column: str) -> bool:
+    return not docs.filter(F.col(id_column).isNull()).select(id_column).limit(1).isEmpty()
+
+
+def _key(id_column: str, text_column: str) -> Column:
+    """A row's id, or a hash of its text where it has none."""
+    return F.coalesce(F.col(id_column).cast("long"), F.xxhash64(F.lit("no id"), text_or_empty(F.col(text_column))))
+
+
+def _keyed_groups(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
+    """(id, unnamed, n_shingles, component) of each row, by the keys of ``_key``; ``unnamed`` rows have no id."""
     rows = docs.select(
-        F.expr(f"coalesce(`{id_column}`, raise_error('a row without an id'))").cast("long").alias("id"),
+        _key(id_column, text_column).alias("id"),
+        F.col(id_column).isNull().alias("unnamed"),
         text_or_empty(F.col(text_column)).alias("text"),
     )
     table = stored(_points(rows, _sketch(rows)), "near-points")
@@ -320,17 +344,24 @@ def jaccard_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str
     found = stored(components(links.unionByName(more)), "near-components")
     of_sig = points.join(found, "node", "left").select("sig", F.coalesce("component", "node").alias("component"))
     return (
-        table.select("id", "n", "sig")
+        table.select("id", "unnamed", "n", "sig")
         .join(of_sig, "sig", "left")
         .select(
-            F.col("id").alias(id_column),
+            "id",
+            "unnamed",
             F.col("n").alias("n_shingles"),
-            F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("id")).alias("component_id"),
+            F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("id")).alias("component"),
         )
     )
 
 
 def first_of_each_group(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose id is the smallest of its component."""
-    groups = jaccard_groups(docs, id_column, text_column).filter(f"component_id = `{id_column}`")
-    return docs.join(groups.select(id_column).distinct(), id_column, "left_semi")
+    """The rows of ``docs`` whose id is the smallest of its component; a row without an id only where none has one."""
+    groups = _keyed_groups(docs, id_column, text_column)
+    if not _has_null_id(docs, id_column):
+        return docs.join(groups.filter("component = id").select(F.col("id").alias(id_column)).distinct(), id_column, "left_semi")
+    first = groups.groupBy("component").agg(F.min(F.struct("unnamed", "id")).alias("first")).select("first.*")
+    own, key = docs.withColumn("_unnamed", F.col(id_column).isNull()), _key(id_column, text_column)
+    keyed = own.withColumn("_key", key)
+    kept = keyed.join(first, (keyed["_key"] == first["id"]) & (keyed["_unnamed"] == first["unnamed"]), "left_semi")
+    return kept.select(*docs.columns)

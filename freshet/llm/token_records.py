@@ -1,7 +1,8 @@
 """Token ids as length-delimited binary records, with an offset index for shuffled reads.
 
 A shard file is a run of records: payload length (8 bytes), masked checksum of these 8 bytes (4), payload, masked checksum
-of the payload (4); all little-endian. A payload is the document's id (8), the bytes per token (1) and the token ids. The
+of the payload (4); all little-endian. A payload is the document's id (8), the bytes per token (1) and the token ids. A
+document without an id has 0 for it and the highest bit of the byte after it set. The
 checksum is CRC-32, rotated right by 15 bits plus a constant, so that a checksum over data that holds checksums stays
 sound. Beside each shard stands an index: the 8-byte offset of every record.
 
@@ -31,6 +32,7 @@ from freshet.session import new_table_path, stored
 
 MASK_DELTA = 0xA282EAD8  # fixed value of the masked-checksum format
 HEAD = "<qB"
+NO_ID = 0x80
 MANIFEST = "shard int, file string, n_docs long, n_tokens long, n_bytes long"
 SLICE = 64
 
@@ -77,8 +79,8 @@ def write_records(
 ) -> tuple[str, DataFrame]:
     """Encode every text, append ``end_id``, write shards in ascending id order: (folder, manifest).
 
-    A null text is encoded as empty: only the end id. Rows with a null id are an error. Equal ids are neighbours, in no
-    fixed order. No rows give a manifest without rows. Other columns are not read.
+    A null text is encoded as empty: only the end id. Rows with a null id come first, by a hash of the text, so that many
+    of them are many shards. Equal ids are neighbours, in no fixed order. No rows give a manifest without rows. Other columns are not read.
     """
     spark = docs.sparkSession
     folder = folder or new_table_path(spark, "records")
@@ -102,7 +104,9 @@ def write_records(
             for at in range(0, batch.num_rows, SLICE):
                 part = batch.slice(at, SLICE)
                 for key, ids in zip(part["id"].to_pylist(), encoder.encode(part["text"].to_pylist())):
-                    record = framed(struct.pack(HEAD, key, encoder.kind.itemsize) + ids + tail)
+                    width = encoder.kind.itemsize
+                    head = struct.pack(HEAD, key, width) if key is not None else struct.pack(HEAD, 0, width | NO_ID)
+                    record = framed(head + ids + tail)
                     out.write(record)
                     index.write(struct.pack("<Q", offset))
                     offset += len(record)
@@ -117,14 +121,14 @@ def write_records(
             yield pa.record_batch([pa.array(v, k) for v, k in zip(row, kinds)], names=names)
 
     rows = docs.select(
-        F.expr(f"coalesce(`{id_column}`, raise_error('a row without an id'))").cast("long").alias("id"),
-        text_or_empty(F.col(text_column)).alias("text"),
+        F.col(id_column).cast("long").alias("id"), text_or_empty(F.col(text_column)).alias("text")
     )
-    ordered = rows.repartitionByRange("id").sortWithinPartitions("id")
+    place = ["id", F.when(F.col("id").isNull(), F.xxhash64("text"))]
+    ordered = rows.repartitionByRange(*place).sortWithinPartitions(*place)
     return folder, stored(ordered.mapInArrow(write, MANIFEST), "manifest")
 
 
-def read_payloads(folder: str, name: str, n_docs: int, seed: int | None = None) -> Iterator[tuple[int, np.ndarray]]:
+def read_payloads(folder: str, name: str, n_docs: int, seed: int | None = None) -> Iterator[tuple[int | None, np.ndarray]]:
     """Document ids and token ids of one shard in written order, or by its index in an order drawn from ``seed``."""
     system, path = _opened(folder)
     with system.open_input_stream(f"{path}/{name}.idx") as f:
@@ -143,7 +147,8 @@ def read_payloads(folder: str, name: str, n_docs: int, seed: int | None = None)
             if payload is None:
                 raise ValueError(f"{name} ends early")
             key, width = struct.unpack_from(HEAD, payload)
-            yield key, np.frombuffer(payload, f"<u{width}", offset=struct.calcsize(HEAD))
+            key = None if width & NO_ID else key
+            yield key, np.frombuffer(payload, f"<u{width & ~NO_ID}", offset=struct.calcsize(HEAD))
 
 
 def read_records(folder: str, manifest: DataFrame, seed: int | None = None, digests: bool = False) -> DataFrame:

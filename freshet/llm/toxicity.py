@@ -20,9 +20,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from freshet.llm.columns import remainder_of_id, text_or_empty
 from freshet.session import stored
@@ -91,15 +93,17 @@ def _lengths(toxic: bytes, ordinary: bytes) -> Lengths:
     return Lengths(toxic, ordinary)
 
 
-def _distance(rows: DataFrame, toxic: bytes, ordinary: bytes, ratios: bytes, keep: list[str]) -> DataFrame:
-    def score(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _distance(rows: DataFrame, toxic: bytes, ordinary: bytes, ratios: bytes, keep: list[str], text: str = "text") -> DataFrame:
+    """The columns ``keep`` of each row as they are, and its distance; a null text counts as empty."""
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lengths, table = _lengths(toxic, ordinary), np.frombuffer(ratios)
-        for frame in frames:
-            yield frame[keep].assign(distance=[table[lengths.cells(t)].mean() for t in frame["text"]])
+        for batch in batches:
+            found = [table[lengths.cells(t or "")].mean() for t in batch[text].to_pylist()]
+            yield pa.record_batch([*(batch[c] for c in keep), pa.array(found, pa.float64())], names=[*keep, "distance"])
 
-    kinds = dict(rows.dtypes)
-    schema = ", ".join([*(f"`{c}` {kinds[c]}" for c in keep), "distance double"])
-    return rows.mapInPandas(score, schema)
+    kept = rows.select(*keep).schema
+    return rows.mapInArrow(score, T.StructType([*kept.fields, T.StructField("distance", T.DoubleType())]))
 
 
 def _best_threshold(distance: np.ndarray, toxic: np.ndarray) -> float:
@@ -163,6 +167,32 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = 12_000) -> Model
     return Model(toxic, ordinary, ratios, 4 / spread if spread > 0 else 1.0, threshold)
 
 
+def _score(distance: Column, model: Model) -> Column:
+    power = F.greatest(F.least(model.slope * (distance - model.threshold), F.lit(50)), F.lit(-50))
+    return 1 / (1 + F.exp(-power))
+
+
+def _model(docs: DataFrame, labels: DataFrame, id_column: str, text_column: str, label: Column | str) -> tuple[DataFrame, Model | None]:
+    rows = docs.select(F.col(id_column).alias("id"), text_or_empty(F.col(text_column)).alias("text"))
+    known = labels.select(F.col(id_column).alias("id"), F.col(label).alias("toxic") if isinstance(label, str) else label.alias("toxic"))
+    return rows, fit(rows, known)
+
+
+def with_scores(
+    docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text", label: Column | str = "toxic"
+) -> DataFrame:
+    """``docs`` with its own score in each row, whatever its id; a column named score is replaced."""
+    columns = [c for c in docs.columns if c != "score"]
+    _, model = _model(docs, labels, id_column, text_column, label)
+    if model is None:
+        return docs.select(*columns, F.lit(0.0).alias("score"))
+    # Numbered names, so that no column can be called like the distance.
+    own = docs.select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(columns)])
+    text = own.columns[columns.index(text_column)]
+    found = _distance(own, model.toxic, model.ordinary, model.ratios, own.columns, text)
+    return found.select(*[F.col(x).alias(c) for x, c in zip(own.columns, columns)], _score(F.col("distance"), model).alias("score"))
+
+
 def scored(
     docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text", label: Column | str = "toxic"
 ) -> DataFrame:
@@ -171,15 +201,12 @@ def scored(
     Null texts count as empty; empty texts are scored like any other, by the window of the empty word. Where a class has no
     labelled row every score is 0. Repeated rows are scored each; other columns are not read.
     """
-    rows = docs.select(F.col(id_column).alias("id"), text_or_empty(F.col(text_column)).alias("text"))
-    known = labels.select(F.col(id_column).alias("id"), F.col(label).alias("toxic") if isinstance(label, str) else label.alias("toxic"))
-    model = fit(rows, known)
+    rows, model = _model(docs, labels, id_column, text_column, label)
     if model is None:
         found = rows.select("id", F.lit(0.0).alias("score"))
     else:
         distance = _distance(rows, model.toxic, model.ordinary, model.ratios, ["id"])
-        power = F.greatest(F.least(model.slope * (F.col("distance") - model.threshold), F.lit(50)), F.lit(-50))
-        found = distance.select("id", (1 / (1 + F.exp(-power))).alias("score"))
+        found = distance.select("id", _score(F.col("distance"), model).alias("score"))
     return found.select(
         F.col("id").alias(id_column),
         (remainder_of_id(F.col("id"), 5) == 0).alias("held_out"),

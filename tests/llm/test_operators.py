@@ -3,6 +3,7 @@
 import hashlib
 import math
 import random
+import tempfile
 import zlib
 
 import numpy as np
@@ -324,3 +325,38 @@ def test_copies_with_several_blank_lines_are_emptied(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
     left = corpus_pipeline.drop_repeated_lines(spark, docs, SF).collect()
     assert sorted((r["doc_id"], r["text"]) for r in left) == [(0, text), (40, "\n\n")]
+
+
+def test_rows_without_an_id(spark):
+    long, other = " ".join(BASE), " ".join(f"other{i}" for i in range(50))
+    rows = [(None, long), (3, long.encode().upper().decode()), (2, long), (None, other), (None, other), (None, None), (None, ""), (7, ""), (None, "so alone")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    key = lambda r: tuple((x is not None, x or 0) for x in r)
+    exact = sorted(map(tuple, exact_dedup.exact_groups(docs).select("doc_id", "keep_id", "group_size", "kept").collect()), key=key)
+    assert exact == sorted(
+        [(None, 3, 3, None), (3, 3, 3, True), (2, 3, 3, False), (None, None, 2, None), (None, None, 2, None),
+         (None, 7, 3, None), (None, 7, 3, None), (7, 7, 3, True), (None, None, 1, None)], key=key)
+    smallest = exact_dedup.exact_groups(docs, keep="smallest").filter("doc_id is null").select("keep_id", "group_size").collect()
+    assert sorted(map(tuple, smallest), key=key) == sorted([(2, 3), (None, 2), (None, 2), (7, 3), (7, 3), (None, 1)], key=key)
+    near = sorted(map(tuple, jaccard_join.jaccard_groups(docs).collect()), key=key)
+    assert near == sorted(
+        [(None, 56, 2), (3, 56, 2), (2, 56, 2), (None, 46, None), (None, 46, None), (None, 0, None), (None, 0, None),
+         (7, 0, 7), (None, 1, None)], key=key)
+    kept = jaccard_join.first_of_each_group(docs)
+    assert {tuple(r) for r in kept.collect()} == {(2, long), (None, other), (None, None), (None, ""), (7, ""), (None, "so alone")}
+    folder, manifest = token_records.write_records(docs, BPE)
+    back = token_records.read_records(folder, manifest).orderBy("start").collect()
+    coder = Tokenizer.from_file(BPE)
+    want = sorted([(i, [*coder.encode(t or "", add_special_tokens=False).ids, 2]) for i, t in rows], key=str)
+    assert sorted([(r["doc_id"], r["ids"]) for r in back], key=str) == want and [r["doc_id"] for r in back] == [None] * 6 + [2, 3, 7]
+
+
+def test_toxic_rows_go_by_their_own_score(spark):
+    bad, good = "zorgish blatter vile scum", "a calm walk along the river today"
+    rows = [(i, bad if i % 2 else good, 1 << 60) for i in range(400)] + [(None, bad, 1), (None, good, (1 << 60) + 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_chars long")
+    folder = f"{tempfile.mkdtemp(prefix='run-', dir='/tmp')}"
+    docs.filter("doc_id is not null").select("doc_id", (F.col("doc_id") % 2).cast("int").alias("toxic")).write.parquet(f"{folder}/labels.parquet")
+    left = corpus_pipeline.drop_toxic(spark, docs, folder).collect()
+    assert len(left) == 201 and {r["text"] for r in left} == {good}
+    assert [r["n_chars"] for r in left if r["doc_id"] is None] == [(1 << 60) + 1]
