@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
 import os
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -60,6 +62,18 @@ def remove_written() -> None:
         target.getFileSystem(context._jsc.hadoopConfiguration()).delete(target, True)
 
 
+@contextlib.contextmanager
+def shuffle_files_removed(spark: SparkSession) -> Iterator[None]:
+    """Inside, an execution's shuffle files go when it ends; what goes on from ``stored`` tables needs none of them."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and go on from the written table.
 

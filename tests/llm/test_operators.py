@@ -360,3 +360,20 @@ def test_toxic_rows_go_by_their_own_score(spark):
     left = corpus_pipeline.drop_toxic(spark, docs, folder).collect()
     assert len(left) == 201 and {r["text"] for r in left} == {good}
     assert [r["n_chars"] for r in left if r["doc_id"] is None] == [(1 << 60) + 1]
+
+
+def test_classes_come_from_all_training_texts(spark, monkeypatch):
+    rng = random.Random(11)
+    library = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    words = sorted({w for i in range(300, 30_000) if (w := library.id_to_piece(i))[0] == "▁" and w[1:].isascii() and w[1:].isalpha() and w.islower()})
+    texts = [" ".join(x for w in words[i : i + 2] for x in (w[1:], rng.choice(["the", "of", "and"]))) for i in range(4_000)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    held, real = [], attention_scores.fit
+    monkeypatch.setattr(attention_scores, "fit", lambda *a: held.append(real(*a)) or held[0])
+    scores = attention_scores.scored(docs, F.col("doc_id") >= 0, PIECES).toPandas()
+    lines = [np.array([*(x for w in t.split() for x in library.encode(w)), attention_scores.END]) for t in texts]
+    assert (held[0].classes == attention_scores.class_table(lines, library.get_piece_size())).all()
+    # A trained model tells more than the classes' pair counts it started from.
+    start = attention_scores.started(attention_scores._class_pairs(lines, held[0].classes))
+    before = attention_scores.log10_probability(attention_scores.Weights(held[0].classes, held[0].shares, start), lines)
+    assert scores["score"].mean() > before.mean() and np.isfinite(scores["score"]).all()
