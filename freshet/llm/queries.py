@@ -12,14 +12,17 @@ import corpus_pipeline
 from freshet.llm import (
     attention_scores,
     exact_dedup,
+    filter_audit,
     jaccard_join,
     line_dedup,
     piece_encoding,
     source_mixing,
+    token_alignment,
     token_records,
     toxicity,
     url_filter,
     vantage_point,
+    window_packing,
 )
 from freshet.llm.columns import remainder_of_id
 
@@ -174,4 +177,69 @@ def op9_attention_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("held_out", remainder_of_id(F.col("doc_id"), 7) == 2)
 
 
+@_query
+def op11_window_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's ids in pieces, packed into sequences of at most 2048."""
+    found = window_packing.packed(_table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"), end_id=1)
+    return found.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
+@_query
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What five filters remove from each language's documents, in all 120 orders."""
+    counts = filter_audit.mask_counts(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return filter_audit.audited(counts)
+
+
+LLM_ORACLES["op12_filter_audit"] = r"""
+WITH t AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+  FROM documents
+), l AS (
+  SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id
+), m AS (
+  SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+         len(words) < 100 AS a, 100 * len(list_distinct(words)) < 80 * len(words) AS b,
+         100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 10 * length(text) AS c,
+         regexp_matches(text, '[#$%&*|]') AS d,
+         coalesce(doc_id > min(doc_id) OVER (PARTITION BY text), false) AS e
+  FROM t LEFT JOIN l USING (doc_id)
+), w AS (
+  SELECT part, a::INT + 2 * b::INT + 4 * c::INT + 8 * d::INT + 16 * e::INT AS mask,
+         count(*) AS n, sum(good) AS good, sum(toxic) AS toxic
+  FROM m GROUP BY ALL
+), x AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f, unnest([1, 2, 4, 8, 16]) AS bit),
+o AS (
+  SELECT p.f || q.f || r.f || s.f || u.f AS filter_order, [p.bit, q.bit, r.bit, s.bit, u.bit] AS bits
+  FROM x p, x q, x r, x s, x u WHERE p.bit + q.bit + r.bit + s.bit + u.bit = 31 AND p.bit | q.bit | r.bit | s.bit | u.bit = 31
+), k AS (
+  SELECT filter_order, unnest(range(1, 6)) AS step, unnest(bits) AS bit,
+         unnest([0, bits[1], bits[1] + bits[2], bits[1] + bits[2] + bits[3], 31 - bits[5]]) AS gone
+  FROM o
+), r AS (
+  SELECT part, filter_order, step, bit,
+         sum(n) FILTER (mask & gone = 0 AND mask & bit = 0) AS kept,
+         sum(n) FILTER (mask & gone = 0 AND mask & bit > 0) AS removed,
+         sum(n) FILTER (mask & gone > 0 AND mask & bit > 0) AS redundant,
+         sum(n) FILTER (mask = bit) AS unique_fails,
+         sum(good) FILTER (mask & gone = 0 AND mask & bit > 0) AS good_lost,
+         sum(toxic) FILTER (mask & gone = 0 AND mask & bit > 0) AS toxic_lost
+  FROM w, k GROUP BY ALL
+)
+SELECT part, filter_order, step::INTEGER AS step, coalesce(kept, 0)::BIGINT AS kept, coalesce(removed, 0)::BIGINT AS removed,
+       coalesce(redundant, 0)::BIGINT AS redundant, coalesce(unique_fails, 0)::BIGINT AS unique_fails,
+       coalesce(good_lost, 0)::BIGINT AS good_lost, coalesce(toxic_lost, 0)::BIGINT AS toxic_lost,
+       (coalesce(sum(removed) OVER (PARTITION BY part, bit), 0))::BIGINT AS shapley
+FROM r
+"""
+
+
+@_query
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's groups and links between the tokens of a byte-level and of a SentencePiece tokenizer."""
+    paths = tokenizer_file("byte_bpe_50k.json"), tokenizer_file("piece_bpe_32k.model")
+    return token_alignment.aligned(_table(spark, sf_dir, "documents"), *paths)
+
+
 LLM_QUERIES["pipeline"] = corpus_pipeline.run

@@ -1,63 +1,120 @@
-"""Subword ids of whole texts, remembered per chunk.
+"""Subword ids of whole texts.
 
-Byte-level BPE and SentencePiece BPE never join characters across certain places before a space. A text is cut at those
-places and each distinct chunk is encoded by the library once per worker; a text's ids are its chunks' ids strung
-together. Texts in which a cut could matter go to the library whole. Nothing is cut short.
+Byte-level BPE: the vocabulary is ranked by its merges, so a second encoder of the same vocabulary gives the same ids on
+characters that both put in the same class; any other text goes to the tokenizers library. SentencePiece BPE never joins
+characters across certain places before a space: a text is cut there and distinct chunks are remembered, in bounded
+memory. Nothing is cut short.
 """
 
 from __future__ import annotations
 
 import functools
+import json
 import os
 import re
+import sys
+from array import array
 
 import numpy as np
 
 SPACE = "▁"
-REMEMBERED = 1_500_000
+REMEMBERED_BYTES = 48 << 20
+ENTRY_BYTES = 180
 
 
 class _Memo(dict):
-    """Chunk to value. Chunks that are not there are encoded together; a full memo starts anew."""
+    """Chunk to value. Chunks that are not there are encoded together; a memo over its bytes starts anew."""
 
-    def __init__(self, encode_all, most: int = REMEMBERED) -> None:
+    def __init__(self, encode_all, most_bytes: int = REMEMBERED_BYTES) -> None:
         super().__init__()
-        self.encode_all, self.most = encode_all, most
+        self.encode_all, self.most_bytes, self.held = encode_all, most_bytes, 0
 
     def joined(self, texts: list[list[str]]) -> list[bytes]:
         """The values of each text's chunks, strung together."""
         missing = list({word: None for words in texts for word in words if word not in self})
-        if len(self) + len(missing) > self.most and len(self):
+        values = self.encode_all(missing)
+        self.update(zip(missing, values))
+        self.held += sum(map(len, missing)) + sum(map(len, values)) + ENTRY_BYTES * len(missing)
+        found = [b"".join(map(self.__getitem__, words)) for words in texts]
+        if self.held > self.most_bytes:
             self.clear()
-            missing = list({word: None for words in texts for word in words})
-        self.update(zip(missing, self.encode_all(missing)))
-        return [b"".join(map(self.__getitem__, words)) for words in texts]
+            self.held = 0
+        return found
+
+
+def byte_of_letter() -> dict[str, int]:
+    """Byte-level BPE writes a byte that prints as itself, and the others in order from U+0100 on."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in set(shown)]
+    return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
 
 
 class ByteBpe:
-    """The tokenizers library's byte-level BPE, as it stands in ``path``; add_special_tokens is off."""
+    """The tokenizers library's byte-level BPE, as it stands in ``path``; add_special_tokens is off.
 
-    # A space belongs to the run of white space before it unless it is the last of the run.
-    UNSAFE = re.compile(r" \s(?<=\s \s)|\s \Z")
+    With ``plain`` the strings of special tokens are ordinary text. Texts of Latin, Greek, Cyrillic, Han, kana and Hangul
+    characters and common marks are encoded by the faster library, all others by the tokenizers library; the tests hold
+    both against each other on every such character.
+    """
 
-    def __init__(self, path: str) -> None:
+    #: Characters that both libraries put in the same class; a test goes through all of them.
+    OTHER = re.compile("[^\x00-\u024f\u0370-\u0377\u037a-\u037f\u0384-\u052f\u2000-\u206f\u20a0-\u20bf\u3040-\u30ff\u4e00-\u9fa5\uac00-\ud7a3]")
+    #: The faster library looks back over a run of white space.
+    LONG_SPACE = re.compile(r"\s{256}")
+    PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
+    def __init__(self, path: str, plain: bool = False) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.kind = np.dtype("<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4")
-        self.heads = _Memo(self.whole, 10_000)
-        self.memo = _Memo(lambda words: self.whole([" " + w for w in words]))
+        self.library.encode_special_tokens = plain
+        size = self.library.get_vocab_size()
+        self.kind = np.dtype("<u2" if size <= 1 << 16 else "<u4")
+        self.code = "H" if size <= 1 << 16 else "I"
+        with open(path) as f:
+            spec = json.load(f)
+        letters = byte_of_letter()
+        added = {t["content"]: t["id"] for t in spec["added_tokens"]}
+        self.special = [] if plain else list(added)
+        self.bytes_of = [b""] * size
+        for token, number in spec["model"]["vocab"].items():
+            if token not in added:
+                self.bytes_of[number] = bytes(letters[c] for c in token)
+        self.fast = self._ranked(spec, added)
+
+    def _ranked(self, spec: dict, added: dict[str, int]):
+        """The faster encoder, or None where ids do not follow the order of the merges or the text is prepared otherwise."""
+        vocab, step = spec["model"]["vocab"], spec["pre_tokenizer"] or {}
+        merges = [m if isinstance(m, list) else m.split(" ") for m in spec["model"]["merges"]]
+        in_order = all(vocab.get(a + b) == 256 + i for i, (a, b) in enumerate(merges))
+        plain = step.get("type") == "ByteLevel" and step.get("use_regex") and not step.get("add_prefix_space")
+        odd = any(spec["model"].get(k) for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix"))
+        if not in_order or not plain or odd or spec["normalizer"] or sys.byteorder != "little":
+            return None
+        import tiktoken
+
+        ranks = {self.bytes_of[i]: i for t, i in vocab.items() if t not in added}
+        return tiktoken.Encoding("ranked", pat_str=self.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
     def whole(self, texts: list[str]) -> list[bytes]:
         done = self.library.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, self.kind).tobytes() for x in done]
 
+    def common(self, text: str) -> bool:
+        """Whether both libraries are known to agree on ``text``."""
+        return not (
+            self.fast is None
+            or self.OTHER.search(text)
+            or self.LONG_SPACE.search(text)
+            or any(t in text for t in self.special)
+        )
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as packed integers of ``kind``."""
-        cut = [[t] if self.UNSAFE.search(t) else t.split(" ") for t in texts]
-        first = self.heads.joined([x[:1] for x in cut])
-        return [a + b for a, b in zip(first, self.memo.joined([x[1:] for x in cut]))]
+        return [
+            array(self.code, self.fast.encode_ordinary(t)).tobytes() if self.common(t) else self.whole([t])[0] for t in texts
+        ]
 
 
 class Normaliser:
@@ -167,6 +224,9 @@ class Pieces:
         )
         self.n_bytes = np.array([1 if p.type == 6 else len(p.piece.encode()) for p in model.pieces])
         self.decimal = [str(i) for i in range(len(model.pieces))]
+        self.bytes_of = [
+            bytes([int(p.piece[3:5], 16)]) if p.type == 6 else p.piece.replace(SPACE, " ").encode() for p in model.pieces
+        ]
         self.unknown = model.trainer_spec.unk_id if not model.trainer_spec.byte_fallback else -1
         self.memo = _Memo(lambda words: self.whole([SPACE + w for w in words]))
 
@@ -211,9 +271,9 @@ class Pieces:
 
 
 @functools.lru_cache
-def byte_bpe(path: str) -> ByteBpe:
-    """One encoder per worker, so its memo outlives a task."""
-    return ByteBpe(path)
+def byte_bpe(path: str, plain: bool = False) -> ByteBpe:
+    """One encoder per worker, so that it is loaded once."""
+    return ByteBpe(path, plain)
 
 
 @functools.lru_cache

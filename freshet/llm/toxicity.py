@@ -34,7 +34,7 @@ LEAST_DOCUMENTS = 5
 LEAST_SHARE = 0.01
 TOXIC_WINDOWS, ORDINARY_WINDOWS = 4_000, 5_000
 SIDE = 64
-REMEMBERED = 1_000_000
+REMEMBERED = 300_000
 WORD = re.compile(r"\w+")
 
 
