@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from freshet.functions.nulls import strict_sum_where
 
+#: Bytes of an unlisted label that an error shows.
+SHOWN_BYTES = 7
+
 
 def to_long(df: DataFrame, ids: Sequence[str], values: Sequence[str] | None, name: str, value: str) -> DataFrame:
     """One row per id and value column; NULL cells are kept. ``None`` takes every other column."""
@@ -52,7 +55,10 @@ def _listed_only(cells: dict[str, Column], name: Column, labels: Mapping[object,
     first = next(iter(cells))
     if others == "error":
         listed = F.coalesce(name.isin(*labels), F.lit(False))
-        unlisted = F.raise_error(F.concat(F.lit("a label that is not listed: "), F.max(F.when(~listed, name.cast("string")))))
+        # A string in an aggregate's buffer makes it sort its rows; the label's first bytes fit a number.
+        start = F.substring(name.cast("string").cast("binary"), 1, SHOWN_BYTES)
+        number = F.max(F.when(~listed, F.conv(F.hex(start), 16, 10).cast("long")))
+        unlisted = F.raise_error(F.concat(F.lit("a label that is not listed: "), F.decode(F.unhex(F.hex(number)), "UTF-8")))
         cells[first] = F.when(F.count_if(~listed) > 0, unlisted).otherwise(cells[first])
     return [cell.alias(label) for label, cell in cells.items()]
 

@@ -2,9 +2,10 @@
 
 A series is a set of rows that share ``keys``, ordered by ``order``. Seasonal and yearly tables
 hold at most one row per calendar step, so a window over the keys is bounded. For raw rows there
-is no such bound: there ``block`` names a column that never decreases along the order (an hour,
-a minute). Windows then run inside ``(keys, block)``, and one small row per block carries the
-state over to the next block, so one hot series is spread over many tasks.
+is no such bound: there ``block`` names a column that never decreases along the order. Windows then
+run inside ``(keys, block)``, and one small row per block carries the state over to the next block,
+so one hot series is spread over many tasks. ``in_blocks`` finds the blocks from the rows: it cuts
+the series that need it, and only these, at sampled places of their order.
 """
 
 from __future__ import annotations
@@ -23,6 +24,13 @@ from freshet.session import stored
 # Rows per array when a run is expanded, and smallest span of a positional chunk.
 SPAN = 4096
 
+# ``in_blocks``: rows of a block, most blocks of a table, and sampled rows per block.
+BLOCK_ROWS = 1 << 17
+MOST_BLOCKS = 4096
+PER_BLOCK = 64
+# Cuts of one series are searched in two steps: the list's heads, then one list.
+CUT_LIST = 64
+
 
 @dataclass(frozen=True)
 class Series:
@@ -66,6 +74,44 @@ def _checked(df: DataFrame, series: Series) -> DataFrame:
     return checked.where(present)
 
 
+def in_blocks(df: DataFrame, series: Series, block_rows: int | None = None, name: str = "__block") -> tuple[DataFrame, Series]:
+    """The rows with a block per stretch of a long series, and the series that names it.
+
+    The rows are written once; everything after reads the written table. A sample of at most about
+    ``MOST_BLOCKS * PER_BLOCK`` keys and orders tells which series are longer than a block and where
+    to cut them, so there are at most about ``MOST_BLOCKS`` cuts, which every task may hold. Cuts
+    change how rows are dealt to tasks, never a result. Equal orders of one series stay together.
+    A table of less than two blocks has none. A missing key is an error.
+    """
+    if name in df.columns:
+        raise ValueError(f"the rows have a column {name}")
+    whole = Series(series.keys, series.order)
+    rows = stored(_checked(df, whole), "series")
+    total = rows.count()
+    size = max(block_rows or BLOCK_ROWS, -(-total // MOST_BLOCKS))
+    if total < 2 * size:
+        return rows, whole
+    share = PER_BLOCK / size
+    seen = rows if share >= 1 else rows.sample(share, seed=17)
+    step = max(1, int(PER_BLOCK * min(1.0, 1 / share)))
+    places = F.transform(F.sequence(F.lit(step), F.size("__seen") - 1, F.lit(step)), lambda i: F.get("__seen", i))
+    lists = F.transform(F.sequence(F.lit(1), F.size("__cuts"), F.lit(CUT_LIST)), lambda i: F.slice("__cuts", i, CUT_LIST))
+    cuts = (
+        seen.groupBy(*series.keys)
+        .agg(F.array_sort(F.collect_list(whole.sort_key())).alias("__seen"))
+        .where(F.size("__seen") >= 2 * step)
+        .select(*series.keys, F.array_distinct(places).alias("__cuts"))
+        .select(*series.keys, lists.alias("__lists"))
+    )
+    here = whole.sort_key()
+    heads = F.filter(F.transform("__lists", lambda x: x[0]), lambda cut: cut <= here)
+    within = F.filter(F.element_at("__lists", F.size(heads)), lambda cut: cut <= here)
+    late = F.when(F.size(heads) > 0, (F.size(heads) - 1) * CUT_LIST + F.size(within))
+    dealt = rows.join(F.broadcast(stored(cuts, "cuts")), list(series.keys), "left")
+    found = dealt.withColumn(name, F.coalesce(late, F.lit(0))).select(*df.columns, name)
+    return found, Series(series.keys, series.order, name)
+
+
 def running_totals(df: DataFrame, series: Series, totals: Mapping[str, Column]) -> DataFrame:
     """Running sums of whole-number expressions along the series.
 

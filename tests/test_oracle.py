@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry
+from freshet.operators import series
 from tests.compare import compare, connect
 from workloads.registry import ORACLES, QUERIES
 
@@ -34,16 +35,33 @@ def test_query_agrees_with_sql(spark, con, key):
     assert [node for node in UNWANTED if node in plan] == []
 
 
-@pytest.mark.parametrize("key", ["w_rolling", "w_row_number", "w_runs", "w_rle", "w_diff"])
-def test_raw_series_are_windowed_by_block(spark, key):
-    """No window over the raw events is partitioned by the gauge alone."""
+RAW_SERIES = ["w_rolling", "w_row_number", "w_runs", "w_runs_min", "w_longest_run", "w_rle", "w_rle_decode", "w_diff"]
+
+
+@pytest.mark.parametrize("key", RAW_SERIES)
+def test_raw_series_are_windowed_by_block(spark, con, key, monkeypatch):
+    """Where series are longer than a block, no window over the raw events is partitioned by the gauge alone."""
+    monkeypatch.setattr(series, "BLOCK_ROWS", 4)
     df = entry.queries()[key](spark, SF_DIR)
-    windows = [line for line in df._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Window [" in line]
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    windows = [line for line in plan.splitlines() if "Window [" in line]
     raw = [w for w in windows if "ts#" in w or "event_id#" in w]
-    assert windows and all("block#" in w or "__chunk#" in w for w in raw)
+    assert windows and all("__block#" in w or "__chunk#" in w for w in raw)
+    assert "events.parquet" not in df._jdf.queryExecution().executedPlan().toString()
+    assert compare(df, con, entry.oracle_sql()[key]) == []
+
+
+PIVOTS = ["q_tidy", "r_pivot_flag", "r_pivot_experiment", "r_pivot_season", "r_pivot_type", "q_align", "q_prepare_rain"]
+
+
+@pytest.mark.parametrize("key", PIVOTS)
+def test_pivots_do_not_sort_their_rows(spark, key):
+    plan = entry.queries()[key](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
 
 
-def test_rows_and_summaries_share_a_shuffle(spark):
+def test_rows_and_summaries_share_a_shuffle(spark, monkeypatch):
+    monkeypatch.setattr(series, "BLOCK_ROWS", 4)
     df = entry.queries()["w_rle"](spark, SF_DIR)
     df.collect()
     assert "ReusedExchange" in df._jdf.queryExecution().executedPlan().toString()

@@ -1,5 +1,5 @@
-"""Queries on ordered series. Raw events run blocked by minute; monthly and yearly series are
-short by construction."""
+"""Queries on ordered series. Raw events run in blocks found from the rows; monthly and yearly
+series are short by construction."""
 
 from __future__ import annotations
 
@@ -11,6 +11,7 @@ from freshet.operators.series import (
     chunks,
     differences,
     expand_runs,
+    in_blocks,
     longest_runs,
     positions,
     rolling,
@@ -19,10 +20,15 @@ from freshet.operators.series import (
 )
 from freshet.plans import rain
 from workloads.registry import query
-from workloads.standin import ROLL, Tables, minute_of
+from workloads.standin import ROLL, Tables
 from workloads.tidy import rounded
 
-EVENTS = Series(("gauge",), ("ts", "event_id"), "block")
+EVENTS = Series(("gauge",), ("ts", "event_id"))
+
+
+def _events(t: Tables, *columns: str) -> tuple[DataFrame, Series]:
+    """Events with what a query needs, long series cut."""
+    return in_blocks(t.flow_events.select("gauge", "ts", "event_id", *columns), EVENTS)
 
 
 @query(
@@ -36,7 +42,7 @@ EVENTS = Series(("gauge",), ("ts", "event_id"), "block")
 )
 def w_rolling(t: Tables) -> DataFrame:
     """Trailing windows of three events, full windows only."""
-    rows = rolling(t.flow_events, EVENTS, {"mean3": (F.avg, "q", 3), "max3": (F.max, "q", 3)})
+    rows = rolling(*_events(t, "q"), {"mean3": (F.avg, "q", 3), "max3": (F.max, "q", 3)})
     return rows.select("gauge", "event_id", F.round("mean3", 6).alias("mean3"), "max3")
 
 
@@ -74,19 +80,19 @@ def w_center(t: Tables) -> DataFrame:
     "flow_numbered",
 )
 def w_row_number(t: Tables) -> DataFrame:
-    return positions(t.flow_events, EVENTS).select("gauge", "event_id", "position")
+    return positions(*_events(t)).select("gauge", "event_id", "position")
 
 
 @query("w_runs", "SELECT * FROM flow_runs", "flow_runs")
 def w_runs(t: Tables) -> DataFrame:
     """Stretches of events with a value, as row positions."""
-    return valid_runs(t.flow_events, EVENTS, "q")
+    return valid_runs(*_events(t, "q"), "q")
 
 
 @query("w_runs_min", "SELECT * FROM flow_runs WHERE length >= 4", "flow_runs")
 def w_runs_min(t: Tables) -> DataFrame:
     """Stretches of at least four events."""
-    return valid_runs(t.flow_events, EVENTS, "q", 4)
+    return valid_runs(*_events(t, "q"), "q", 4)
 
 
 @query(
@@ -99,7 +105,7 @@ def w_runs_min(t: Tables) -> DataFrame:
 )
 def w_longest_run(t: Tables) -> DataFrame:
     """Longest stretch per gauge, the earliest on a tie."""
-    return longest_runs(valid_runs(t.flow_events, EVENTS, "q"), ["gauge"])
+    return longest_runs(valid_runs(*_events(t, "q"), "q"), ["gauge"])
 
 
 _RLE = """
@@ -113,10 +119,10 @@ _RLE = """
     GROUP BY gauge, run"""
 
 
-def _kinds(t: Tables) -> DataFrame:
+def _kinds(t: Tables) -> tuple[DataFrame, Series]:
     seen = F.col("event_type").isin("click", "view")
     kind = F.when(seen, F.lit("seen")).when(F.col("event_type") != "error", F.lit("done"))
-    return t.flow_events.withColumn("kind", kind)
+    return in_blocks(t.flow_events.select("gauge", "ts", "event_id", kind.alias("kind")), EVENTS)
 
 
 @query(
@@ -126,7 +132,7 @@ def _kinds(t: Tables) -> DataFrame:
 )
 def w_rle(t: Tables) -> DataFrame:
     """Run-length encoding in which missing equals missing, with the end position of each run."""
-    return run_lengths(_kinds(t), EVENTS, "kind")
+    return run_lengths(*_kinds(t), "kind")
 
 
 @query(
@@ -138,7 +144,7 @@ def w_rle(t: Tables) -> DataFrame:
 )
 def w_rle_decode(t: Tables) -> DataFrame:
     """The rows back from their runs."""
-    rows = expand_runs(run_lengths(_kinds(t), EVENTS, "kind"), ["gauge"], ["value"], spread=True)
+    rows = expand_runs(run_lengths(*_kinds(t), "kind"), ["gauge"], ["value"], spread=True)
     return rows.select("gauge", "position", "value")
 
 
@@ -167,9 +173,8 @@ def w_diff(t: Tables) -> DataFrame:
         "ts",
         "event_id",
         "value",
-        minute_of("ts").alias("block"),
     )
-    return rounded(differences(rows, EVENTS, "value", "change").select("gauge", "event_id", "change"))
+    return rounded(differences(*in_blocks(rows, EVENTS), "value", "change").select("gauge", "event_id", "change"))
 
 
 @query(

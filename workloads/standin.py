@@ -60,11 +60,6 @@ RAW_SCHEMAS = {
 }
 
 
-def minute_of(ts: str) -> Column:
-    """Minutes since the epoch, whatever the session time zone."""
-    return F.unix_date(F.to_date(ts)) * 1440 + F.hour(ts) * 60 + F.minute(ts)
-
-
 class Tables:
     """Lazily built stand-ins for one scale-factor directory."""
 
@@ -108,7 +103,6 @@ class Tables:
             F.col("user_id").cast("string").alias("gauge"),
             "ts",
             "event_id",
-            minute_of("ts").alias("block"),
             flow.alias("q"),
             "event_type",
         )
