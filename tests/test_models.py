@@ -114,6 +114,74 @@ def test_a_segment_longer_than_a_block(spark):
         assert got["g0"] == pytest.approx(by_hand(model, rain, no, [310.0] * len(rain), no, [1] * len(rain)))
 
 
+@pytest.mark.parametrize("piece", [1, 7, 24, 1000])
+def test_a_segment_in_pieces_equals_the_written_out_recursion(spark, piece):
+    rng = random.Random(9)
+    n = 8 * 24
+    rain = [rng.uniform(1, 9) for _ in range(n)]
+    drought = [rng.random() < 0.3 for _ in rain]
+    co2 = [270.0 + i for i in range(n)]
+    ratio = [rng.uniform(-0.5, 0.5) for _ in rain]
+    segment = [1] * 100 + [2] * (n - 100)
+    models = [m for m in M.ALL_MODELS if m.has_auto]
+    bound = M.bind_parameters(parameters(spark, [m.name for m in models]))
+    df = series(spark, len(models), rain, drought, co2, ratio, segment)
+    for found in (
+        M.score(df, bound, ["gauge"], ["gauge", "segment"], piece=piece, models=models),
+        M.score(df, bound, ["gauge"], ["gauge", "segment"], piece=piece),
+    ):
+        got = {}
+        for r in sorted(found.collect(), key=lambda r: (r.gauge, r.year)):
+            got.setdefault(r.gauge, []).append(r.transformed_streamflow)
+        for i, model in enumerate(models):
+            assert got[f"g{i}"] == pytest.approx(by_hand(model, rain, drought, co2, ratio, segment), rel=1e-9), model.name
+
+
+def test_a_missing_term_ends_the_pieces_after_it(spark):
+    name = "streamflow_model_precip_seasonal_ratio_auto"
+    df = series(spark, 1, [1.0] * 9, ratio=[0.0, 0.0, 0.0, 0.0, None, 0.0, 0.0, 0.0, 0.0])
+    found = M.score(df, M.bind_parameters(parameters(spark, [name])), ["gauge"], ["gauge", "segment"], piece=2)
+    got = [r.transformed_streamflow for r in sorted(found.collect(), key=lambda r: r.year)]
+    assert all(x is not None for x in got[:4]) and got[4:] == [None] * 5
+
+
+def test_plain_models_gather_no_segment(spark):
+    names = [m.name for m in M.ALL_MODELS if not m.has_auto]
+    plain = [m for m in M.ALL_MODELS if not m.has_auto]
+    df = series(spark, 12, [1.0, 2.0, 3.0])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10m")
+    found = M.score(df, M.bind_parameters(parameters(spark, names)), ["gauge"], ["gauge", "segment"], models=plain)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "collect_list(struct(year" not in plan and "segment#" in plan
+    assert not [x for x in plan.splitlines() if "Exchange hashpartitioning" in x and "segment" in x]
+    assert found.count() == 36
+    with pytest.raises(Exception, match="not one of the models"):
+        auto = parameters(spark, ["streamflow_model_precip_auto"])
+        M.score(series(spark, 1, [1.0]), M.bind_parameters(auto), ["gauge"], ["gauge", "segment"], models=plain).collect()
+
+
+def test_many_sets_are_scored_from_one_copy_of_the_rows(spark):
+    rng = random.Random(2)
+    names = [m.name for m in M.ALL_MODELS]
+    df = series(spark, 24, [rng.uniform(1, 9) for _ in range(9)], segment=[1] * 4 + [2] * 5, ratio=[0.1 * i for i in range(9)])
+    factors = F.explode(F.array(*[F.lit(float(f)) for f in range(1, 51)])).alias("set")
+    sets = parameters(spark, names).select("*", factors)
+    changed = F.when(F.col("parameter") == "a1", F.col("parameter_value") * F.col("set")).otherwise(F.col("parameter_value"))
+    bound = M.bind_parameters(sets.withColumn("parameter_value", changed), ["gauge", "set"])
+    one = M.score(df, bound, ["gauge"], ["gauge", "segment", "set"])
+    many = M.score_sets(df, bound, ["gauge"], ["set"], ["gauge", "segment"], piece=2)
+    key = lambda r: (r.gauge, r.segment, r.set, r.year)
+    a, b = (sorted(((*key(r), r.transformed_streamflow) for r in x.collect())) for x in (one, many))
+    assert len(a) == 24 * 9 * 50 and [x[:4] for x in a] == [x[:4] for x in b]
+    assert [x[4] for x in b] == pytest.approx([x[4] for x in a], rel=1e-9)
+
+
+def test_sets_of_an_unknown_key_are_an_error(spark):
+    bound = M.bind_parameters(parameters(spark, ["streamflow_model_precip_only"]).withColumn("set", F.lit(1)), ["gauge", "set"])
+    with pytest.raises(Exception, match="no parameters for g1"):
+        M.score_sets(series(spark, 2, [1.0]), bound, ["gauge"], ["set"], ["gauge", "segment"]).collect()
+
+
 def test_worked_values(spark):
     p = "streamflow_model_"
     auto = scores(spark, series(spark, 1, [1.0, 2.0, 3.0]), parameters(spark, [p + "precip_auto"]))

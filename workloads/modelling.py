@@ -5,7 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from freshet.operators.flow_models import bind_parameters, registry, score, without_carbon
+from freshet.operators.flow_models import (
+    ALL_MODELS,
+    bind_parameters,
+    registry,
+    score,
+    score_sets,
+    without_carbon,
+)
 from freshet.operators.series import Series, own_segments
 from freshet.operators.transforms import (
     TRANSFORMS,
@@ -140,7 +147,23 @@ _MONTHLY_SQL = """
 )
 def m_auto(t: Tables) -> DataFrame:
     """Autoregressive models over series of up to 83 months."""
-    scored = score(_monthly_rows(t), bind_parameters(t.auto_parameters), ["gauge"], ["gauge"], "t")
+    auto = [m for m in ALL_MODELS if m.has_auto]
+    scored = score(_monthly_rows(t), bind_parameters(t.auto_parameters), ["gauge"], ["gauge"], "t", models=auto)
+    return rounded(scored.select("gauge", "t", "transformed_streamflow"))
+
+
+@query(
+    "m_plain",
+    f"""
+    , with_terms AS ({model_terms(_MONTHLY_SQL, "models_plain", "gauge", "t", "precipitation")})
+    SELECT gauge, t, round(c, 6) AS transformed_streamflow FROM with_terms""",
+    "flow_monthly",
+    "models_plain",
+)
+def m_plain(t: Tables) -> DataFrame:
+    """The models without autoregression: a column of each row, no segment is gathered."""
+    plain = [m for m in ALL_MODELS if not m.has_auto]
+    scored = score(_monthly_rows(t), bind_parameters(t.plain_parameters), ["gauge"], ["gauge"], "t", models=plain)
     return rounded(scored.select("gauge", "t", "transformed_streamflow"))
 
 
@@ -202,14 +225,14 @@ def m_counterfactual(t: Tables) -> DataFrame:
     "models_all",
 )
 def m_param_sets(t: Tables) -> DataFrame:
-    """Three parameter sets per gauge, scored together."""
+    """Three parameter sets per gauge, scored together from one copy of the rows."""
     factors = F.array(
         *[F.struct(F.lit(s).alias("param_set_id"), F.lit(f).alias("f")) for s, f in ((1, 1.0), (2, 1.5), (3, 2.0))]
     )
     changed = F.when(F.col("parameter") == "a1", F.col("parameter_value") * F.col("f")).otherwise(F.col("parameter_value"))
     sets = t.parameters.select("*", F.inline(factors)).withColumn("parameter_value", changed)
     bound = bind_parameters(sets, ["gauge", "param_set_id"])
-    scored = score(yearly_segments(t), bound, ["gauge"], ["gauge", "segment_id", "param_set_id"])
+    scored = score_sets(yearly_segments(t), bound, ["gauge"], ["param_set_id"], ["gauge", "segment_id"])
     return rounded(scored.select("gauge", "segment_id", "param_set_id", "year", "transformed_streamflow"))
 
 

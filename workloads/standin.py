@@ -242,6 +242,11 @@ class Tables:
         """One of the 12 autoregressive models per gauge."""
         return self._parameters(self._models(2 * (F.col("s_suppkey") % 12) + 1))
 
+    @cached_property
+    def plain_parameters(self) -> DataFrame:
+        """One of the 12 models without autoregression per gauge."""
+        return self._parameters(self._models(2 * (F.col("s_suppkey") % 12)))
+
     @cached_property
     def carbon_parameters(self) -> DataFrame:
         """One of the 16 models with carbon terms per gauge."""
@@ -541,6 +546,7 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
     ),
     "models_all": ((), _parts("s_suppkey % 24")),
     "models_auto": ((), _parts("2 * (s_suppkey % 12) + 1")),
+    "models_plain": ((), _parts("2 * (s_suppkey % 12)")),
     "models_carbon": ((), _parts("4 + s_suppkey % 8 + CASE WHEN s_suppkey % 16 >= 8 THEN 12 ELSE 0 END")),
     "obs_runs": (
         ("obs_yearly",),
