@@ -198,6 +198,22 @@ def effect_statistics(total: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
+def effect_statistics_by(total: DataFrame, keys: Sequence[str], over: str, label: str) -> DataFrame:
+    """``effect_statistics`` by ``keys`` and ``over``, and by ``keys`` alone with ``label`` in place of ``over``.
+
+    One aggregate over one reading of the rows.
+    """
+    percent = F.col("total_effect_CC_percent") * 100
+    found = total.groupingSets([list(keys), [*keys, over]], *keys, over).agg(
+        strict_mean(percent).alias("mean"),
+        strict(F.stddev_samp, percent).alias("sd"),
+        strict_mean(F.col("range_total_CC_percentage_effect")).alias("mean_uncertainty"),
+        F.count(F.lit(1)).alias("n"),
+        F.grouping(over).alias("__all"),
+    )
+    return found.withColumn(over, F.when(F.col("__all") == 1, F.lit(label)).otherwise(F.col(over))).drop("__all")
+
+
 def contributions(effects: DataFrame) -> DataFrame:
     """Sums over all gauges and the percentage each part contributes to the total."""
     sums = effects.agg(

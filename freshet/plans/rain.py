@@ -34,12 +34,19 @@ RATIO = "standardised_warm_season_to_annual_rainfall_ratio"
 
 
 def dated_runs(runs: DataFrame) -> DataFrame:
-    """Wide run rows to one row per run, date and position, in mm per month."""
+    """Wide run rows to one row per run, date and position, in mm per month; ``gauge`` is the position.
+
+    The values ``V1..Vn`` become one array, so a row's ids are not copied once per column before the values are.
+    """
     ids = ["GCM", "ensemble_id", "experiment", "realisation", "date"]
     date = offset_date(range_origin(F.col("date_range")), F.col("time_sum"))
-    dated = runs.withColumn("date", date).drop("time_sum", "date_range")
-    long = to_long(dated, ids, None, "gauge", "flux")
-    return long.withColumn("precipitation_mm", mm_per_month(F.col("flux"), F.col("date"))).drop("flux")
+    width = sum(c.startswith("V") and c[1:].isdigit() for c in runs.columns)
+    values = F.array(*[F.col(f"V{i}") for i in range(1, width + 1)])
+    dated = runs.withColumn("date", date).select(*ids, values.alias("values"))
+    long = dated.select(*ids, F.posexplode("values").alias("place", "flux"))
+    return long.select(
+        *ids, (F.col("place") + 1).alias("gauge"), mm_per_month(F.col("flux"), F.col("date")).alias("precipitation_mm")
+    )
 
 
 def tidy_runs(runs: DataFrame, gauges: DataFrame) -> DataFrame:
@@ -49,6 +56,7 @@ def tidy_runs(runs: DataFrame, gauges: DataFrame) -> DataFrame:
     the seasonal sums, not to the far more numerous monthly values.
     """
     seasonal = seasonal_model_rain(dated_runs(runs)).withColumnRenamed("gauge", "__position")
+    seasonal = seasonal.withColumn("__position", F.concat(F.lit("V"), F.col("__position").cast("string")))
     named = name_positions(seasonal, gauges, "__position", "gauge")
     return named.select("year", *SERIES_KEYS, "season", *EXPERIMENTS.values())
 

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from freshet.functions.text import run_fields
 from freshet.operators.quality import require_schema
@@ -25,6 +25,33 @@ def read_csv(spark: SparkSession, paths: str | Sequence[str], schema: StructType
     )
 
 
+def read_csv_and_bad_rows(
+    spark: SparkSession, paths: str | Sequence[str], schema: StructType
+) -> tuple[DataFrame, DataFrame]:
+    """``read_csv`` for files with damaged rows: (rows that fit the schema, rows that do not).
+
+    A bad row has a value of another type, or too few or too many fields; it comes back as
+    ``file_name`` and ``record``, the text of its line, in no column of the first table. A header
+    that differs from the schema is still an error. Both tables read all columns, as whether a row
+    is bad must not depend on the columns that a query asks for.
+    """
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    held = "__record"
+    rows = spark.read.schema(StructType([*schema.fields, StructField(held, StringType())])).option("columnPruning", False).csv(
+        paths,
+        header=True,
+        nullValue="NA",
+        enforceSchema=False,
+        mode="PERMISSIVE",
+        columnNameOfCorruptRecord=held,
+    )
+    # True of every row; Spark refuses a query that needs no column but the record.
+    read = F.xxhash64(*schema.names) >= F.lit(-(1 << 63))
+    good = rows.where(F.col(held).isNull() & read).drop(held)
+    bad = rows.where(F.col(held).isNotNull() & read).select(F.col("_metadata.file_name").alias("file_name"), F.col(held).alias("record"))
+    return good, bad
+
+
 def csv_header(spark: SparkSession, path: str) -> list[str]:
     """Column names of a CSV file, read from its first line only."""
     return spark.read.option("header", True).option("inferSchema", False).csv(path).columns

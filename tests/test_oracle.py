@@ -6,6 +6,8 @@ import __spark_entry__ as entry
 from freshet.operators import series
 from tests.compare import compare, connect
 from workloads.registry import ORACLES, QUERIES
+from workloads.standin import Tables
+from workloads.summary import uncertain_rows
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -73,3 +75,15 @@ def test_filters_and_columns_reach_the_scan(spark):
     scan = next(line for line in plan.splitlines() if "FileScan" in line and "lineitem" in line)
     assert "GreaterThanOrEqual(l_quantity" in scan and "In(l_returnflag" in scan
     assert "GreaterThanOrEqual(l_shipdate" in scan and "l_extendedprice" not in scan
+
+
+def test_statistics_read_their_rows_once(spark):
+    """One aggregate for both levels: the plan has as many scans as that of the rows alone."""
+    plan = entry.queries()["a_mean_sd"](spark, SF_DIR)._jdf.queryExecution().optimizedPlan().toString()
+    rows = uncertain_rows(Tables(spark, SF_DIR))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") <= rows.count("Relation [") and "Expand" in plan
+
+
+def test_wide_files_are_not_copied_per_column(spark):
+    plan = entry.queries()["q_tidy_width"](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+    assert "posexplode" in plan and "Expand" not in plan and "SortAggregate" not in plan

@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-FAMILIES = ("tidy", "summary", "ordered", "modelling", "analyses")
+FAMILIES = ("tidy", "summary", "ordered", "modelling", "analyses", "whole")
 
 
 def load_all() -> None:

@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from freshet.functions.text import run_fields
 from freshet.operators.quality import covered_series, empty_segments, missing_series, row_mismatches, schema_report
 from freshet.operators.series import Series, valid_runs
 from freshet.plans import aridity, effects, flow, rain
 from freshet.plans.drought import drought_flags
-from freshet.session import stored
+from freshet.session import new_table_path, stored
+from freshet.sources.readers import read_model_runs
 from freshet.sources.schemas import OBSERVED_YEARLY
+from freshet.sources.writers import write_named_csv
 from workloads.registry import query
 from workloads.standin import END_YEAR, START_YEAR, Tables, model_scores, model_terms
 from workloads.summary import decade_rows, period_rows, scenario_rows, smoothed_rows, uncertain_rows
@@ -126,11 +127,10 @@ def q_row_parity(t: Tables) -> DataFrame:
     GROUP BY 1, 2, 3, 4, 5, 6""",
 )
 def q_tidy(t: Tables) -> DataFrame:
-    """Wide model runs to seasonal rain with one column per experiment."""
-    wide = _wide_run_rows(t)
-    fields = run_fields(F.col("run"))
-    tags = ("GCM", "ensemble_id", "experiment", "realisation", "date_range")
-    runs = wide.select(*[fields[n].alias(n) for n in tags], "time_sum", *[f"V{i}" for i in range(1, 8)])
+    """Wide model runs, read from files under their names, to seasonal rain with one column per experiment."""
+    path = new_table_path(t.spark, "runs")
+    write_named_csv(_wide_run_rows(t), path, "run")
+    runs = read_model_runs(t.spark, [path], 7)
     gauges = t.spark.range(1, 8).select(
         F.col("id").alias("position"), F.concat(F.lit("g"), F.col("id").cast("string")).alias("gauge")
     )

@@ -183,8 +183,7 @@ _STATISTICS = """
 def a_mean_sd(t: Tables) -> DataFrame:
     """Mean, spread and number by decade, and by decade and state."""
     total = effects.total_percent(uncertain_rows(t))
-    overall = effects.effect_statistics(total, ["decade"]).withColumn("state", F.lit("all"))
-    return rounded(effects.effect_statistics(total, ["decade", "state"]).unionByName(overall))
+    return rounded(effects.effect_statistics_by(total, ["decade"], "state", "all"))
 
 
 @query(
