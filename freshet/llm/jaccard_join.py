@@ -4,14 +4,17 @@ Texts with equal shingle sets are one node, so copies cost nothing further. Shin
 shingles to a group from ``GROUPS`` groups on, so that the counts of a long text tell as much as those of a short one; a
 node's counts per group are a point. Two sets share at most the sum over groups of the lesser count, and a similarity of
 0.8 needs an overlap of 4/9 of both sizes together: an R-tree over the points, bounding a box by the minima with its upper
-corner, leaves only pairs that may be similar. These are verified on the whole sets. The number of groups is a power of
+corner, leaves only pairs that may be similar. The number of groups is a power of
 two by the set's size; similar sets have the same or neighbouring ones, and adding up neighbours halves a point's width.
+Pairs that the points leave are bounded again by finer counts, eight to sixteen cells to a shingle and a bit to a cell,
+before they leave the task; what survives is verified on the whole sets.
 
 What brings points together is the prefix rule: under one order of all shingles, sets as similar as this share one of their
 first ``n - ceil(0.8 n) + 1``. The order is rarest first by a count sketch of fixed size, then by hash; any order is
 exact, this one keeps common passages out of the prefixes. Sets with a common prefix shingle form a bucket, and buckets
-are worked off in two rounds. Round one pairs each member with the bucket's first and with its predecessor by size, which
-is linear, and verifies one surviving pair per node, then those that still lie in two components. Round two takes the buckets of three or more that still hold several components and
+are worked off in two rounds. Round one takes the pair of every bucket of two, and for each member of larger ones two
+partners, the bucket's first or its predecessor by size; it verifies one surviving pair per node, then those that still lie
+in two components. Round two takes the buckets of three or more that still hold several components and
 joins them over R-trees; boxes that lie in one component are skipped, so a large group of near copies costs no pairs.
 Buckets of more than ``BLOCK`` members are cut in blocks, and pairs of blocks are separate work.
 """
@@ -28,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from freshet.llm.columns import text_or_empty
+from freshet.llm.columns import numbered, text_or_empty
 from freshet.llm.components import components
 from freshet.llm.shingles import slices, sort_within
 from freshet.session import stored
@@ -38,6 +41,8 @@ GROUPS = 64
 SKETCH = 1 << 16
 BLOCK = 4_096
 LEAF = 32
+#: Pairs whose cells are compared at once.
+PAIRS = 4_096
 #: Node ids of candidates (8 bytes each) are sent to all executors up to this number, and shuffled beyond it.
 SMALL_ROWS = 1_000_000
 SIGNED = np.int64
@@ -61,7 +66,7 @@ def _sketch(rows: DataFrame) -> np.ndarray:
 
 
 def _points(rows: DataFrame, sketch: np.ndarray) -> DataFrame:
-    """(id, unnamed, n, sig, vec, keys) per row: size, digest and group counts of the shingle set, and its prefix."""
+    """(id, unnamed, n, sig, vec, bits, keys) per row: size, digest, group counts and cells of the set, and its prefix."""
 
     rank = np.argsort(np.argsort(sketch, kind="stable"), kind="stable").astype(np.uint64)
 
@@ -76,6 +81,7 @@ def _points(rows: DataFrame, sketch: np.ndarray) -> DataFrame:
             groups = before[owner] + (hashes >> shift[owner]).astype(np.int64)
             counts = np.bincount(groups, minlength=before[-1])
             vec = [packed(counts[i:j]) for i, j in zip(before, before[1:])]
+            bits = _cells(n, owner, hashes)
             signed = hashes.view(SIGNED)
             sig = [hashlib.blake2b(signed[e - m : e].tobytes(), digest_size=16).digest() for e, m in zip(ends, n)]
             prefix = n - (4 * n + 4) // 5 + (n > 0)
@@ -86,10 +92,45 @@ def _points(rows: DataFrame, sketch: np.ndarray) -> DataFrame:
             keys = pa.ListArray.from_arrays(
                 pa.array(np.append(0, np.cumsum(prefix)), pa.int32()), pa.array(ordered.view(SIGNED)[first])
             )
-            columns = [piece["id"], piece["unnamed"], pa.array(n), pa.array(sig), pa.array(vec, pa.binary()), keys]
-            yield pa.record_batch(columns, names=["id", "unnamed", "n", "sig", "vec", "keys"])
+            columns = [piece["id"], piece["unnamed"], pa.array(n), pa.array(sig), pa.array(vec, pa.binary()), pa.array(bits, pa.binary()), keys]
+            yield pa.record_batch(columns, names=["id", "unnamed", "n", "sig", "vec", "bits", "keys"])
 
-    return rows.mapInArrow(make, "id long, unnamed boolean, n long, sig binary, vec binary, keys array<long>")
+    return rows.mapInArrow(make, "id long, unnamed boolean, n long, sig binary, vec binary, bits binary, keys array<long>")
+
+
+def _cells(n: np.ndarray, owner: np.ndarray, hashes: np.ndarray) -> list[bytes]:
+    """A bit per cell that holds a shingle of the set: a byte to one or two shingles, eight at least."""
+    size = np.maximum(8, 1 << np.ceil(np.log2(np.maximum(n, 1))).astype(np.int64))
+    edges = np.append(0, np.cumsum(size))
+    cell = (hashes >> np.uint64(16)).astype(np.int64) & (8 * size[owner] - 1)
+    held = np.zeros(8 * edges[-1], np.uint8)
+    held[8 * edges[owner] + cell] = 1
+    packed_bits = np.packbits(held, bitorder="little").tobytes()
+    return [packed_bits[i:j] for i, j in zip(edges.tolist(), edges[1:].tolist())]
+
+
+def finely_bounded(i: np.ndarray, j: np.ndarray, sizes: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    """Which pairs of rows may have 4/9 of both sizes in common, by their cells.
+
+    The overlap is at most the cells that both hold, plus the shingles that share a cell of their own set, of the set that
+    has fewer of these.
+    """
+    able = np.zeros(len(i), bool)
+    width = np.fromiter(map(len, bits), np.int64, len(bits))
+    kinds = np.minimum(width[i], width[j])
+    for w in np.unique(kinds).tolist():
+        wanted = np.flatnonzero(kinds == w)
+        rows, place = np.unique(np.concatenate([i[wanted], j[wanted]]), return_inverse=True)
+        cells = np.empty((len(rows), w // 8), np.uint64)
+        for r, row in enumerate(rows.tolist()):
+            cells[r] = np.bitwise_or.reduce(np.frombuffer(bits[row], np.uint64).reshape(-1, w // 8), axis=0)
+        shared = sizes[rows] - np.bitwise_count(cells).sum(axis=1, dtype=np.int64)
+        a, b = place[: len(wanted)], place[len(wanted) :]
+        for at in range(0, len(wanted), PAIRS):
+            x, y = a[at : at + PAIRS], b[at : at + PAIRS]
+            most = np.bitwise_count(cells[x] & cells[y]).sum(axis=1, dtype=np.int64) + np.minimum(shared[x], shared[y])
+            able[wanted[at : at + PAIRS]] = 9 * most >= 4 * (sizes[rows[x]] + sizes[rows[y]])
+    return able
 
 
 def widths(n: np.ndarray) -> np.ndarray:
@@ -198,13 +239,16 @@ def _leaf_pairs(sizes: np.ndarray, parts: np.ndarray, vec: np.ndarray) -> tuple[
     return found[:, 0], found[:, 1]
 
 
-def _work_pairs(nodes: np.ndarray, sizes: np.ndarray, parts: np.ndarray, block: np.ndarray, vec: np.ndarray) -> np.ndarray:
+def _work_pairs(
+    nodes: np.ndarray, sizes: np.ndarray, parts: np.ndarray, block: np.ndarray, vec: np.ndarray, bits: np.ndarray
+) -> np.ndarray:
     """Pairs (a row each) that one (bucket, block, block) leaves."""
     if (parts == parts[0]).all():
         return np.zeros((0, 2), np.int64)
     if len(nodes) <= LEAF:
         i, j = _leaf_pairs(sizes, parts, vec)
-        return np.stack([nodes[i], nodes[j]], axis=1)
+        able = finely_bounded(i, j, sizes, bits)
+        return np.stack([nodes[i[able]], nodes[j[able]]], axis=1)
     width = np.fromiter(map(len, vec), np.int64, len(vec))
     trees: dict[tuple, Tree | None] = {}
 
@@ -222,7 +266,11 @@ def _work_pairs(nodes: np.ndarray, sizes: np.ndarray, parts: np.ndarray, block:
         for v, u in {(w, w), (w, 2 * w)} | ({(2 * w, w)} if low < high else set()):
             x, y = tree(low, v, w), tree(high, u, w)
             if x and y:
-                found += [np.stack([nodes[x.rows[i]], nodes[y.rows[j]]]) for i, j in x.pairs(y)]
+                pairs = [(x.rows[i], y.rows[j]) for i, j in x.pairs(y)]
+                if pairs:
+                    i, j = (np.concatenate(side) for side in zip(*pairs))
+                    able = finely_bounded(i, j, sizes, bits)
+                    found.append(np.stack([nodes[i[able]], nodes[j[able]]]))
     return np.concatenate(found, axis=1).T
 
 
@@ -242,18 +290,18 @@ def _round_two(buckets: DataFrame, points: DataFrame, found: DataFrame) -> DataF
     )
     # Buckets with the same members, as the shingles of one passage make them, are the same work.
     mixed = mixed.filter("lo < hi").groupBy("lo", "hi", "k", "x", "y").agg(F.min("key").alias("key"))
-    member = member.join(mixed.select("key"), "key", "left_semi").join(points.select("node", "vec"), "node")
+    member = member.join(mixed.select("key"), "key", "left_semi").join(points.select("node", "vec", "bits"), "node")
     member = member.withColumn("block", F.floor((F.col("place") - 1) / BLOCK).cast("int"))
     blocks = F.ceil(F.col("members") / BLOCK).cast("int")
     dealt = member.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1))).select(
         F.xxhash64("key", F.least("block", "other"), F.greatest("block", "other")).alias("work"),
-        "node", "n", "vec", "component", "block",
+        "node", "n", "vec", "bits", "component", "block",
     )
 
     def pairs_of(frame: pd.DataFrame) -> pd.DataFrame:
         work = frame["work"].to_numpy()
         edges = [0, *(np.flatnonzero(work[1:] != work[:-1]) + 1).tolist(), len(work)]
-        columns = [frame[c].to_numpy() for c in ("node", "n", "component", "block", "vec")]
+        columns = [frame[c].to_numpy() for c in ("node", "n", "component", "block", "vec", "bits")]
         found = [_work_pairs(*(c[i:j] for c in columns)) for i, j in zip(edges, edges[1:]) if i < j]
         pairs = np.unique(np.sort(np.concatenate([np.zeros((0, 2), np.int64), *found]), axis=1), axis=0)
         return pd.DataFrame(pairs, columns=["a", "b"])
@@ -308,9 +356,9 @@ def _keyed_groups(docs: DataFrame, id_column: str, text_column: str) -> DataFram
     )
     table = stored(_points(rows, _sketch(rows)), "near-points")
     sets = table.filter("n > 0")
-    least = F.min(F.struct("id", "n", "vec"))
+    least = F.min(F.struct("id", "n", "vec", "bits"))
     points = stored(
-        sets.groupBy("sig").agg(least.alias("p")).select("sig", F.col("p.id").alias("node"), "p.n", "p.vec"), "near-reps"
+        sets.groupBy("sig").agg(least.alias("p")).select("sig", F.col("p.id").alias("node"), "p.n", "p.vec", "p.bits"), "near-reps"
     )
     prefixes = sets.groupBy("sig").agg(F.min(F.struct("id", "n", "keys")).alias("p"))
     keyed = prefixes.select(F.explode("p.keys").alias("key"), F.col("p.id").alias("node"), F.col("p.n").alias("n"))
@@ -325,9 +373,13 @@ def _keyed_groups(docs: DataFrame, id_column: str, text_column: str) -> DataFram
         ).filter("members > 1"),
         "near-buckets",
     )
-    near = buckets.select(F.explode(F.array("head", "before")).alias("x"), "node", "n")
+    near = buckets.select(F.explode(F.array("head", "before")).alias("x"), "node", "n", "members")
     near = near.filter("x.node <> node and 5 * x.n >= 4 * n")  # x is not the larger one
-    near = near.select(F.least("x.node", "node").alias("a"), F.greatest("x.node", "node").alias("b")).distinct()
+    # Larger buckets are worked off in round two; here two partners per node join most of a group.
+    partners = F.array(F.min("x.node"), F.min_by("x.node", F.struct("members", "x.node")))
+    few = near.filter("members > 2").groupBy("node").agg(partners.alias("xs")).select(F.explode("xs").alias("x"), "node")
+    near = near.filter("members = 2").select("x.node", "node").toDF("x", "node").unionByName(few)
+    near = near.select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct()
     near = stored(_bounded(near, points), "near-pairs")
     # One pair per node joins most of a group; other pairs are verified only where that left two components.
     nearest = stored(near.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "near-firsts")
@@ -361,7 +413,8 @@ def first_of_each_group(docs: DataFrame, id_column: str = "doc_id", text_column:
     if not _has_null_id(docs, id_column):
         return docs.join(groups.filter("component = id").select(F.col("id").alias(id_column)).distinct(), id_column, "left_semi")
     first = groups.groupBy("component").agg(F.min(F.struct("unnamed", "id")).alias("first")).select("first.*")
-    own, key = docs.withColumn("_unnamed", F.col(id_column).isNull()), _key(id_column, text_column)
-    keyed = own.withColumn("_key", key)
+    held, names = numbered(docs)
+    own, text = names[id_column], names[text_column]
+    keyed = held.withColumn("_key", _key(own, text)).withColumn("_unnamed", F.col(own).isNull())
     kept = keyed.join(first, (keyed["_key"] == first["id"]) & (keyed["_unnamed"] == first["unnamed"]), "left_semi")
-    return kept.select(*docs.columns)
+    return kept.select(*[F.col(names[c]).alias(c) for c in docs.columns])

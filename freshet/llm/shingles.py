@@ -49,9 +49,8 @@ def _words(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray
         return np.zeros(0, np.uint64), np.zeros(len(bounds), np.int64)
     lengths = np.diff(np.append(starts, len(data)))
     at = np.arange(len(data)) - np.repeat(np.append(0, starts), np.append(starts[0], lengths))
-    powers = np.full(int(at.max()) + 1, _BASE)
-    powers[0] = 1
-    terms = np.where(space, np.uint64(0), _BYTES[_LOWER[data]] * np.cumprod(powers, dtype=np.uint64)[at])
+    # A sum of powers is the same for some pairs of long words whatever the base; a mixed number per byte and place is not.
+    terms = np.where(space, np.uint64(0), mixed(_BYTES[_LOWER[data]] + at.astype(np.uint64) * _BASE))
     return mixed(np.add.reduceat(terms, starts)), np.searchsorted(starts, bounds)
 
 

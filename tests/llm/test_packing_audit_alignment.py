@@ -223,3 +223,54 @@ def test_fragments_compose_in_any_grouping():
             i = rng.randrange(len(left) - 1)
             left[i : i + 2] = [left[i] + left[i + 1]]
         assert joined(left[0]) == want
+
+
+def test_cells_never_hide_a_similar_pair():
+    from freshet.llm import jaccard_join
+
+    rng = np.random.default_rng(4)
+    sets = []
+    for size in (1, 3, 7, 40, 200, 900):
+        base = rng.integers(0, 1 << 63, size, dtype=np.uint64) * np.uint64(2)
+        for share in (1.0, 0.95, 0.85, 0.6, 0.1):
+            keep = base[: max(1, int(size * share))]
+            more = rng.integers(0, 1 << 63, size - len(keep), dtype=np.uint64)
+            sets.append(np.unique(np.concatenate([keep, more])))
+    n = np.array([len(s) for s in sets])
+    owner, hashes = np.repeat(np.arange(len(sets)), n), np.concatenate(sets)
+    bits = np.array(jaccard_join._cells(n, owner, hashes), object)
+    i, j = np.triu_indices(len(sets), 1)
+    able = jaccard_join.finely_bounded(i, j, n, bits)
+    common = np.array([len(np.intersect1d(sets[a], sets[b])) for a, b in zip(i, j)])
+    similar = 100 * common >= 80 * (n[i] + n[j] - common)
+    assert able[similar].all() and similar.sum() > 10 and able.sum() < 2 * similar.sum()
+
+
+def test_words_of_one_polynomial_hash_are_told_apart(spark):
+    from freshet.llm import jaccard_join
+
+    morse = "a"
+    while len(morse) < 2048:
+        morse += morse.translate(str.maketrans("ab", "ba"))
+    other = morse.translate(str.maketrans("ab", "ba"))
+    texts = [" ".join([w] * 1) for w in (morse, other)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert sorted(r["component_id"] for r in jaccard_join.jaccard_groups(df).collect()) == [0, 1]
+
+
+def test_clashing_names_and_repeated_queries(spark):
+    from freshet.llm import jaccard_join, line_dedup, vantage_point
+
+    names = ["doc_id", "text", "_key", "_kept", "_id", "_row_key", "_stay", "_parts", "_unnamed", "c0", "c1", "n_lines"]
+    rows = [(i, t, *[f"v{k}" for k in range(len(names) - 2)]) for i, t in ((1, "one line\nsame"), (2, "same\ntwo"), (None, "three four"))]
+    df = spark.createDataFrame(rows, ", ".join(f"{n} {'long' if n == 'doc_id' else 'string'}" for n in names))
+    found = line_dedup.without_repeated_lines(df)
+    assert found.columns == [*names[:-1], "n_lines", "n_dropped"]
+    got = {r["doc_id"]: r for r in found.collect()}
+    assert got[2]["text"] == "two" and got[1]["_key"] == "v0" and got[1]["_kept"] == "v1" and got[1]["c1"] == "v8"
+    kept = jaccard_join.first_of_each_group(df)
+    assert kept.columns == names and {r["_key"] for r in kept.collect()} == {"v0"} and kept.count() == 3
+    vectors = [(i, [float(i), 1.0]) for i in range(30)] + [(0, [0.0, 1.0]), (0, [29.0, 1.0])]
+    near = vantage_point.nearest(spark.createDataFrame(vectors, "vec_id long, embedding array<double>"), F.col("vec_id") == 0, k=3)
+    got = sorted((r["rank"], r["vec_id"]) for r in near.collect())
+    assert got == [(1, 1), (1, 29), (2, 2), (2, 28), (3, 3), (3, 27)]
