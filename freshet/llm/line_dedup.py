@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from freshet.llm.columns import text_or_empty
+from freshet.llm.columns import numbered, text_or_empty
 from freshet.session import stored
 
 #: A table of at most so many narrow rows (under 100 bytes each) is sent to all executors, a larger one is shuffled.
@@ -42,7 +42,8 @@ def _lines(rows: DataFrame) -> DataFrame:
     """Every line that is not blank, with its place and a 128-bit name."""
     found = rows.select("id", "row_key", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
     return found.filter(~_blank(F.col("line"))).withColumns(
-        {"h1": F.xxhash64("line"), "h2": F.xxhash64("line", F.lit(1))}
+        # The second is seeded otherwise; hashed behind the line, a number would only be a function of the first.
+        {"h1": F.xxhash64("line"), "h2": F.xxhash64(F.lit("second"), "line")}
     )
 
 
@@ -121,6 +122,9 @@ def without_repeated_lines(
     different texts are told apart by a hash of the text. A null id comes before all others. Other columns pass
     unchanged, also those named like a column used inside; columns named n_lines or n_dropped are replaced.
     """
+    given = docs.drop("n_lines", "n_dropped")
+    docs, names = numbered(given)
+    id_column, text_column = names[id_column], names[text_column]
     key = F.xxhash64(F.col(id_column), text_or_empty(F.col(text_column)))
     rows = docs.select(F.col(id_column).alias("id"), key.alias("row_key"), text_or_empty(F.col(text_column)).alias("text"))
     lines = (
@@ -136,7 +140,7 @@ def without_repeated_lines(
         .groupBy(F.col("first.id").alias("_id"), F.col("first.row_key").alias("_row_key"))
         .agg(F.collect_list("first.line_no").alias("_kept"))
     )
-    held = docs.drop("n_lines", "n_dropped").withColumn("_key", key)
+    held = docs.withColumn("_key", key)
     joined = held.join(kept, held[id_column].eqNullSafe(kept["_id"]) & (held["_key"] == kept["_row_key"]), "left")
     parts = F.split(text_or_empty(F.col(text_column)), "\n")
     blanks = F.filter(F.transform(parts, lambda x, i: F.when(_blank(x), i)), lambda i: i.isNotNull())
@@ -147,5 +151,5 @@ def without_repeated_lines(
         .withColumn("n_lines", F.size("_parts"))
         .withColumn("n_dropped", F.size("_parts") - F.size("_stay"))
         .withColumn(text_column, F.array_join(F.transform("_stay", lambda i: F.element_at(F.col("_parts"), i + 1)), "\n"))
-        .select(*[c for c in docs.columns if c not in ("n_lines", "n_dropped")], "n_lines", "n_dropped")
+        .select(*[F.col(names[c]).alias(c) for c in given.columns], "n_lines", "n_dropped")
     )
