@@ -155,7 +155,8 @@ def nearest(
     """The ``k`` nearest other rows of each query row: (query_id, rank, vec_id, score), score the Euclidean distance.
 
     Vectors that are not :func:`usable` take no part on either side, nor do rows without an id; vectors of several
-    lengths are an error. A repeated id counts once per row as a candidate, never for its own query. Equal distances go
+    lengths are an error. A repeated id counts once per row as a candidate, never for its own query; a query row that is
+    there twice is asked once. Equal distances go
     to the smaller id. Fewer than ``k`` candidates give fewer rows; none, or no query, gives no rows.
     """
     rows = (
@@ -166,24 +167,28 @@ def nearest(
     n, asking = rows.agg(F.count("*"), F.count_if("asks")).first()
     shards, blocks = max(1, math.ceil(n / shard_rows)), max(1, math.ceil(asking / block_queries))
     index = trees(rows.select("id", "vector"), shards)
-    asked = rows.filter("asks").select("id", "vector", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(blocks)).cast("int").alias("block"))
+    # Equal query rows are one query; rows with one id and different vectors are told apart by a hash of the vector.
+    asked = rows.filter("asks").withColumn("name", F.xxhash64("vector")).dropDuplicates(["id", "name"])
+    asked = asked.select("id", "name", "vector", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(blocks)).cast("int").alias("block"))
     asked = asked.select("*", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"))
     index = index.select("*", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
 
     def search(tree: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         if tree.empty or queries.empty:
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
+            return pd.DataFrame({"query_id": [], "name": [], "vec_id": [], "score": []})
         own = queries["id"].to_numpy(np.int64)
         names, gaps = Tree.loaded(tree["tree"].iloc[0]).nearest(own, _matrix(queries["vector"]), k, factor)
         found = np.isfinite(gaps)
-        return pd.DataFrame({"query_id": np.repeat(own, found.sum(axis=1)), "vec_id": names[found], "score": gaps[found]})
+        hits = found.sum(axis=1)
+        name = np.repeat(queries["name"].to_numpy(np.int64), hits)
+        return pd.DataFrame({"query_id": np.repeat(own, hits), "name": name, "vec_id": names[found], "score": gaps[found]})
 
     partial = (
         index.groupBy("shard", "block")
         .cogroup(asked.groupBy("shard", "block"))
-        .applyInPandas(search, "query_id long, vec_id long, score double")
+        .applyInPandas(search, "query_id long, name long, vec_id long, score double")
     )
-    best = Window.partitionBy("query_id").orderBy("score", "vec_id")
+    best = Window.partitionBy("query_id", "name").orderBy("score", "vec_id")
     return (
         partial.withColumn("rank", F.row_number().over(best).cast("int"))
         .filter(F.col("rank") <= k)
