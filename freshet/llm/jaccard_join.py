@@ -6,8 +6,7 @@ node's counts per group are a point. Two sets share at most the sum over groups
 0.8 needs an overlap of 4/9 of both sizes together: an R-tree over the points, bounding a box by the minima with its upper
 corner, leaves only pairs that may be similar. The number of groups is a power of
 two by the set's size; similar sets have the same or neighbouring ones, and adding up neighbours halves a point's width.
-Pairs that the points leave are bounded again by finer counts, eight to sixteen cells to a shingle and a bit to a cell,
-before they leave the task; what survives is verified on the whole sets.
+What survives is verified on the whole sets.
 
 What brings points together is the prefix rule: under one order of all shingles, sets as similar as this share one of their
 first ``n - ceil(0.8 n) + 1``. The order is rarest first by a count sketch of fixed size, then by hash; any order is
@@ -16,7 +15,9 @@ are worked off in two rounds. Round one takes the pair of every bucket of two, a
 partners, the bucket's first or its predecessor by size; it verifies one surviving pair per node, then those that still lie
 in two components. Round two takes the buckets of three or more that still hold several components and
 joins them over R-trees; boxes that lie in one component are skipped, so a large group of near copies costs no pairs.
-Buckets of more than ``BLOCK`` members are cut in blocks, and pairs of blocks are separate work.
+A task first sends a forest of its candidates only, fewer than it has members, and these are verified; that joins most of
+what is similar, and is done ``FORESTS`` times. All candidates that still lie in two components are then verified, so no
+link is lost. Buckets of more than ``BLOCK`` members are cut in blocks, and pairs of blocks are separate work.
 """
 
 from __future__ import annotations
@@ -41,8 +42,8 @@ GROUPS = 64
 SKETCH = 1 << 16
 BLOCK = 4_096
 LEAF = 32
-#: Pairs whose cells are compared at once.
-PAIRS = 4_096
+#: How often round two asks for a forest of candidates before it asks for all.
+FORESTS = 2
 #: Node ids of candidates (8 bytes each) are sent to all executors up to this number, and shuffled beyond it.
 SMALL_ROWS = 1_000_000
 SIGNED = np.int64
@@ -66,7 +67,7 @@ def _sketch(rows: DataFrame) -> np.ndarray:
 
 
 def _points(rows: DataFrame, sketch: np.ndarray) -> DataFrame:
-    """(id, unnamed, n, sig, vec, bits, keys) per row: size, digest, group counts and cells of the set, and its prefix."""
+    """(id, unnamed, n, sig, vec, keys) per row: size, digest, group counts of the shingle set, and its prefix."""
 
     rank = np.argsort(np.argsort(sketch, kind="stable"), kind="stable").astype(np.uint64)
 
@@ -81,7 +82,6 @@ def _points(rows: DataFrame, sketch: np.ndarray) -> DataFrame:
             groups = before[owner] + (hashes >> shift[owner]).astype(np.int64)
             counts = np.bincount(groups, minlength=before[-1])
             vec = [packed(counts[i:j]) for i, j in zip(before, before[1:])]
-            bits = _cells(n, owner, hashes)
             signed = hashes.view(SIGNED)
             sig = [hashlib.blake2b(signed[e - m : e].tobytes(), digest_size=16).digest() for e, m in zip(ends, n)]
             prefix = n - (4 * n + 4) // 5 + (n > 0)
@@ -92,45 +92,10 @@ def _points(rows: DataFrame, sketch: np.ndarray) -> DataFrame:
             keys = pa.ListArray.from_arrays(
                 pa.array(np.append(0, np.cumsum(prefix)), pa.int32()), pa.array(ordered.view(SIGNED)[first])
             )
-            columns = [piece["id"], piece["unnamed"], pa.array(n), pa.array(sig), pa.array(vec, pa.binary()), pa.array(bits, pa.binary()), keys]
-            yield pa.record_batch(columns, names=["id", "unnamed", "n", "sig", "vec", "bits", "keys"])
+            columns = [piece["id"], piece["unnamed"], pa.array(n), pa.array(sig), pa.array(vec, pa.binary()), keys]
+            yield pa.record_batch(columns, names=["id", "unnamed", "n", "sig", "vec", "keys"])
 
-    return rows.mapInArrow(make, "id long, unnamed boolean, n long, sig binary, vec binary, bits binary, keys array<long>")
-
-
-def _cells(n: np.ndarray, owner: np.ndarray, hashes: np.ndarray) -> list[bytes]:
-    """A bit per cell that holds a shingle of the set: a byte to one or two shingles, eight at least."""
-    size = np.maximum(8, 1 << np.ceil(np.log2(np.maximum(n, 1))).astype(np.int64))
-    edges = np.append(0, np.cumsum(size))
-    cell = (hashes >> np.uint64(16)).astype(np.int64) & (8 * size[owner] - 1)
-    held = np.zeros(8 * edges[-1], np.uint8)
-    held[8 * edges[owner] + cell] = 1
-    packed_bits = np.packbits(held, bitorder="little").tobytes()
-    return [packed_bits[i:j] for i, j in zip(edges.tolist(), edges[1:].tolist())]
-
-
-def finely_bounded(i: np.ndarray, j: np.ndarray, sizes: np.ndarray, bits: np.ndarray) -> np.ndarray:
-    """Which pairs of rows may have 4/9 of both sizes in common, by their cells.
-
-    The overlap is at most the cells that both hold, plus the shingles that share a cell of their own set, of the set that
-    has fewer of these.
-    """
-    able = np.zeros(len(i), bool)
-    width = np.fromiter(map(len, bits), np.int64, len(bits))
-    kinds = np.minimum(width[i], width[j])
-    for w in np.unique(kinds).tolist():
-        wanted = np.flatnonzero(kinds == w)
-        rows, place = np.unique(np.concatenate([i[wanted], j[wanted]]), return_inverse=True)
-        cells = np.empty((len(rows), w // 8), np.uint64)
-        for r, row in enumerate(rows.tolist()):
-            cells[r] = np.bitwise_or.reduce(np.frombuffer(bits[row], np.uint64).reshape(-1, w // 8), axis=0)
-        shared = sizes[rows] - np.bitwise_count(cells).sum(axis=1, dtype=np.int64)
-        a, b = place[: len(wanted)], place[len(wanted) :]
-        for at in range(0, len(wanted), PAIRS):
-            x, y = a[at : at + PAIRS], b[at : at + PAIRS]
-            most = np.bitwise_count(cells[x] & cells[y]).sum(axis=1, dtype=np.int64) + np.minimum(shared[x], shared[y])
-            able[wanted[at : at + PAIRS]] = 9 * most >= 4 * (sizes[rows[x]] + sizes[rows[y]])
-    return able
+    return rows.mapInArrow(make, "id long, unnamed boolean, n long, sig binary, vec binary, keys array<long>")
 
 
 def widths(n: np.ndarray) -> np.ndarray:
@@ -207,8 +172,11 @@ class Tree:
             children = [self._node(own[order[:half]]), self._node(own[order[half:]])]
         return points.max(axis=0), int(self.sizes[own].min()), part, children, own
 
-    def pairs(self, other: "Tree") -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Rows of this tree and of the other that may be similar and lie in different components."""
+    def pairs(self, other: "Tree", joined: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Rows of this tree and of the other that may be similar and lie in different components.
+
+        ``joined`` gives the components as they are now, by the rows of both; it may change between two results.
+        """
         waiting = [(self.root, other.root)]
         while waiting:
             x, y = waiting.pop()
@@ -217,12 +185,27 @@ class Tree:
             if x[3] or y[3]:
                 waiting += [(a, b) for a in x[3] or [x] for b in y[3] or [y]]
                 continue
+            apart = joined[self.rows[x[4]]][:, None] != joined[other.rows[y[4]]]
+            if not apart.any():
+                continue
             most = np.minimum(self.points[x[4]][:, None], other.points[y[4]]).sum(axis=2, dtype=np.int32)
-            able = 9 * most >= 4 * (self.sizes[x[4]][:, None] + other.sizes[y[4]])
-            able &= self.parts[x[4]][:, None] != other.parts[y[4]]
+            able = apart & (9 * most >= 4 * (self.sizes[x[4]][:, None] + other.sizes[y[4]]))
             i, j = np.nonzero(able)
             if len(i):
-                yield x[4][i], y[4][j]
+                yield self.rows[x[4][i]], other.rows[y[4][j]]
+
+
+def _forest(i: np.ndarray, j: np.ndarray, joined: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs that join two components, each when its turn comes; ``joined`` is brought up to date."""
+    kept: list[tuple[int, int]] = []
+    while len(i):
+        apart = joined[i] != joined[j]
+        i, j = i[apart], j[apart]
+        if len(i):
+            kept.append((i[0], j[0]))
+            joined[joined == joined[j[0]]] = joined[i[0]]
+    found = np.array(kept, np.int64).reshape(-1, 2)
+    return found[:, 0], found[:, 1]
 
 
 def _leaf_pairs(sizes: np.ndarray, parts: np.ndarray, vec: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -240,15 +223,17 @@ def _leaf_pairs(sizes: np.ndarray, parts: np.ndarray, vec: np.ndarray) -> tuple[
 
 
 def _work_pairs(
-    nodes: np.ndarray, sizes: np.ndarray, parts: np.ndarray, block: np.ndarray, vec: np.ndarray, bits: np.ndarray
+    nodes: np.ndarray, sizes: np.ndarray, parts: np.ndarray, block: np.ndarray, vec: np.ndarray, forest: bool = False
 ) -> np.ndarray:
-    """Pairs (a row each) that one (bucket, block, block) leaves."""
+    """Pairs (a row each) that one (bucket, block, block) leaves; with ``forest`` fewer than it has rows."""
     if (parts == parts[0]).all():
         return np.zeros((0, 2), np.int64)
+    joined = parts.copy()
     if len(nodes) <= LEAF:
         i, j = _leaf_pairs(sizes, parts, vec)
-        able = finely_bounded(i, j, sizes, bits)
-        return np.stack([nodes[i[able]], nodes[j[able]]], axis=1)
+        if forest:
+            i, j = _forest(i, j, joined)
+        return np.stack([nodes[i], nodes[j]], axis=1)
     width = np.fromiter(map(len, vec), np.int64, len(vec))
     trees: dict[tuple, Tree | None] = {}
 
@@ -266,16 +251,15 @@ def _work_pairs(
         for v, u in {(w, w), (w, 2 * w)} | ({(2 * w, w)} if low < high else set()):
             x, y = tree(low, v, w), tree(high, u, w)
             if x and y:
-                pairs = [(x.rows[i], y.rows[j]) for i, j in x.pairs(y)]
-                if pairs:
-                    i, j = (np.concatenate(side) for side in zip(*pairs))
-                    able = finely_bounded(i, j, sizes, bits)
-                    found.append(np.stack([nodes[i[able]], nodes[j[able]]]))
+                for i, j in x.pairs(y, joined):
+                    if forest:
+                        i, j = _forest(i, j, joined)
+                    found.append(np.stack([nodes[i], nodes[j]]))
     return np.concatenate(found, axis=1).T
 
 
-def _round_two(buckets: DataFrame, points: DataFrame, found: DataFrame) -> DataFrame:
-    """Pairs (a, b) from buckets of several components, by R-trees over blocks."""
+def _round_two(buckets: DataFrame, points: DataFrame, found: DataFrame, forest: bool) -> DataFrame:
+    """Pairs (a, b) from buckets of several components, by R-trees over blocks; with ``forest`` a forest per work."""
     member = (
         buckets.filter("members > 2")
         .join(found.select("node", "component"), "node", "left")
@@ -290,19 +274,19 @@ def _round_two(buckets: DataFrame, points: DataFrame, found: DataFrame) -> DataF
     )
     # Buckets with the same members, as the shingles of one passage make them, are the same work.
     mixed = mixed.filter("lo < hi").groupBy("lo", "hi", "k", "x", "y").agg(F.min("key").alias("key"))
-    member = member.join(mixed.select("key"), "key", "left_semi").join(points.select("node", "vec", "bits"), "node")
+    member = member.join(mixed.select("key"), "key", "left_semi").join(points.select("node", "vec"), "node")
     member = member.withColumn("block", F.floor((F.col("place") - 1) / BLOCK).cast("int"))
     blocks = F.ceil(F.col("members") / BLOCK).cast("int")
     dealt = member.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1))).select(
         F.xxhash64("key", F.least("block", "other"), F.greatest("block", "other")).alias("work"),
-        "node", "n", "vec", "bits", "component", "block",
+        "node", "n", "vec", "component", "block",
     )
 
     def pairs_of(frame: pd.DataFrame) -> pd.DataFrame:
         work = frame["work"].to_numpy()
         edges = [0, *(np.flatnonzero(work[1:] != work[:-1]) + 1).tolist(), len(work)]
-        columns = [frame[c].to_numpy() for c in ("node", "n", "component", "block", "vec", "bits")]
-        found = [_work_pairs(*(c[i:j] for c in columns)) for i, j in zip(edges, edges[1:]) if i < j]
+        columns = [frame[c].to_numpy() for c in ("node", "n", "component", "block", "vec")]
+        found = [_work_pairs(*(c[i:j] for c in columns), forest) for i, j in zip(edges, edges[1:]) if i < j]
         pairs = np.unique(np.sort(np.concatenate([np.zeros((0, 2), np.int64), *found]), axis=1), axis=0)
         return pd.DataFrame(pairs, columns=["a", "b"])
 
@@ -356,9 +340,9 @@ def _keyed_groups(docs: DataFrame, id_column: str, text_column: str) -> DataFram
     )
     table = stored(_points(rows, _sketch(rows)), "near-points")
     sets = table.filter("n > 0")
-    least = F.min(F.struct("id", "n", "vec", "bits"))
+    least = F.min(F.struct("id", "n", "vec"))
     points = stored(
-        sets.groupBy("sig").agg(least.alias("p")).select("sig", F.col("p.id").alias("node"), "p.n", "p.vec", "p.bits"), "near-reps"
+        sets.groupBy("sig").agg(least.alias("p")).select("sig", F.col("p.id").alias("node"), "p.n", "p.vec"), "near-reps"
     )
     prefixes = sets.groupBy("sig").agg(F.min(F.struct("id", "n", "keys")).alias("p"))
     keyed = prefixes.select(F.explode("p.keys").alias("key"), F.col("p.id").alias("node"), F.col("p.n").alias("n"))
@@ -388,12 +372,16 @@ def _keyed_groups(docs: DataFrame, id_column: str, text_column: str) -> DataFram
     several = sets.join(points.select("sig", "node"), "sig").filter("id <> node").select(F.col("id").alias("a"), F.col("node").alias("b"))
     repeated = sets.groupBy("id").agg(F.count_distinct("sig").alias("k")).filter("k > 1").select(F.col("id").alias("a"))
     links = stored(links.unionByName(several.join(repeated, "a", "left_semi")), "near-links")
-    first = stored(components(links), "near-components")
-    of_a, of_b = (first.select(F.col("node").alias(x), F.col("component").alias(f"of_{x}")) for x in "ab")
-    apart = near.join(of_a, "a", "left").join(of_b, "b", "left").filter("coalesce(of_a, a) <> coalesce(of_b, b)")
-    later = apart.select("a", "b").unionByName(_round_two(buckets, points, first)).distinct()
-    more = _verified(stored(later.join(nearest, ["a", "b"], "left_anti"), "near-pairs"), rows)
-    found = stored(components(links.unionByName(more)), "near-components")
+    found = stored(components(links), "near-components")
+    for turn in range(FORESTS + 1):
+        of_a, of_b = (found.select(F.col("node").alias(x), F.col("component").alias(f"of_{x}")) for x in "ab")
+        asked = _round_two(buckets, points, found, forest=turn < FORESTS)
+        if turn == 0:
+            asked = asked.unionByName(near.join(nearest, ["a", "b"], "left_anti"))
+        asked = asked.distinct().join(of_a, "a", "left").join(of_b, "b", "left")
+        apart = asked.filter("coalesce(of_a, a) <> coalesce(of_b, b)").select("a", "b")
+        links = stored(links.unionByName(_verified(stored(apart, "near-pairs"), rows)), "near-links")
+        found = stored(components(links), "near-components")
     of_sig = points.join(found, "node", "left").select("sig", F.coalesce("component", "node").alias("component"))
     return (
         table.select("id", "unnamed", "n", "sig")
