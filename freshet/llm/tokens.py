@@ -18,7 +18,7 @@ from array import array
 import numpy as np
 
 SPACE = "▁"
-REMEMBERED_BYTES = 48 << 20
+REMEMBERED_BYTES = 20 << 20
 ENTRY_BYTES = 180
 
 

@@ -34,7 +34,8 @@ LEAST_DOCUMENTS = 5
 LEAST_SHARE = 0.01
 TOXIC_WINDOWS, ORDINARY_WINDOWS = 4_000, 5_000
 SIDE = 64
-REMEMBERED = 300_000
+REMEMBERED = 100_000
+SLICE = 256
 WORD = re.compile(r"\w+")
 
 
@@ -99,8 +100,10 @@ def _distance(rows: DataFrame, toxic: bytes, ordinary: bytes, ratios: bytes, kee
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lengths, table = _lengths(toxic, ordinary), np.frombuffer(ratios)
         for batch in batches:
-            found = [table[lengths.cells(t or "")].mean() for t in batch[text].to_pylist()]
-            yield pa.record_batch([*(batch[c] for c in keep), pa.array(found, pa.float64())], names=[*keep, "distance"])
+            for at in range(0, batch.num_rows, SLICE):
+                part = batch.slice(at, SLICE)
+                found = [table[lengths.cells(t or "")].mean() for t in part[text].to_pylist()]
+                yield pa.record_batch([*(part[c] for c in keep), pa.array(found, pa.float64())], names=[*keep, "distance"])
 
     kept = rows.select(*keep).schema
     return rows.mapInArrow(score, T.StructType([*kept.fields, T.StructField("distance", T.DoubleType())]))
