@@ -225,29 +225,6 @@ def test_fragments_compose_in_any_grouping():
         assert joined(left[0]) == want
 
 
-def test_a_forest_joins_what_all_candidates_join():
-    from freshet.llm import jaccard_join
-
-    rng = np.random.default_rng(4)
-    for n in (20, 300):
-        centres = rng.poisson(9, (6, 64))
-        points = np.minimum(centres[rng.integers(0, 6, n)] + rng.poisson(0.3, (n, 64)), 250).astype(np.uint8)
-        vec = np.array([p.tobytes() for p in points], object)
-        nodes, block = np.arange(n) * 10, np.zeros(n, np.int64)
-        sizes = points.sum(axis=1, dtype=np.int64)
-
-        def groups(pairs):
-            label = {int(x): int(x) for x in nodes}
-            for a, b in pairs.tolist():
-                old, new = label[a], label[b]
-                label = {k: new if v == old else v for k, v in label.items()}
-            return {frozenset(k for k in label if label[k] == v) for v in label.values()}
-
-        every = jaccard_join._work_pairs(nodes, sizes, nodes.copy(), block, vec, False)
-        few = jaccard_join._work_pairs(nodes, sizes, nodes.copy(), block, vec, True)
-        assert groups(every) == groups(few) and len(few) == n - len(groups(few)) < len(every)
-
-
 def test_words_of_one_polynomial_hash_are_told_apart(spark):
     from freshet.llm import jaccard_join
 
