@@ -156,7 +156,7 @@ def m_auto(t: Tables) -> DataFrame:
     "m_plain",
     f"""
     , with_terms AS ({model_terms(_MONTHLY_SQL, "models_plain", "gauge", "t", "precipitation")})
-    SELECT gauge, t, round(c, 6) AS transformed_streamflow FROM with_terms""",
+    SELECT gauge, t, round(c, 9) AS transformed_streamflow FROM with_terms""",
     "flow_monthly",
     "models_plain",
 )
@@ -164,7 +164,7 @@ def m_plain(t: Tables) -> DataFrame:
     """The models without autoregression: a column of each row, no segment is gathered."""
     plain = [m for m in ALL_MODELS if not m.has_auto]
     scored = score(_monthly_rows(t), bind_parameters(t.plain_parameters), ["gauge"], ["gauge"], "t", models=plain)
-    return rounded(scored.select("gauge", "t", "transformed_streamflow"))
+    return rounded(scored.select("gauge", "t", "transformed_streamflow"), 9)
 
 
 def yearly_segments(t: Tables) -> DataFrame:
