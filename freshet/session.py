@@ -6,11 +6,14 @@ import atexit
 import contextlib
 import os
 import uuid
-from collections.abc import Iterator
+import weakref
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
-_WRITTEN: list[tuple[SparkSession, str]] = []
+#: Tables written by this driver and not yet removed, by path, in the order of writing.
+_WRITTEN: dict[str, SparkSession] = {}
+_PATHS: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
 
 
 def local_session(cores: str | int = "*", shuffle_partitions: int = 8, app: str = "freshet") -> SparkSession:
@@ -47,19 +50,25 @@ def new_table_path(spark: SparkSession, name: str) -> str:
     path = f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     if not _WRITTEN:
         atexit.register(remove_written)
-    _WRITTEN.append((spark, path))
+    _WRITTEN[path] = spark
     return path
 
 
 def remove_written() -> None:
     """Delete the tables that this driver has written, as far as their session still runs."""
-    while _WRITTEN:
-        spark, path = _WRITTEN.pop()
-        context = spark.sparkContext
-        if context._jsc is None or context._jsc.sc().isStopped():
-            continue
-        target = context._jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(context._jsc.hadoopConfiguration()).delete(target, True)
+    for path in list(_WRITTEN):
+        _remove(path)
+
+
+def _remove(path: str) -> None:
+    spark = _WRITTEN.pop(path, None)
+    if spark is None:
+        return
+    context = spark.sparkContext
+    if context._jsc is None or context._jsc.sc().isStopped():
+        return
+    target = context._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(context._jsc.hadoopConfiguration()).delete(target, True)
 
 
 @contextlib.contextmanager
@@ -82,4 +91,21 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """
     path = new_table_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    _PATHS[table] = path
+    return table
+
+
+def released(*tables: DataFrame) -> None:
+    """Delete tables of ``stored`` that nothing reads any more: what was made from them has itself been written."""
+    for table in tables:
+        _remove(_PATHS[table])
+
+
+def stored_alone(make: Callable[[], DataFrame], name: str) -> DataFrame:
+    """Write what ``make`` gives, then delete the tables that were written on the way to it."""
+    before = set(_WRITTEN)
+    table = stored(make(), name)
+    for path in [p for p in _WRITTEN if p not in before and p != _PATHS[table]]:
+        _remove(path)
+    return table
