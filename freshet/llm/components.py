@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from freshet.session import stored
+from freshet.session import released, stored
 
 
 def _star(links: DataFrame, large: bool) -> DataFrame:
@@ -35,6 +35,7 @@ def components(links: DataFrame) -> DataFrame:
         if marks == state:
             break
         state = marks
-        now = stored(_star(_star(now, large=True), large=False), "links")
+        before, now = now, stored(_star(_star(now, large=True), large=False), "links")
+        released(before)
     roots = now.select(F.col("v").alias("node")).distinct().select("node", F.col("node").alias("component"))
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)

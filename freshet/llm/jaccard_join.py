@@ -31,7 +31,7 @@ from pyspark.sql.window import Window
 from freshet.llm.columns import numbered, text_or_empty
 from freshet.llm.components import components
 from freshet.llm.shingles import slices, sort_within
-from freshet.session import stored
+from freshet.session import released, shuffle_files_removed, stored, stored_alone
 
 GROUPS = 64
 #: Cells of the sketch, by the low 16 bits of a hash.
@@ -128,7 +128,11 @@ def _bounded(pairs: DataFrame, points: DataFrame) -> DataFrame:
 
 
 def _verified(pairs: DataFrame, rows: DataFrame) -> DataFrame:
-    """The pairs (a, b) with 100 * intersection >= 80 * union of their whole shingle sets."""
+    """The pairs (a, b) with 100 * intersection >= 80 * union of their whole shingle sets, as a written table."""
+    return stored_alone(lambda: _on_whole_sets(pairs, rows), "near-links")
+
+
+def _on_whole_sets(pairs: DataFrame, rows: DataFrame) -> DataFrame:
     nodes = stored(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "near-nodes")
     if nodes.limit(SMALL_ROWS + 1).count() <= SMALL_ROWS:
         nodes = F.broadcast(nodes)
@@ -301,6 +305,11 @@ def _key(id_column: str, text_column: str) -> Column:
 
 def _keyed_groups(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     """(id, unnamed, n_shingles, component) of each row, by the keys of ``_key``; ``unnamed`` rows have no id."""
+    with shuffle_files_removed(docs.sparkSession):
+        return _grouped(docs, id_column, text_column)
+
+
+def _grouped(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     rows = docs.select(
         _key(id_column, text_column).alias("id"),
         F.col(id_column).isNull().alias("unnamed"),
@@ -331,17 +340,21 @@ def _keyed_groups(docs: DataFrame, id_column: str, text_column: str) -> DataFram
     near = stored(_bounded(near, points), "near-pairs")
     # One pair per node joins most of a group; other pairs are verified only where that left two components.
     nearest = stored(near.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "near-firsts")
-    links = stored(_verified(nearest, rows), "near-links")
+    links = _verified(nearest, rows)
     # One id in several sets is one document.
     several = sets.join(points.select("sig", "node"), "sig").filter("id <> node").select(F.col("id").alias("a"), F.col("node").alias("b"))
     repeated = sets.groupBy("id").agg(F.count_distinct("sig").alias("k")).filter("k > 1").select(F.col("id").alias("a"))
     links = stored(links.unionByName(several.join(repeated, "a", "left_semi")), "near-links")
-    first = stored(components(links), "near-components")
+    first = stored_alone(lambda: components(links), "near-components")
     of_a, of_b = (first.select(F.col("node").alias(x), F.col("component").alias(f"of_{x}")) for x in "ab")
     apart = near.join(of_a, "a", "left").join(of_b, "b", "left").filter("coalesce(of_a, a) <> coalesce(of_b, b)")
     later = apart.select("a", "b").unionByName(_round_two(buckets, points, first)).distinct()
-    more = _verified(stored(later.join(nearest, ["a", "b"], "left_anti"), "near-pairs"), rows)
-    found = stored(components(links.unionByName(more)), "near-components")
+    later = stored(later.join(nearest, ["a", "b"], "left_anti"), "near-pairs")
+    released(buckets, near, nearest, first)
+    more = _verified(later, rows)
+    released(later)
+    found = stored_alone(lambda: components(links.unionByName(more)), "near-components")
+    released(links, more)
     of_sig = points.join(found, "node", "left").select("sig", F.coalesce("component", "node").alias("component"))
     return (
         table.select("id", "unnamed", "n", "sig")

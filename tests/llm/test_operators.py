@@ -29,6 +29,7 @@ from freshet.llm import (
 )
 from freshet.llm.queries import LLM_ORACLES, LLM_QUERIES, URL_RULES
 from freshet.llm.tokens import ByteBpe, Pieces
+from freshet.session import stored
 from tests.compare import compare, connect
 
 SF = "/root/testdata/sf0.001"
@@ -277,7 +278,7 @@ def test_pipeline(spark):
 
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     for name, stage in corpus_pipeline.STAGES[:-1]:
-        docs = corpus_pipeline.stored(stage(spark, docs, SF), "test-stage")
+        docs = stored(stage(spark, docs, SF), "test-stage")
         assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars"] and docs.count() > 50
     library = sentencepiece.SentencePieceProcessor(model_file=PIECES)
     texts = {(r["doc_id"], hashlib.sha256(library.decode(library.encode(r["text"] or "")).encode()).hexdigest()) for r in docs.collect()}
