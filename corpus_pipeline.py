@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from freshet.llm import jaccard_join, line_dedup, piece_encoding, source_mixing, toxicity
-from freshet.session import stored
+from freshet.session import released, stored_alone
 
 #: No stage but the mix can be said in SQL; tests hold every stage against plain code.
 ORACLE_SQL = None
@@ -60,7 +60,9 @@ STAGES = [
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the whole of ``documents``."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = before = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name.replace(' ', '-')}")
+        docs, last = stored_alone(lambda: stage(spark, docs, sf_dir), f"pipeline-{name.replace(' ', '-')}"), docs
+        if last is not before:
+            released(last)
     return STAGES[-1][1](spark, docs, sf_dir)
