@@ -6,7 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from freshet.functions.text import run_fields
+from freshet.operators.long_windows import rolling_any
 from freshet.operators.quality import empty_segments
+from freshet.operators.selection import exact_quantiles
 from freshet.operators.series import Series, in_blocks, valid_runs
 from freshet.plans import rain
 from freshet.session import new_table_path
@@ -241,3 +243,43 @@ def q_empty_segments_all(t: Tables) -> DataFrame:
     return empty_segments(runs, months, ["gauge"], ["gauge", "GCM", "ensemble_id"]).select(
         "gauge", "GCM", "ensemble_id", "start_index", "n_rows"
     )
+
+
+@query(
+    "a_quantiles_large",
+    """
+    SELECT l_returnflag, round(quantile_cont(CAST(l_extendedprice AS DOUBLE), 0.05), 6) AS low,
+           round(quantile_cont(CAST(l_extendedprice AS DOUBLE), 0.5), 6) AS middle,
+           round(quantile_cont(CAST(l_extendedprice AS DOUBLE), 0.95), 6) AS high
+    FROM lineitem GROUP BY l_returnflag""",
+)
+def a_quantiles_large(t: Tables) -> DataFrame:
+    """Exact quantiles of three groups that share out all line items; none is held by one task."""
+    shares = {"low": 0.05, "middle": 0.5, "high": 0.95}
+    prices = t.raw("lineitem").select("l_returnflag", "l_extendedprice")
+    found = exact_quantiles(prices, ["l_returnflag"], "l_extendedprice", shares, room=8_192)
+    return found.select("l_returnflag", *[F.round(c, 6).alias(c) for c in shares])
+
+
+@query(
+    "w_rolling_any",
+    """
+    SELECT network, event_id, CASE WHEN count(q) OVER a = 20 THEN min(q) OVER a END AS low20,
+           CASE WHEN count(q) OVER a = 20 THEN max(q) OVER a END AS high20,
+           CASE WHEN count(q) OVER a = 20 THEN round(avg(q) OVER a, 5) END AS mean20,
+           CASE WHEN count(*) OVER b = 2000 THEN max(coalesce(q, 0)) OVER b END AS high2000,
+           CASE WHEN count(*) OVER b = 2000 THEN bool_or(q IS NULL) OVER b END AS gap2000
+    FROM (SELECT CAST(gauge AS BIGINT) % 2 AS network, ts, event_id, q FROM flow_events)
+    WINDOW a AS (PARTITION BY network ORDER BY ts, event_id ROWS BETWEEN 19 PRECEDING AND CURRENT ROW),
+           b AS (PARTITION BY network ORDER BY ts, event_id ROWS BETWEEN 1999 PRECEDING AND CURRENT ROW)""",
+    "flow_events",
+)
+def w_rolling_any(t: Tables) -> DataFrame:
+    """Trailing windows of 20 and of 2,000 events at the same cost a row, over two series that share out all events."""
+    network = (F.col("gauge").cast("long") % 2).alias("network")
+    events = t.flow_events.select(network, "ts", "event_id", "q")
+    filled = events.withColumns({"filled": F.coalesce("q", F.lit(0).cast("double")), "gap": F.col("q").isNull()})
+    rows, series = in_blocks(filled, Series(("network",), ("ts", "event_id")))
+    short = rolling_any(rows, series, 20, {"low20": ("min", "q"), "high20": ("max", "q"), "mean20": ("mean", "q")})
+    both = rolling_any(short, series, 2_000, {"high2000": ("max", "filled"), "gap2000": ("any", "gap")})
+    return both.select("network", "event_id", "low20", "high20", F.round("mean20", 5).alias("mean20"), "high2000", "gap2000")
