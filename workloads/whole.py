@@ -6,10 +6,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from freshet.functions.text import run_fields
+from freshet.operators.interval_scan import assign_segments_by_scan
 from freshet.operators.long_windows import rolling_any
 from freshet.operators.quality import empty_segments
 from freshet.operators.selection import exact_quantiles
-from freshet.operators.series import Series, in_blocks, valid_runs
+from freshet.operators.series import Series, in_blocks, positions, valid_runs
 from freshet.plans import rain
 from freshet.session import new_table_path
 from freshet.sources.readers import read_csv, read_csv_and_bad_rows, read_model_runs, read_parquet
@@ -283,3 +284,21 @@ def w_rolling_any(t: Tables) -> DataFrame:
     short = rolling_any(rows, series, 20, {"low20": ("min", "q"), "high20": ("max", "q"), "mean20": ("mean", "q")})
     both = rolling_any(short, series, 2_000, {"high2000": ("max", "filled"), "gap2000": ("any", "gap")})
     return both.select("network", "event_id", "low20", "high20", F.round("mean20", 5).alias("mean20"), "high2000", "gap2000")
+
+
+@query(
+    "j_interval_scan",
+    """
+    SELECT m.gauge, m."GCM", m.ensemble_id, m.year, m.position, r.start_index AS segment_id
+    FROM (SELECT *, row_number() OVER (PARTITION BY gauge, "GCM", ensemble_id ORDER BY year) AS position
+          FROM regenerated) m
+    JOIN obs_runs r ON m.gauge = r.gauge AND m.position BETWEEN r.start_index AND r.end_index""",
+    "regenerated",
+    "obs_runs",
+)
+def j_interval_scan(t: Tables) -> DataFrame:
+    """Positions of the observed runs applied to every series of the gauge, without writing the runs out."""
+    runs = valid_runs(t.obs_yearly, Series(("gauge",), ("year",)), "q_mm", 2)
+    rows = positions(t.regenerated, Series(("gauge", "GCM", "ensemble_id"), ("year",)))
+    found = assign_segments_by_scan(rows, runs, ["gauge"])
+    return found.select("gauge", "GCM", "ensemble_id", "year", "position", "segment_id")
