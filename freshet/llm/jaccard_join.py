@@ -10,16 +10,20 @@ two by the set's size; similar sets have the same or neighbouring ones, and addi
 What brings points together is the prefix rule: under one order of all shingles, sets as similar as this share one of their
 first ``n - ceil(0.8 n) + 1``. The order is rarest first by a count sketch of fixed size, then by hash; any order is
 exact, this one keeps common passages out of the prefixes. Sets with a common prefix shingle form a bucket, and buckets
-are worked off in two rounds. Round one pairs each member with the bucket's first and with its predecessor by size, which
-is linear, and verifies one surviving pair per node, then those that still lie in two components. Round two takes the buckets of three or more that still hold several components and
-joins them over R-trees; boxes that lie in one component are skipped, so a large group of near copies costs no pairs.
-Buckets of more than ``BLOCK`` members are cut in blocks, and pairs of blocks are separate work.
+are worked off in two rounds. Round one gives a node at most two partners, the bucket's first and its predecessor by size
+in most of its buckets, and verifies what the points leave of these. Round two takes the buckets that still hold several
+components and joins them over R-trees; boxes that lie in one component are skipped. Buckets of more than ``BLOCK``
+members are cut in blocks, and pairs of blocks are separate work.
+
+No pairs leave a task in round two. Nodes are dealt to tiles of about ``TILE`` shingles by the largest bucket they are in,
+so near copies lie in few tiles; the R-trees name the pairs of tiles that hold surviving pairs, each such pair of tiles
+meets once with its whole sets, and its task emits only links that join two components: fewer than it has members.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -38,6 +42,8 @@ GROUPS = 64
 SKETCH = 1 << 16
 BLOCK = 4_096
 LEAF = 32
+#: Shingles of a tile (8 bytes each); a longer text is a tile or the most of one.
+TILE = 1 << 17
 #: Node ids of candidates (8 bytes each) are sent to all executors up to this number, and shuffled beyond it.
 SMALL_ROWS = 1_000_000
 SIGNED = np.int64
@@ -127,28 +133,65 @@ def _bounded(pairs: DataFrame, points: DataFrame) -> DataFrame:
     return pairs.join(a, "a").join(b, "b").mapInPandas(keep, "a long, b long")
 
 
+def _sets(nodes: DataFrame, rows: DataFrame) -> DataFrame:
+    """(id, shingles) of every row whose id is in ``nodes`` (id, distinct): its whole set, 8 bytes a shingle, sorted."""
+    if nodes.limit(SMALL_ROWS + 1).count() <= SMALL_ROWS:
+        nodes = F.broadcast(nodes)
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece, owner, hashes in slices(batches):
+            bounds = np.searchsorted(owner, np.arange(piece.num_rows + 1))
+            held = [hashes[i:j].tobytes() for i, j in zip(bounds, bounds[1:])]
+            yield pa.record_batch([piece["id"], pa.array(held, pa.binary())], names=["id", "shingles"])
+
+    return rows.join(nodes, "id", "left_semi").mapInArrow(sets, "id long, shingles binary").filter("length(shingles) > 0")
+
+
+def similar(common: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Whether 100 * intersection >= 80 * union, by the intersection and the sum of both sizes."""
+    return 100 * common >= 80 * (sizes - common)
+
+
 def _verified(pairs: DataFrame, rows: DataFrame) -> DataFrame:
-    """The pairs (a, b) with 100 * intersection >= 80 * union of their whole shingle sets, as a written table."""
+    """The pairs (a, b) that are similar by their whole shingle sets, as a written table; at most two pairs a node."""
     return stored_alone(lambda: _on_whole_sets(pairs, rows), "near-links")
 
 
 def _on_whole_sets(pairs: DataFrame, rows: DataFrame) -> DataFrame:
+    def keep(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            able = np.zeros(len(f), bool)
+            for i, (a, b) in enumerate(zip(f["set_a"], f["set_b"])):
+                x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
+                able[i] = similar(len(np.intersect1d(x, y, assume_unique=True)), len(x) + len(y))
+            yield f.loc[able, ["a", "b"]]
+
     nodes = stored(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "near-nodes")
-    if nodes.limit(SMALL_ROWS + 1).count() <= SMALL_ROWS:
-        nodes = F.broadcast(nodes)
+    held = stored(_sets(nodes, rows), "near-sets")
+    a, b = (held.select(F.col("id").alias(x), F.col("shingles").alias(f"set_{x}")) for x in "ab")
+    return pairs.join(a, "a").join(b, "b").mapInPandas(keep, "a long, b long").distinct()
 
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece, owner, hashes in slices(batches):
-            bounds = np.searchsorted(owner, np.arange(piece.num_rows + 1)).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(bounds), pa.array(hashes.view(SIGNED)))
-            yield pa.record_batch([piece["id"], lists], names=["id", "shingles"])
 
-    held = stored(rows.join(nodes, "id", "left_semi").mapInArrow(sets, "id long, shingles array<long>"), "near-sets")
-    a = held.select(F.col("id").alias("a"), F.col("shingles").alias("set_a"))
-    b = held.select(F.col("id").alias("b"), F.col("shingles").alias("set_b"))
-    common = F.size(F.array_intersect("set_a", "set_b"))
-    union = F.size("set_a") + F.size("set_b") - common
-    return pairs.join(a, "a").join(b, "b").filter(100 * common >= 80 * union).select("a", "b").distinct()
+def _by_work(step: Callable[[pd.DataFrame], pd.DataFrame]) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """Frames sorted by ``work`` go to ``step`` in whole works; of the last one the rest may be in the next frame."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rest = None
+        for frame in frames:
+            frame = frame if rest is None else pd.concat([rest, frame], ignore_index=True)
+            last = frame["work"] == frame["work"].iloc[-1] if len(frame) else np.zeros(0, bool)
+            rest = frame[last]
+            yield step(frame[~last])
+        if rest is not None:
+            yield step(rest)
+
+    return run
+
+
+def _works(frame: pd.DataFrame) -> Iterator[pd.DataFrame]:
+    work = frame["work"].to_numpy()
+    edges = [0, *(np.flatnonzero(work[1:] != work[:-1]) + 1).tolist(), len(work)]
+    return (frame.iloc[i:j] for i, j in zip(edges, edges[1:]) if i < j)
 
 
 class Tree:
@@ -202,13 +245,16 @@ def _leaf_pairs(sizes: np.ndarray, parts: np.ndarray, vec: np.ndarray) -> tuple[
     return found[:, 0], found[:, 1]
 
 
-def _work_pairs(nodes: np.ndarray, sizes: np.ndarray, parts: np.ndarray, block: np.ndarray, vec: np.ndarray) -> np.ndarray:
-    """Pairs (a row each) that one (bucket, block, block) leaves."""
+def _work_pairs(tiles: np.ndarray, sizes: np.ndarray, parts: np.ndarray, block: np.ndarray, vec: np.ndarray) -> np.ndarray:
+    """Pairs of tiles (a row each, the lesser first) between which one (bucket, block, block) leaves pairs."""
     if (parts == parts[0]).all():
         return np.zeros((0, 2), np.int64)
-    if len(nodes) <= LEAF:
-        i, j = _leaf_pairs(sizes, parts, vec)
-        return np.stack([nodes[i], nodes[j]], axis=1)
+
+    def of(i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        return np.unique(np.sort(np.stack([tiles[i], tiles[j]], axis=1), axis=1), axis=0)
+
+    if len(tiles) <= LEAF:
+        return of(*_leaf_pairs(sizes, parts, vec))
     width = np.fromiter(map(len, vec), np.int64, len(vec))
     trees: dict[tuple, Tree | None] = {}
 
@@ -220,20 +266,48 @@ def _work_pairs(nodes: np.ndarray, sizes: np.ndarray, parts: np.ndarray, block:
         return trees[side, own, to]
 
     low, high = int(block.min()), int(block.max())
-    found = [np.zeros((2, 0), np.int64)]
+    found = [np.zeros((0, 2), np.int64)]
     for w in np.unique(width).tolist():
         # Equal widths, and those of which one is double the other.
         for v, u in {(w, w), (w, 2 * w)} | ({(2 * w, w)} if low < high else set()):
             x, y = tree(low, v, w), tree(high, u, w)
             if x and y:
-                found += [np.stack([nodes[x.rows[i]], nodes[y.rows[j]]]) for i, j in x.pairs(y)]
-    return np.concatenate(found, axis=1).T
-
-
-def _round_two(buckets: DataFrame, points: DataFrame, found: DataFrame) -> DataFrame:
-    """Pairs (a, b) from buckets of several components, by R-trees over blocks."""
+                found += [of(x.rows[i], y.rows[j]) for i, j in x.pairs(y)]
+    return np.unique(np.concatenate(found), axis=0)
+
+
+def tile_links(nodes: np.ndarray, parts: np.ndarray, tiles: np.ndarray, sets: list[np.ndarray]) -> list[tuple[int, int]]:
+    """Links that join two components, between two tiles or within one; whole sets (distinct values) tell."""
+    sizes = np.fromiter(map(len, sets), np.int64, len(sets))
+    ends = np.cumsum(sizes)
+    _, own = np.unique(np.concatenate(sets), return_inverse=True)
+    place = [own[e - n : e] for e, n in zip(ends.tolist(), sizes.tolist())]
+    held = np.zeros(own.max() + 1, np.int64)
+    alone = len(np.unique(tiles)) == 1
+    root, found = parts.copy(), []
+    for i in range(len(sets) - 1):
+        able = (root != root[i]) & (5 * np.minimum(sizes, sizes[i]) >= 4 * np.maximum(sizes, sizes[i]))
+        able[: i + 1] = False
+        if not alone:
+            able &= tiles != tiles[i]
+        others = np.flatnonzero(able)
+        if not len(others):
+            continue
+        held[place[i]] = 1
+        starts = np.append(0, np.cumsum(sizes[others])[:-1])
+        common = np.add.reduceat(held[np.concatenate([place[j] for j in others])], starts)
+        held[place[i]] = 0
+        for j in others[similar(common, sizes[others] + sizes[i])].tolist():
+            if root[j] != root[i]:
+                root[root == root[j]] = root[i]
+                found.append((int(nodes[i]), int(nodes[j])))
+    return found
+
+
+def _round_two(buckets: DataFrame, points: DataFrame, found: DataFrame, rows: DataFrame) -> DataFrame:
+    """Links (a, b) from buckets of several components."""
     member = (
-        buckets.filter("members > 2")
+        buckets.select("key", "node", "n", "members", "place")
         .join(found.select("node", "component"), "node", "left")
         .withColumn("component", F.coalesce("component", "node"))
     )
@@ -241,39 +315,65 @@ def _round_two(buckets: DataFrame, points: DataFrame, found: DataFrame) -> DataF
         F.min("component").alias("lo"),
         F.max("component").alias("hi"),
         F.count("*").alias("k"),
+        F.min("n").alias("least"),
+        F.max("n").alias("most"),
         F.bit_xor(F.xxhash64("node")).alias("x"),
         F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y"),
     )
+    mixed = mixed.filter("lo < hi and (k > 2 or 5 * least >= 4 * most)")
     # Buckets with the same members, as the shingles of one passage make them, are the same work.
-    mixed = mixed.filter("lo < hi").groupBy("lo", "hi", "k", "x", "y").agg(F.min("key").alias("key"))
-    member = member.join(mixed.select("key"), "key", "left_semi").join(points.select("node", "vec"), "node")
+    mixed = mixed.groupBy("lo", "hi", "k", "x", "y").agg(F.min("key").alias("key"))
+    member = stored(member.join(mixed.select("key"), "key", "left_semi"), "near-mixed")
+    tiles = stored(_tiles(member), "near-tiles")
+    pairs = stored(_tile_pairs(member, points, tiles), "near-pairs")
+    released(member)
+    asked = pairs.select(F.explode(F.array("a", "b")).alias("tile")).distinct()
+    tiles = stored(tiles.join(asked, "tile", "left_semi"), "near-tiles")
+    nodes = tiles.select(F.col("node").alias("id"))
+    held = stored(_sets(nodes, rows).join(tiles.withColumnRenamed("node", "id"), "id"), "near-sets")
+    works = pairs.select(F.xxhash64("a", "b").alias("work"), F.explode(F.array_distinct(F.array("a", "b"))).alias("tile"))
+
+    def links_of(frame: pd.DataFrame) -> pd.DataFrame:
+        found = []
+        for one in _works(frame):
+            sets = [np.frombuffer(b, np.uint64) for b in one["shingles"]]
+            found += tile_links(*(one[c].to_numpy() for c in ("id", "component", "tile")), sets)
+        return pd.DataFrame(np.array(found, np.int64).reshape(-1, 2), columns=["a", "b"])
+
+    dealt = works.join(held, "tile").select("work", "tile", "id", "component", "shingles")
+    # A pair of tiles is bounded; sorting puts it side by side.
+    return dealt.repartition("work").sortWithinPartitions("work").mapInPandas(_by_work(links_of), "a long, b long").distinct()
+
+
+def _tiles(member: DataFrame) -> DataFrame:
+    """(node, component, tile): the largest bucket a node is in, cut by a hash of the node where it is more than a tile."""
+    home = member.groupBy("node").agg(
+        F.max(F.struct("members", "key")).alias("home"), F.max("n").alias("n"), F.max("component").alias("component")
+    ).select("node", "component", "n", F.col("home.key").alias("home"))
+    parts = home.groupBy("home").agg(F.ceil(F.sum("n") / TILE).alias("parts"))
+    part = F.pmod(F.xxhash64("node", F.lit(2)), "parts")
+    return home.join(parts, "home").select("node", "component", F.xxhash64("home", part).alias("tile"))
+
+
+def _tile_pairs(member: DataFrame, points: DataFrame, tiles: DataFrame) -> DataFrame:
+    """Distinct pairs of tiles (a, b) that some bucket's R-trees leave, the lesser first."""
+    member = member.join(points.select("node", "n", "vec"), ["node", "n"]).join(tiles.select("node", "tile"), "node")
     member = member.withColumn("block", F.floor((F.col("place") - 1) / BLOCK).cast("int"))
     blocks = F.ceil(F.col("members") / BLOCK).cast("int")
     dealt = member.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1))).select(
         F.xxhash64("key", F.least("block", "other"), F.greatest("block", "other")).alias("work"),
-        "node", "n", "vec", "component", "block",
+        "tile", "n", "vec", "component", "block",
     )
 
     def pairs_of(frame: pd.DataFrame) -> pd.DataFrame:
-        work = frame["work"].to_numpy()
-        edges = [0, *(np.flatnonzero(work[1:] != work[:-1]) + 1).tolist(), len(work)]
-        columns = [frame[c].to_numpy() for c in ("node", "n", "component", "block", "vec")]
-        found = [_work_pairs(*(c[i:j] for c in columns)) for i, j in zip(edges, edges[1:]) if i < j]
-        pairs = np.unique(np.sort(np.concatenate([np.zeros((0, 2), np.int64), *found]), axis=1), axis=0)
+        found = [
+            _work_pairs(*(one[c].to_numpy() for c in ("tile", "n", "component", "block", "vec"))) for one in _works(frame)
+        ]
+        pairs = np.unique(np.concatenate([np.zeros((0, 2), np.int64), *found]), axis=0)
         return pd.DataFrame(pairs, columns=["a", "b"])
 
-    def join(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rest = None
-        for frame in frames:
-            frame = frame if rest is None else pd.concat([rest, frame], ignore_index=True)
-            last = frame["work"] == frame["work"].iloc[-1] if len(frame) else np.zeros(0, bool)
-            rest = frame[last]
-            yield pairs_of(frame[~last])
-        if rest is not None:
-            yield pairs_of(rest)
-
     # A bucket's work is bounded by two blocks; sorting puts it side by side.
-    return dealt.repartition("work").sortWithinPartitions("work").mapInPandas(join, "a long, b long").distinct()
+    return dealt.repartition("work").sortWithinPartitions("work").mapInPandas(_by_work(pairs_of), "a long, b long").distinct()
 
 
 def jaccard_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -334,25 +434,21 @@ def _grouped(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
         ).filter("members > 1"),
         "near-buckets",
     )
-    near = buckets.select(F.explode(F.array("head", "before")).alias("x"), "node", "n")
+    near = buckets.select(F.posexplode(F.array("head", "before")).alias("kind", "x"), "node", "n")
     near = near.filter("x.node <> node and 5 * x.n >= 4 * n")  # x is not the larger one
-    near = near.select(F.least("x.node", "node").alias("a"), F.greatest("x.node", "node").alias("b")).distinct()
+    near = near.groupBy("node", "kind", F.col("x.node").alias("x")).agg(F.count("*").alias("k"))
+    near = near.groupBy("node", "kind").agg(F.max(F.struct("k", "x")).alias("x"))
+    near = near.select(F.least("x.x", "node").alias("a"), F.greatest("x.x", "node").alias("b")).distinct()
     near = stored(_bounded(near, points), "near-pairs")
-    # One pair per node joins most of a group; other pairs are verified only where that left two components.
-    nearest = stored(near.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "near-firsts")
-    links = _verified(nearest, rows)
+    links = _verified(near, rows)
+    released(near)
     # One id in several sets is one document.
     several = sets.join(points.select("sig", "node"), "sig").filter("id <> node").select(F.col("id").alias("a"), F.col("node").alias("b"))
     repeated = sets.groupBy("id").agg(F.count_distinct("sig").alias("k")).filter("k > 1").select(F.col("id").alias("a"))
     links = stored(links.unionByName(several.join(repeated, "a", "left_semi")), "near-links")
     first = stored_alone(lambda: components(links), "near-components")
-    of_a, of_b = (first.select(F.col("node").alias(x), F.col("component").alias(f"of_{x}")) for x in "ab")
-    apart = near.join(of_a, "a", "left").join(of_b, "b", "left").filter("coalesce(of_a, a) <> coalesce(of_b, b)")
-    later = apart.select("a", "b").unionByName(_round_two(buckets, points, first)).distinct()
-    later = stored(later.join(nearest, ["a", "b"], "left_anti"), "near-pairs")
-    released(buckets, near, nearest, first)
-    more = _verified(later, rows)
-    released(later)
+    more = stored_alone(lambda: _round_two(buckets, points, first, rows), "near-links")
+    released(buckets, first)
     found = stored_alone(lambda: components(links.unionByName(more)), "near-components")
     released(links, more)
     of_sig = points.join(found, "node", "left").select("sig", F.coalesce("component", "node").alias("component"))

@@ -100,6 +100,32 @@ def test_jaccard_groups_of_many_near_copies(spark):
     assert got == {i: find(i) for i in range(len(texts))}
 
 
+def test_tile_links_join_what_is_similar():
+    rng = np.random.default_rng(4)
+    base = rng.integers(0, 1 << 60, 90, dtype=np.uint64)
+    # Similarities lie on both sides of 0.8, and some sets are equal.
+    sets = [np.unique(np.append(base[: 90 - i % 17], rng.integers(0, 1 << 60, i % 9, dtype=np.uint64))) for i in range(120)]
+    sets += [sets[3], rng.integers(0, 1 << 60, 1, dtype=np.uint64)]
+    nodes, parts = np.arange(len(sets)) * 10, np.arange(len(sets)) // 2
+    held = [set(x.tolist()) for x in sets]
+    for tiles in (np.zeros(len(sets), int), rng.integers(0, 2, len(sets))):
+        asked = [
+            (i, j) for i in range(len(sets)) for j in range(i)
+            if (tiles.max() == 0 or tiles[i] != tiles[j]) and 100 * len(held[i] & held[j]) >= 80 * len(held[i] | held[j])
+        ]
+        found = [(a // 10, b // 10) for a, b in jaccard_join.tile_links(nodes, parts, tiles, sets)]
+        assert {tuple(sorted(p, reverse=True)) for p in found} <= set(asked)
+
+        def groups(links):
+            part = parts.copy()
+            for i, j in links:
+                part[part == part[i]] = part[j]
+            return [[k for k in range(len(sets)) if part[k] == part[i]] for i in range(len(sets))]
+
+        assert groups(found) == groups(asked)
+        assert len(found) == len(set(parts.tolist())) - len({tuple(g) for g in groups(asked)})
+
+
 def test_components_of_a_path(spark):
     links = spark.range(40).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
     assert {tuple(r) for r in components.components(links).collect()} == {(i, 0) for i in range(41)}
