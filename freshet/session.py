@@ -40,9 +40,14 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def use_folder_if_unset(spark: SparkSession, folder: str) -> None:
-    """For tests, the bench and local runs: ``folder`` holds written tables where the session names none."""
-    if not (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()):
-        spark.sparkContext.setCheckpointDir(folder)
+    """For tests, the bench and local runs: ``folder`` holds written tables where the session names none.
+
+    On a cluster a machine's own folder would be another one on each machine, so nothing is set there.
+    """
+    context = spark.sparkContext
+    one_machine = context.master == "local" or context.master.startswith("local[")
+    if one_machine and not (spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()):
+        context.setCheckpointDir(folder)
 
 
 def new_table_path(spark: SparkSession, name: str) -> str:

@@ -1,12 +1,14 @@
 """Rows are kept or refused, never lost; summaries of non-finite values."""
 
+from unittest.mock import MagicMock
+
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from freshet.functions.text import letter, lettered_list
 from freshet.operators import flow_models, reshape, summaries, transforms
-from freshet.session import shared_folder
+from freshet.session import shared_folder, use_folder_if_unset
 
 
 def test_an_unlisted_label_is_refused_or_left_out(spark):
@@ -67,3 +69,13 @@ def test_a_missing_folder_is_an_error():
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         shared_folder(Bare)
+
+
+@pytest.mark.parametrize(("master", "times"), [("local", 1), ("local[8]", 1), ("spark://host:7077", 0), ("yarn", 0)])
+def test_a_cluster_gets_no_folder_of_one_machine(master, times):
+    session = MagicMock()
+    session.conf.get.return_value = None
+    session.sparkContext.getCheckpointDir.return_value = None
+    session.sparkContext.master = master
+    use_folder_if_unset(session, "/tmp/here")
+    assert session.sparkContext.setCheckpointDir.call_count == times
