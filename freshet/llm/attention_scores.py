@@ -8,8 +8,8 @@ that gives it the longest context.
 
 Frequencies, what stands beside each subword (its class comes from that) and pairs of classes are counted over all training
 texts. The network is trained in ``ROUNDS`` rounds: each partition of the training texts goes on from the same weights with
-windows drawn from its own texts, a ``SHARE`` of them in all rounds together and at least ``LEAST_STEPS`` batches a round,
-and the weights are averaged by the number of windows. So what training sees grows with the texts. Texts are dealt to chunks of bounded size; each chunk's distinct words are found once, counted over all
+the windows of its own texts, at least ``LEAST_STEPS`` batches a round, and the weights are averaged by the number of windows.
+Every window of every training text is gone through: in one of the rounds, or in all where a partition has few. Texts are dealt to chunks of bounded size; each chunk's distinct words are found once, counted over all
 chunks and encoded once each, and come back to their chunks with count and ids. A word has one row per chunk, so no word is
 a hot key. Each text's subword ids are written once; counting, training and scoring read them.
 """
@@ -37,8 +37,9 @@ GROUPS = 16
 MEMBERS = CLASSES // GROUPS
 CHUNK_BYTES = 16_000_000
 SLICE = 64
-ROUNDS, SHARE, LEAST_STEPS, BATCH = 4, 0.2, 250, 32
-#: So many subwords are held at a time in training, and their windows drawn from.
+#: A partition takes at least so many steps a round; where it has windows for more, batches grow first.
+ROUNDS, LEAST_STEPS, BATCH, LARGEST_BATCH = 4, 250, 32, 512
+#: So many subwords are held at a time in training, and their windows gone through.
 HELD = 4_000_000
 #: The weights are averaged in so many pieces.
 PIECES = 64
@@ -78,17 +79,34 @@ MASK = np.tril(np.ones((WINDOW, WINDOW), np.float32))
 def attended(net: dict[str, np.ndarray], seen: np.ndarray) -> tuple:
     """The hidden state of the last STRIDE places of each window, and what the gradients need."""
     last = slice(WINDOW - STRIDE, WINDOW)
-    x = net["embed"][seen] + net["place"]
+    x = net["embed"].take(seen, axis=0)
+    x += net["place"]
     flat = x.reshape(-1, WIDTH)
     k, v = ((flat @ net[name]).reshape(x.shape) for name in ("key", "value"))
-    q = x[:, last] @ net["query"]
+    own = x[:, last].reshape(-1, WIDTH)
+    q = (own @ net["query"]).reshape(-1, STRIDE, WIDTH)
     weight = np.matmul(q, k.transpose(0, 2, 1))
     np.minimum(weight, 40, out=weight)
     np.exp(weight, out=weight)
     weight *= MASK[last]
-    total = weight.sum(axis=2, keepdims=True)
-    out = np.matmul(weight, v) / total
-    return x[:, last] + out @ net["back"], (x, q, k, v, weight, total, out)
+    total = _row_sums(weight)[:, :, None]
+    out = np.matmul(weight, v)
+    out /= total
+    hidden = out.reshape(-1, WIDTH) @ net["back"]
+    hidden += own
+    return hidden.reshape(q.shape), (x, q, k, v, weight, total, out)
+
+
+def _row_sums(table: np.ndarray) -> np.ndarray:
+    return table @ np.ones(table.shape[-1], table.dtype)
+
+
+def _added_rows(rows: np.ndarray, values: np.ndarray, size: int) -> np.ndarray:
+    """A table of ``size`` rows to which each of ``values`` has been added, at its number in ``rows``."""
+    width = values.shape[1]
+    total = np.zeros(size * width, values.dtype)
+    np.add.at(total, (rows[:, None] * width + np.arange(width)).ravel(), values.ravel())
+    return total.reshape(size, width)
 
 
 def levels(net: dict[str, np.ndarray], hidden: np.ndarray, before: np.ndarray, wanted: np.ndarray) -> tuple:
@@ -98,12 +116,12 @@ def levels(net: dict[str, np.ndarray], hidden: np.ndarray, before: np.ndarray, w
     """
     group = (wanted // MEMBERS).astype(np.uint8)
     order = np.argsort(group, kind="stable")
-    hidden, before, group = hidden[order], before[order], group[order]
+    hidden, before, group = hidden.take(order, axis=0), before.take(order), group.take(order)
     edges = np.searchsorted(group, np.arange(GROUPS + 1))
     row = before * GROUPS + group
     first = hidden @ net["groups"]
-    first += net["group_pairs"][before]
-    second = net["pairs"][row]
+    first += net["group_pairs"].take(before, axis=0)
+    second = net["pairs"].take(row, axis=0)
     for g in range(GROUPS):
         own = slice(edges[g], edges[g + 1])
         second[own] += hidden[own] @ net["members"][g]
@@ -121,7 +139,7 @@ def class_log_probability(net: dict[str, np.ndarray], seen: np.ndarray, wanted:
     found = first[at, wanted // MEMBERS] + second[at, wanted % MEMBERS]
     for logits in (first, second):
         np.exp(logits, out=logits)
-        found -= np.log(logits @ np.ones(logits.shape[1], np.float32))
+        found -= np.log(_row_sums(logits))
     result = np.empty(len(order), np.float32)
     result[order] = found
     return result.reshape(len(seen), STRIDE)
@@ -134,15 +152,13 @@ def _gradients(net: dict[str, np.ndarray], seen: np.ndarray, wanted: np.ndarray)
     want = np.maximum(wanted.ravel(), 0)
     order, edges, own_hidden, before, row, first, second = levels(net, flat(hidden), seen[:, last].ravel(), want)
     known, want = wanted.ravel()[order] >= 0, want[order]
+    each, at = known / hidden.dtype.type(max(1, known.sum())), np.arange(len(order))
     for logits, one in ((first, want // MEMBERS), (second, want % MEMBERS)):
         np.exp(logits, out=logits)
-        logits /= logits.sum(axis=1, keepdims=True)
-        logits[np.arange(len(one)), one] -= 1
-        logits *= known[:, None] / np.float32(max(1, known.sum()))
-    names = ("group_pairs", "pairs", "members")
-    grads = {n: np.zeros_like(net[n]) for n in names} | {"groups": own_hidden.T @ first}
-    np.add.at(grads["group_pairs"], before, first)
-    np.add.at(grads["pairs"], row, second)
+        logits *= (each / _row_sums(logits))[:, None]
+        logits[at, one] -= each
+    grads = {"group_pairs": _added_rows(before, first, CLASSES), "pairs": _added_rows(row, second, CLASSES * GROUPS)}
+    grads |= {"groups": own_hidden.T @ first, "members": np.zeros_like(net["members"])}
     d_own = first @ net["groups"].T
     for g in range(GROUPS):
         own = slice(edges[g], edges[g + 1])
@@ -150,22 +166,23 @@ def _gradients(net: dict[str, np.ndarray], seen: np.ndarray, wanted: np.ndarray)
         d_own[own] += second[own] @ net["members"][g].T
     d_hidden = np.empty_like(d_own)
     d_hidden[order] = d_own
-    d_hidden = d_hidden.reshape(hidden.shape)
-    grads["back"] = flat(out).T @ flat(d_hidden)
-    d_out = d_hidden @ net["back"].T
-    share = weight / total
-    d_share = np.matmul(d_out, v.transpose(0, 2, 1))
-    d_score = share * (d_share - (d_share * share).sum(axis=2, keepdims=True))
+    grads["back"] = flat(out).T @ d_hidden
+    d_out = (d_hidden @ net["back"].T).reshape(out.shape)
+    share = weight
+    share /= total
+    d_score = np.matmul(d_out, v.transpose(0, 2, 1))
+    d_score -= _row_sums(d_out * out)[:, :, None]
+    d_score *= share
     d_v, d_k = np.matmul(share.transpose(0, 2, 1), d_out), np.matmul(d_score.transpose(0, 2, 1), q)
-    d_q = np.zeros_like(x)
-    d_q[:, last] = np.matmul(d_score, k)
-    d_x = d_q @ net["query"].T + d_k @ net["key"].T + d_v @ net["value"].T
-    d_x[:, last] += d_hidden
-    for name, d in (("query", d_q), ("key", d_k), ("value", d_v)):
-        grads[name] = flat(x).T @ flat(d)
-    grads["place"] = d_x.sum(axis=0)
-    grads["embed"] = np.zeros_like(net["embed"])
-    np.add.at(grads["embed"], seen.ravel(), flat(d_x))
+    d_q = np.matmul(d_score, k)
+    d_x = flat(d_k) @ net["key"].T
+    d_x += flat(d_v) @ net["value"].T
+    d_x = d_x.reshape(x.shape)
+    d_x[:, last] += (flat(d_q) @ net["query"].T + d_hidden).reshape(q.shape)
+    for name, of, d in (("query", x[:, last], d_q), ("key", x, d_k), ("value", x, d_v)):
+        grads[name] = flat(of).T @ flat(d)
+    grads["place"] = (np.ones(len(d_x), d_x.dtype) @ d_x.reshape(len(d_x), -1)).reshape(WINDOW, WIDTH)
+    grads["embed"] = _added_rows(seen.ravel(), flat(d_x), CLASSES)
     return grads
 
 
@@ -254,21 +271,40 @@ def started(pairs: np.ndarray, seed: int = 7) -> dict[str, np.ndarray]:
 def stepped(
     net: dict[str, np.ndarray], lines: list[np.ndarray], classes: np.ndarray, steps: int, batch: int, seed, done: float = 0, upto: float = 1
 ) -> dict[str, np.ndarray]:
-    """Weights after ``steps`` of Adam on windows of the texts, while training goes from the share ``done`` to ``upto``."""
-    rng = np.random.default_rng(seed)
+    """Weights after ``steps`` of Adam on windows of the texts, while training goes from the share ``done`` to ``upto``.
+
+    The windows are dealt in random order, each once before any comes again.
+    """
     inputs, targets, _ = windows(lines)
-    mean, square = ({n: np.zeros_like(w) for n, w in net.items()} for _ in range(2))
-    net = dict(net)
+    return _stepped(net, inputs, targets, classes, steps, batch, seed, done, upto)
+
+
+def _stepped(net: dict, inputs: np.ndarray, targets: np.ndarray, classes: np.ndarray, steps: int, batch: int, seed, done: float, upto: float) -> dict:
+    rng = np.random.default_rng(seed)
+    passes = -(-steps * batch // len(inputs))
+    order = np.concatenate([rng.permutation(len(inputs)) for _ in range(passes)])
+    flat = np.concatenate([w.ravel() for w in net.values()]).astype(np.float32)
+    edges = np.cumsum([w.size for w in net.values()])[:-1]
+    net = {n: x.reshape(w.shape) for (n, w), x in zip(net.items(), np.split(flat, edges))}
+    slow = np.concatenate([np.full(w.size, 0.1 if n.endswith("pairs") else 1, np.float32) for n, w in net.items()])
+    mean, square = np.zeros_like(flat), np.zeros_like(flat)
     for step in range(1, steps + 1):
-        own = rng.integers(0, len(inputs), batch)
-        seen, wanted = classes[inputs[own]], np.where(targets[own] >= 0, classes[targets[own]], -1)
+        own = order[(step - 1) * batch : step * batch]
+        wanted = targets.take(own, axis=0)
+        seen, wanted = classes.take(inputs.take(own, axis=0)), np.where(wanted >= 0, classes.take(wanted, mode="clip"), -1)
         rate = 0.01 * min(1, step / 20) * (1 - 0.9 * (done + (upto - done) * step / steps))
-        for name, g in _gradients(net, seen, wanted).items():
-            mean[name] = 0.9 * mean[name] + 0.1 * g
-            square[name] = 0.99 * square[name] + 0.01 * g * g
-            slow = 0.1 if name.endswith("pairs") else 1.0
-            move = mean[name] / (1 - 0.9**step) / (np.sqrt(square[name] / (1 - 0.99**step)) + 1e-8)
-            net[name] = (net[name] - slow * rate * move).astype(np.float32)
+        found = _gradients(net, seen, wanted)
+        grad = np.concatenate([found[n].ravel() for n in net])
+        mean += np.float32(0.1) * (grad - mean)
+        grad *= grad
+        square += np.float32(0.01) * (grad - square)
+        np.sqrt(square, out=grad)
+        grad *= np.float32(1 / np.sqrt(1 - 0.99**step))
+        grad += np.float32(1e-8)
+        np.divide(mean, grad, out=grad)
+        grad *= slow
+        grad *= np.float32(rate / (1 - 0.9**step))
+        flat -= grad
     return net
 
 
@@ -401,18 +437,26 @@ def _summed(training: DataFrame, cells: int, add) -> np.ndarray:
     return table
 
 
+def windows_of_round(lines: list[np.ndarray], turn: int) -> tuple[np.ndarray, np.ndarray]:
+    """Inputs and targets that round ``turn`` goes through: all if they are few, else each window in one round of ``ROUNDS``."""
+    inputs, targets, _ = windows(lines)
+    own = slice(None) if len(inputs) <= LEAST_STEPS * BATCH else slice(turn, None, ROUNDS)
+    return inputs[own], targets[own]
+
+
 def _averaged(training: DataFrame, net: dict[str, np.ndarray], classes: np.ndarray, turn: int) -> dict[str, np.ndarray]:
-    """The weights after one round: each partition trains on windows of its texts, then the weighted mean is taken."""
+    """The weights after one round: each partition trains on its texts' windows of the round, then the weighted mean is taken."""
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, lines, held, drawn, own = TaskContext.get().partitionId(), [], 0, 0, net
 
         def go_on() -> None:
             nonlocal lines, held, drawn, own
-            count = sum(-(-len(x) // STRIDE) for x in lines)
-            steps = max(LEAST_STEPS, round(SHARE * count / (ROUNDS * BATCH)))
-            own = stepped(own, lines, classes, steps, BATCH, (7, turn, part, drawn), turn / ROUNDS, (turn + 1) / ROUNDS)
-            lines, held, drawn = [], 0, drawn + steps * BATCH
+            inputs, targets = windows_of_round(lines, turn)
+            batch = min(max(BATCH, len(inputs) // LEAST_STEPS), LARGEST_BATCH)
+            steps = max(0 if drawn else LEAST_STEPS, -(-len(inputs) // batch))
+            own = _stepped(own, inputs, targets, classes, steps, batch, (7, turn, part, drawn), turn / ROUNDS, (turn + 1) / ROUNDS)
+            lines, held, drawn = [], 0, drawn + len(inputs)
 
         for batch in batches:
             for at in range(0, batch.num_rows, SLICE):

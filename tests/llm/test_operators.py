@@ -378,6 +378,19 @@ def test_rows_without_an_id(spark):
     assert sorted([(r["doc_id"], r["ids"]) for r in back], key=str) == want and [r["doc_id"] for r in back] == [None] * 6 + [2, 3, 7]
 
 
+def test_training_goes_through_every_window(spark):
+    # Classes 50 to 249 stand in one window each: weights of a class that training never meets stay as they were drawn.
+    rng = np.random.default_rng(1)
+    lines = rng.integers(3, 50, (40_000, attention_scores.STRIDE)).astype(np.uint16)
+    lines[np.arange(200) * 199, 10] = np.arange(50, 250)
+    training = spark.createDataFrame([(bytearray(x.tobytes()),) for x in lines], "ids binary").coalesce(1)
+    classes = np.arange(attention_scores.CLASSES)
+    net = begun = attention_scores.started(attention_scores._class_pairs([x.astype(np.int32) for x in lines], classes))
+    for turn in range(attention_scores.ROUNDS):
+        net = attention_scores._averaged(training, net, classes, turn)
+    assert (net["embed"][50:250] != begun["embed"][50:250]).any(axis=1).all()
+
+
 def test_toxic_rows_go_by_their_own_score(spark):
     bad, good = "zorgish blatter vile scum", "a calm walk along the river today"
     rows = [(i, bad if i % 2 else good, 1 << 60) for i in range(400)] + [(None, bad, 1), (None, good, (1 << 60) + 1)]
