@@ -9,19 +9,23 @@ that gives it the longest context.
 Frequencies, what stands beside each subword (its class comes from that) and pairs of classes are counted over all training
 texts. The network is trained in ``ROUNDS`` rounds: each partition of the training texts goes on from the same weights with
 the windows of its own texts, at least ``LEAST_STEPS`` batches a round, and the weights are averaged by the number of windows.
-Every window of every training text is gone through: in one of the rounds, or in all where a partition has few. Texts are dealt to chunks of bounded size; each chunk's distinct words are found once, counted over all
-chunks and encoded once each, and come back to their chunks with count and ids. A word has one row per chunk, so no word is
-a hot key. Each text's subword ids are written once; counting, training and scoring read them.
+Every window of every training text is gone through: in one of the rounds, or in all where a partition has few. 
+Each task reads its texts in chunks of bounded size. A chunk lists its distinct words, and each of its texts becomes the
+places of its words in that list; the texts themselves are not read or moved again. The lists go to buckets by their words'
+hash: one row of words a chunk and bucket, so that no word is a hot key and buckets have bounded size. There each word is
+counted over all chunks and encoded once, and count and ids go back to the chunks. Each text's subword ids are written once;
+counting, training and scoring read them.
 """
 
 from __future__ import annotations
 
-from collections import Counter
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -45,8 +49,11 @@ HELD = 4_000_000
 PIECES = 64
 
 
-def words_of(text: bytes) -> list[bytes]:
-    return text.lower().split()
+def words_of(texts: pa.Array) -> pa.ListArray:
+    """The words of each text, and an empty one as its end."""
+    plain = pc.ascii_trim_whitespace(pc.ascii_lower(texts))
+    # A separator after the last word makes an empty string follow it.
+    return pc.ascii_split_whitespace(pc.if_else(pc.equal(plain, ""), "", pc.binary_join_element_wise(plain, "", " ")))
 
 
 @dataclass(frozen=True)
@@ -58,8 +65,8 @@ class Weights:
     net: dict[str, np.ndarray]
 
 
-def windows(lines: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Inputs (window, WINDOW), targets (window, STRIDE; -1 where there is none) and each window's text number."""
+def windows(lines: list[np.ndarray], own: slice = slice(None)) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Inputs (window, WINDOW), targets (window, STRIDE; -1 where there is none) and text number of the ``own`` windows."""
     ahead = WINDOW - STRIDE
     counts = np.array([-(-len(x) // STRIDE) for x in lines], np.int64)
     starts = np.append(0, np.cumsum(counts * STRIDE + ahead))
@@ -69,8 +76,8 @@ def windows(lines: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray
         targets[at + ahead : at + ahead + len(ids)] = ids
     owner = np.repeat(np.arange(len(lines)), counts)
     first = starts[owner] + (np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)) * STRIDE
-    place = first[:, None] + np.arange(WINDOW)
-    return inputs[place], targets[place[:, ahead:]], owner
+    place = first[own, None] + np.arange(WINDOW)
+    return inputs[place], targets[place[:, ahead:]], owner[own]
 
 
 MASK = np.tril(np.ones((WINDOW, WINDOW), np.float32))
@@ -333,77 +340,118 @@ def _encoder(model: str):
 
     def encode(words: list[bytes]) -> list[bytes]:
         found = pieces.plain.encode(["▁" + w.decode(errors="replace") for w in words], num_threads=1)
-        return [np.array(ids if w else [END], np.int32).tobytes() for w, ids in zip(words, found)]
+        return [np.array(ids if w else [END], np.uint16).tobytes() for w, ids in zip(words, found)]
 
     return encode
 
 
-def words_of_chunks(dealt: DataFrame) -> DataFrame:
-    """(chunk, word, n): the words of each chunk's texts, and how often its training texts hold them; ends as empty words."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, Counter[bytes]] = {}
-
-        def out() -> Iterator[pa.RecordBatch]:
-            for chunk, own in held.items():
-                columns = [np.full(len(own), chunk, np.int32), pa.array(list(own.keys()), pa.binary()), list(own.values())]
-                yield pa.record_batch([pa.array(c) for c in columns], names=["chunk", "word", "n"])
-            held.clear()
-
-        for batch in batches:
-            texts = batch["text"].cast(pa.binary()).to_pylist()
-            for chunk, text, trains in zip(batch["chunk"].to_pylist(), texts, batch["trains"].to_pylist()):
-                own, words = held.setdefault(chunk, Counter()), words_of(text)
-                words.append(b"")
-                if trains:
-                    own.update(words)
-                else:
-                    own.update(dict.fromkeys(words, 0))
-            if sum(map(len, held.values())) > 500_000:
-                yield from out()
-        yield from out()
-
-    asked = dealt.select("chunk", "text", "trains").mapInArrow(count, "chunk int, word binary, n long")
-    return asked.groupBy("chunk", "word").agg(F.sum("n").alias("n"))
-
-
-def encoded_words(asked: DataFrame, model: str) -> DataFrame:
-    """(word, n, ids): each word of all texts once, its number in training texts (0: in none) and its packed subword ids."""
-
-    def encode_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = _encoder(model)
-        for batch in batches:
-            ids = pa.array(encode(batch["word"].to_pylist()), pa.binary())
-            yield pa.record_batch([batch["word"], batch["n"], ids], names=["word", "n", "ids"])
-
-    counts = asked.groupBy("word").agg(F.sum("n").alias("n"))
-    return counts.mapInArrow(encode_all, "word binary, n long, ids binary")
-
-
-def _subword_counts(counts: DataFrame, vocabulary: int) -> np.ndarray:
-    """How often each subword occurs in the training texts; one number per entry of the vocabulary."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(vocabulary, np.int64)
-        for batch in batches:
-            edges, ids = _packed(batch["ids"])
-            total += np.bincount(ids, np.repeat(batch["n"].to_numpy(), np.diff(edges)), vocabulary).astype(np.int64)
-        held = np.flatnonzero(total)
-        yield pa.record_batch([pa.array(held), pa.array(total[held])], names=["id", "n"])
-
-    table = np.zeros(vocabulary)
-    found = counts.filter("n > 0").select("n", "ids").mapInArrow(count, "id long, n long")
-    for i, n in found.groupBy("id").agg(F.sum("n")).collect():  # at most one row per entry of the vocabulary
-        table[i] = n
-    return table
+def _planes(numbers: np.ndarray) -> bytes:
+    """The first bytes of all numbers, then their second ones and so on: small numbers are packed better so."""
+    return numbers.view(np.uint8).reshape(len(numbers), -1).T.tobytes()
+
+
+def _from_planes(rows: list[bytes], kind: type) -> list[np.ndarray]:
+    width = np.dtype(kind).itemsize
+    return [np.ascontiguousarray(np.frombuffer(x, np.uint8).reshape(width, -1).T).view(kind).ravel() for x in rows]
+
+
+def _cut(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.Table]:
+    """The rows in tables of at most ``most`` bytes of text, or of one longer text."""
+    held: list[pa.RecordBatch] = []
+    room = most
+    for batch in batches:
+        ends = np.append(0, np.cumsum(pc.binary_length(batch["text"]).to_numpy(zero_copy_only=False), dtype=np.int64))
+        at = 0
+        while at < batch.num_rows:
+            upto = int(np.searchsorted(ends, ends[at] + room, "right")) - 1
+            if upto == at and not held:
+                upto += 1
+            if upto > at:
+                held.append(batch.slice(at, upto - at))
+                room -= ends[upto] - ends[at]
+            if upto < batch.num_rows or room <= 0:
+                yield pa.Table.from_batches(held)
+                held, room = [], most
+            at = upto
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def chunks_of(rows: DataFrame, buckets: int) -> DataFrame:
+    """Rows of two kinds, all with their ``chunk``.
+
+    Of each text: (id, trains, places), where its words and its end stand in the chunk's list of distinct words. Of each
+    chunk and ``bucket``: (words, at, n), words of that list strung together with spaces, where they stand in it, and how
+    often the chunk's training texts hold them.
+    """
 
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part = TaskContext.get().partitionId() << 32
+        for number, table in enumerate(_cut(batches, CHUNK_BYTES)):
+            lists = words_of(table["text"].combine_chunks())
+            found = lists.flatten().dictionary_encode()
+            place, words = found.indices.to_numpy(), found.dictionary.cast(pa.binary()).to_pylist()
+            size, trains = pc.list_value_length(lists).to_numpy(), table["trains"].combine_chunks()
+            places = pa.array([_planes(x) for x in np.split(place.astype(np.int32), np.cumsum(size)[:-1])], pa.binary())
+            n = np.bincount(place[np.repeat(trains.to_numpy(zero_copy_only=False).astype(bool), size)], minlength=len(words))
+            bucket = np.fromiter(map(zlib.crc32, words), np.uint32, len(words)) % buckets
+            order = np.argsort(bucket, kind="stable").astype(np.int32)
+            own, first = np.unique(bucket[order], return_index=True)
+            parts = np.split(order, first[1:])
+            ids = table["id"].combine_chunks()
+            for count, columns in (
+                (len(lists), {"id": ids, "trains": trains, "places": places}),
+                (
+                    len(own),
+                    {
+                        "bucket": pa.array(own.astype(np.int32)),
+                        "words": pa.array([b" ".join([words[i] for i in p]) for p in parts], pa.binary()),
+                        "at": pa.array([_planes(p) for p in parts], pa.binary()),
+                        "n": pa.array([_planes(n[p].astype(np.int64)) for p in parts], pa.binary()),
+                    },
+                ),
+            ):
+                columns["chunk"] = pa.array(np.full(count, part + number))
+                kinds = {"chunk": pa.int64(), "id": ids.type, "trains": pa.bool_(), "places": pa.binary()}
+                kinds |= {"bucket": pa.int32(), "words": pa.binary(), "at": pa.binary(), "n": pa.binary()}
+                yield pa.record_batch([columns.get(c, pa.nulls(count, t)) for c, t in kinds.items()], names=list(kinds))
+
+    kept = f"chunk long, id {dict(rows.dtypes)['id']}, trains boolean, places binary, bucket int, words binary, at binary, n binary"
+    return rows.mapInArrow(cut, kept)
+
+
+def counted_words(chunks: DataFrame, model: str) -> DataFrame:
+    """(chunk, at, n, sizes, ids, total, kinds): words' numbers in the training texts of all chunks and their subword ids.
+
+    ``total`` and ``kinds`` are a bucket's words in training texts, repeated and not, and stand in one of its rows.
+    """
 
-def _packed(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    def count(table: pa.Table) -> pa.Table:
+        lists = [x.split(b" ") for x in table["words"].to_pylist()]
+        found = pa.array([w for words in lists for w in words], pa.binary()).dictionary_encode()
+        code, words = found.indices.to_numpy(), found.dictionary.to_pylist()
+        # Whole numbers below 2 ** 53 are exact here.
+        n = np.bincount(code, np.concatenate(_from_planes(table["n"].to_pylist(), np.int64)), len(words)).astype(np.int64)
+        edges, ids = _packed(_encoder(model)(words))
+        ends = np.cumsum([len(words) for words in lists])
+        columns: dict[str, list[bytes]] = {"n": [], "sizes": [], "ids": []}
+        for own in np.split(code, ends[:-1]):
+            line, begins = _gathered(own, edges, ids)
+            for name, x in (("n", n[own]), ("sizes", np.diff(begins).astype(np.int32)), ("ids", line)):
+                columns[name].append(_planes(x))
+        packed = {name: pa.array(x, pa.binary()) for name, x in columns.items()}
+        once = {name: np.append(x, np.zeros(len(lists) - 1, np.int64)) for name, x in (("total", n.sum()), ("kinds", (n > 0).sum()))}
+        return pa.table({"chunk": table["chunk"], "at": table["at"]} | packed | once)
+
+    asked = chunks.filter("bucket is not null").select("chunk", "bucket", "words", "at", "n")
+    return asked.groupBy("bucket").applyInArrow(count, "chunk long, at binary, n binary, sizes binary, ids binary, total long, kinds long")
+
+
+def _packed(rows: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Where each row's ids begin (and the last ends), and all ids."""
-    rows = column.to_pylist()
     edges = np.zeros(len(rows) + 1, np.int64)
-    np.cumsum([len(x) // 4 for x in rows], out=edges[1:])
-    return edges, np.frombuffer(b"".join(rows), np.int32)
+    np.cumsum(np.fromiter(map(len, rows), np.int64, len(rows)) // 2, out=edges[1:])
+    return edges, np.frombuffer(b"".join(rows), np.uint16)
 
 
 def _gathered(rows: np.ndarray, edges: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -439,9 +487,8 @@ def _summed(training: DataFrame, cells: int, add) -> np.ndarray:
 
 def windows_of_round(lines: list[np.ndarray], turn: int) -> tuple[np.ndarray, np.ndarray]:
     """Inputs and targets that round ``turn`` goes through: all if they are few, else each window in one round of ``ROUNDS``."""
-    inputs, targets, _ = windows(lines)
-    own = slice(None) if len(inputs) <= LEAST_STEPS * BATCH else slice(turn, None, ROUNDS)
-    return inputs[own], targets[own]
+    few = sum(-(-len(x) // STRIDE) for x in lines) <= LEAST_STEPS * BATCH
+    return windows(lines, slice(None) if few else slice(turn, None, ROUNDS))[:2]
 
 
 def _averaged(training: DataFrame, net: dict[str, np.ndarray], classes: np.ndarray, turn: int) -> dict[str, np.ndarray]:
@@ -486,12 +533,13 @@ def _averaged(training: DataFrame, net: dict[str, np.ndarray], classes: np.ndarr
     return {n: x.reshape(w.shape) for (n, w), x in zip(net.items(), np.split(flat, edges))}
 
 
-def fit(training: DataFrame, counts: DataFrame, model: str) -> Weights:
+def fit(training: DataFrame, model: str) -> Weights:
     """Classes, shares and network from all training texts (ids)."""
     vocabulary = pieces_of(model).library.get_piece_size()
-    if vocabulary > 1 << 16:
-        raise ValueError("subword ids are kept in two bytes")
-    total = _subword_counts(counts, vocabulary)
+    def add_subwords(table: np.ndarray, lines: list[np.ndarray]) -> None:
+        table += np.bincount(np.concatenate(lines), minlength=vocabulary).astype(np.int32)
+
+    total = _summed(training, vocabulary, add_subwords)
     places = _places(total)
     neighbours = None
     if len(places.rest) > CLASSES - 1 - SINGLES:
@@ -525,35 +573,34 @@ def scored(
     """
     rows = docs.select(F.col(id_column).alias("id"), text_or_empty(F.col(text_column)).alias("text"), trains.alias("trains"))
     size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    chunks = max(1, -(-size // CHUNK_BYTES))
+    buckets = max(1, -(-size // CHUNK_BYTES))
     with shuffle_files_removed(docs.sparkSession):
-        return _scored(rows, chunks, model).withColumnRenamed("id", id_column)
+        return _scored(rows, buckets, model).withColumnRenamed("id", id_column)
 
 
-def _scored(rows: DataFrame, chunks: int, model: str) -> DataFrame:
-    # Not written: texts are read, and moved, once more for their ids, and need no second copy beside their shuffle.
-    chunk = F.pmod(F.xxhash64("id", "text"), F.lit(chunks)).cast("int")
-    dealt = rows.withColumn("chunk", chunk).repartition(chunks, "chunk")
-    asked = stored(words_of_chunks(dealt), "lm-words")
-    counts = stored(encoded_words(asked, model), "lm-counts")
-    total, kinds = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count_if(F.col("n") > 0)).first()
-    tables = asked.select("chunk", "word").join(counts, "word")
+def _scored(rows: DataFrame, buckets: int, model: str) -> DataFrame:
+    if pieces_of(model).library.get_piece_size() > 1 << 16:
+        raise ValueError("subword ids are kept in two bytes")
+    chunks = stored(chunks_of(rows, buckets), "lm-chunks")
+    words = stored(counted_words(chunks, model), "lm-words")
+    total, kinds = words.agg(*(F.coalesce(F.sum(c), F.lit(0)) for c in ("total", "kinds"))).first()
 
     def encode(texts: pa.Table, table: pa.Table) -> pa.Table:
-        n = table["n"].to_numpy()
-        index = dict(zip(table["word"].to_pylist(), range(len(n))))
-        edges, ids = _packed(table["ids"])
+        at, n, sizes, ids = (
+            np.concatenate(_from_planes(table[c].to_pylist(), kind))
+            for c, kind in (("at", np.int32), ("n", np.int64), ("sizes", np.int32), ("ids", np.uint16))
+        )
+        edges = np.append(0, np.cumsum(sizes, dtype=np.int64))
+        row_of = np.empty(len(at), np.int64)
+        row_of[at] = np.arange(len(at))
         log = np.log10(n + 1) - np.log10(total + kinds + 1)
         found = []
-        for at in range(0, len(texts), SLICE):
-            own = [words_of(t) for t in texts["text"].slice(at, SLICE).cast(pa.binary()).to_pylist()]
-            for words in own:
-                words.append(b"")
-            size = np.array([len(words) for words in own])
-            row = np.fromiter((index[w] for words in own for w in words), np.int64, size.sum())
-            first = np.cumsum(size) - size
-            line, begins = _gathered(row, edges, ids)
-            packed = [x.astype(np.uint16).tobytes() for x in np.split(line, begins[first[1:]])]
+        for begin in range(0, len(texts), SLICE):
+            places = _from_planes(texts["places"].slice(begin, SLICE).to_pylist(), np.int32)
+            size = np.array([len(x) for x in places])
+            row, first = row_of[np.concatenate(places)], np.cumsum(size) - size
+            line, starts = _gathered(row, edges, ids)
+            packed = [x.tobytes() for x in np.split(line, starts[first[1:]])]
             n_known = np.add.reduceat((n[row] > 0).astype(np.int64), first)
             found.append((size, n_known, np.add.reduceat(log[row], first), np.array(packed, object)))
         n_tokens, n_known, base, packed = (pa.array(np.concatenate(c)) for c in zip(*found))
@@ -563,15 +610,15 @@ def _scored(rows: DataFrame, chunks: int, model: str) -> DataFrame:
 
     kept = f"id {dict(rows.dtypes)['id']}, %sn_tokens long, n_known long, train_tokens long, base_score double"
     encoded = (
-        dealt.select("chunk", "id", "text", "trains")
+        chunks.filter("bucket is null")
+        .select("chunk", "id", "trains", "places")
         .groupBy("chunk")
-        .cogroup(tables.groupBy("chunk"))
+        .cogroup(words.select("chunk", "at", "n", "sizes", "ids").groupBy("chunk"))
         .applyInArrow(encode, kept % "trains boolean, " + ", ids binary")
     )
     encoded = stored(encoded, "lm-ids")
-    released(asked)
-    weights = fit(encoded.filter("trains"), counts, model)
-    released(counts)
+    released(chunks, words)
+    weights = fit(encoded.filter("trains"), model)
     names = ["id", "n_tokens", "n_known", "train_tokens", "base_score"]
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -5,9 +5,11 @@ import math
 import random
 import tempfile
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
@@ -391,6 +393,32 @@ def test_training_goes_through_every_window(spark):
     assert (net["embed"][50:250] != begun["embed"][50:250]).any(axis=1).all()
 
 
+def test_words_move_in_lists(spark, monkeypatch):
+    rng = random.Random(5)
+    texts = [" ".join(f"W{rng.randrange(3_000)}" for _ in range(200)) for _ in range(40)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    held, real = [], attention_scores.stored
+    monkeypatch.setattr(attention_scores, "stored", lambda df, name: held.append(real(df, name)) or held[-1])
+    monkeypatch.setattr(attention_scores, "released", lambda *tables: None)
+    monkeypatch.setattr(attention_scores, "CHUNK_BYTES", 10_000)  # two chunks a partition, five buckets
+    rows = attention_scores.scored(docs, F.col("doc_id") % 2 == 0, PIECES).collect()
+    assert max(t.count() for t in held) <= 40 + 8 * 5
+    counts = Counter(w for t in texts[::2] for w in [*t.lower().split(), ""])
+    under = sum(counts.values()) + len(counts) + 1
+    for r in rows:
+        words = [*texts[r["doc_id"]].lower().split(), ""]
+        assert (r["n_tokens"], r["n_known"], r["train_tokens"]) == (201, sum(w in counts for w in words), 20 * 201)
+        assert math.isclose(r["base_score"], sum(math.log10((counts[w] + 1) / under) for w in words))
+
+
+def test_texts_are_cut_into_chunks_whole():
+    sizes = [3, 9, 0, 1, 20, 2, 0, 10, 5, 5, 1]
+    texts = [chr(97 + i) * n for i, n in enumerate(sizes)]
+    batches = [pa.record_batch({"text": pa.array(texts[i : i + 3], pa.string())}) for i in range(0, len(texts), 3)]
+    found = [t["text"].to_pylist() for t in attention_scores._cut(iter(batches), 10)]
+    assert [x for part in found for x in part] == texts and all(len(part) == 1 or len("".join(part)) <= 10 for part in found)
+
+
 def test_toxic_rows_go_by_their_own_score(spark):
     bad, good = "zorgish blatter vile scum", "a calm walk along the river today"
     rows = [(i, bad if i % 2 else good, 1 << 60) for i in range(400)] + [(None, bad, 1), (None, good, (1 << 60) + 1)]
