@@ -19,6 +19,7 @@ counting, training and scoring read them.
 
 from __future__ import annotations
 
+import functools
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -40,11 +41,15 @@ CLASSES, SINGLES, CONTEXT = 256, 200, 256
 GROUPS = 16
 MEMBERS = CLASSES // GROUPS
 CHUNK_BYTES = 16_000_000
-SLICE = 64
+SLICE, WORDS_AT_ONCE = 64, 4_096
 #: A partition takes at least so many steps a round; where it has windows for more, batches grow first.
 ROUNDS, LEAST_STEPS, BATCH, LARGEST_BATCH = 4, 250, 32, 512
 #: So many subwords are held at a time in training, and their windows gone through.
 HELD = 4_000_000
+#: So many windows' gradients are worked out at a time.
+AT_ONCE = 256
+#: So many weights are changed at a time.
+CELLS_AT_ONCE = 8_192
 #: The weights are averaged in so many pieces.
 PIECES = 64
 
@@ -80,40 +85,45 @@ def windows(lines: list[np.ndarray], own: slice = slice(None)) -> tuple[np.ndarr
     return inputs[place], targets[place[:, ahead:]], owner[own]
 
 
-MASK = np.tril(np.ones((WINDOW, WINDOW), np.float32))
+#: The places of a window that are scored.
+SCORED = slice(WINDOW - STRIDE, WINDOW)
+#: Of each scored place and each place: 40, so that no exponential overflows, or what makes the weight of a later place 0.
+LIMIT = np.where(np.tril(np.ones((WINDOW, WINDOW))), 40, -np.inf).astype(np.float32)[SCORED]
 
 
 def attended(net: dict[str, np.ndarray], seen: np.ndarray) -> tuple:
-    """The hidden state of the last STRIDE places of each window, and what the gradients need."""
-    last = slice(WINDOW - STRIDE, WINDOW)
+    """The hidden state of the last STRIDE places of each window, and what the gradients need.
+
+    Keys and values are as wide as places, so query and key are multiplied first, and value and back.
+    """
     x = net["embed"].take(seen, axis=0)
     x += net["place"]
-    flat = x.reshape(-1, WIDTH)
-    k, v = ((flat @ net[name]).reshape(x.shape) for name in ("key", "value"))
-    own = x[:, last].reshape(-1, WIDTH)
-    q = (own @ net["query"]).reshape(-1, STRIDE, WIDTH)
-    weight = np.matmul(q, k.transpose(0, 2, 1))
-    np.minimum(weight, 40, out=weight)
+    own = x[:, SCORED].reshape(-1, WIDTH)
+    turned = np.ascontiguousarray(x.transpose(0, 2, 1))  # small products with a turned view take three times as long
+    q = (own @ (net["query"] @ net["key"].T)).reshape(-1, STRIDE, WIDTH)
+    weight = np.matmul(q, turned)
+    np.minimum(weight, LIMIT, out=weight)
     np.exp(weight, out=weight)
-    weight *= MASK[last]
-    total = _row_sums(weight)[:, :, None]
-    out = np.matmul(weight, v)
-    out /= total
-    hidden = out.reshape(-1, WIDTH) @ net["back"]
+    total = _row_sums(weight.reshape(-1, WINDOW)).reshape(-1, STRIDE, 1)
+    mixed = np.matmul(weight, x)
+    mixed /= total
+    hidden = mixed.reshape(-1, WIDTH) @ (net["value"] @ net["back"])
     hidden += own
-    return hidden.reshape(q.shape), (x, q, k, v, weight, total, out)
+    return hidden, (x, own, turned, q, weight, total, mixed)
 
 
 def _row_sums(table: np.ndarray) -> np.ndarray:
     return table @ np.ones(table.shape[-1], table.dtype)
 
 
-def _added_rows(rows: np.ndarray, values: np.ndarray, size: int) -> np.ndarray:
-    """A table of ``size`` rows to which each of ``values`` has been added, at its number in ``rows``."""
-    width = values.shape[1]
-    total = np.zeros(size * width, values.dtype)
-    np.add.at(total, (rows[:, None] * width + np.arange(width)).ravel(), values.ravel())
-    return total.reshape(size, width)
+@functools.lru_cache
+def _cells(size: int, width: int) -> np.ndarray:
+    return np.arange(size * width).reshape(size, width)
+
+
+def _add_rows(total: np.ndarray, rows: np.ndarray, values: np.ndarray) -> None:
+    """Add to ``total`` each of ``values`` at its number in ``rows``."""
+    np.add.at(total.reshape(-1), _cells(*total.shape).take(rows, axis=0).ravel(), values.ravel())
 
 
 def levels(net: dict[str, np.ndarray], hidden: np.ndarray, before: np.ndarray, wanted: np.ndarray) -> tuple:
@@ -125,13 +135,14 @@ def levels(net: dict[str, np.ndarray], hidden: np.ndarray, before: np.ndarray, w
     order = np.argsort(group, kind="stable")
     hidden, before, group = hidden.take(order, axis=0), before.take(order), group.take(order)
     edges = np.searchsorted(group, np.arange(GROUPS + 1))
-    row = before * GROUPS + group
+    row = group * np.int64(CLASSES) + before
     first = hidden @ net["groups"]
     first += net["group_pairs"].take(before, axis=0)
-    second = net["pairs"].take(row, axis=0)
+    second = np.empty((len(hidden), MEMBERS), hidden.dtype)
     for g in range(GROUPS):
         own = slice(edges[g], edges[g + 1])
-        second[own] += hidden[own] @ net["members"][g]
+        np.matmul(hidden[own], net["members"][g], out=second[own])
+    second += net["pairs"].take(row, axis=0)
     for logits in (first, second):
         np.clip(logits, -60, 60, out=logits)
     return order, edges, hidden, before, row, first, second
@@ -140,10 +151,10 @@ def levels(net: dict[str, np.ndarray], hidden: np.ndarray, before: np.ndarray, w
 def class_log_probability(net: dict[str, np.ndarray], seen: np.ndarray, wanted: np.ndarray) -> np.ndarray:
     """Natural log P of the wanted class at the last STRIDE places of each window: its group's, and its share in the group."""
     hidden, _ = attended(net, seen)
-    before, wanted = seen[:, WINDOW - STRIDE :].ravel(), wanted.ravel()
-    order, _, _, _, _, first, second = levels(net, hidden.reshape(-1, WIDTH), before, wanted)
-    at, wanted = np.arange(len(order)), wanted[order]
-    found = first[at, wanted // MEMBERS] + second[at, wanted % MEMBERS]
+    before, wanted = seen[:, SCORED].ravel(), wanted.ravel()
+    order, _, _, _, _, first, second = levels(net, hidden, before, wanted)
+    at, wanted = np.arange(len(order)), wanted.take(order)
+    found = first.take(at * GROUPS + wanted // MEMBERS) + second.take(at * MEMBERS + wanted % MEMBERS)
     for logits in (first, second):
         np.exp(logits, out=logits)
         found -= np.log(_row_sums(logits))
@@ -153,44 +164,59 @@ def class_log_probability(net: dict[str, np.ndarray], seen: np.ndarray, wanted:
 
 
 def _gradients(net: dict[str, np.ndarray], seen: np.ndarray, wanted: np.ndarray) -> dict[str, np.ndarray]:
-    last = slice(WINDOW - STRIDE, WINDOW)
-    hidden, (x, q, k, v, weight, total, out) = attended(net, seen)
+    grads = {name: np.zeros_like(w) for name, w in net.items()}
+    _add_gradients(grads, net, seen, wanted)
+    return grads
+
+
+def _add_gradients(grads: dict[str, np.ndarray], net: dict[str, np.ndarray], seen: np.ndarray, wanted: np.ndarray) -> None:
+    """Add the batch's gradients to ``grads``, ``AT_ONCE`` windows at a time, whose tables stay in a core's cache."""
+    share = net["embed"].dtype.type(1 / max(1, np.count_nonzero(wanted >= 0)))
+    for at in range(0, len(seen), AT_ONCE):
+        _add_part(grads, net, seen[at : at + AT_ONCE], wanted[at : at + AT_ONCE].ravel(), share)
+
+
+def _add_part(grads: dict[str, np.ndarray], net: dict[str, np.ndarray], seen: np.ndarray, wanted: np.ndarray, share) -> None:
+    hidden, (x, own, turned, q, weight, total, mixed) = attended(net, seen)
     flat = lambda a: a.reshape(-1, a.shape[-1])
-    want = np.maximum(wanted.ravel(), 0)
-    order, edges, own_hidden, before, row, first, second = levels(net, flat(hidden), seen[:, last].ravel(), want)
-    known, want = wanted.ravel()[order] >= 0, want[order]
-    each, at = known / hidden.dtype.type(max(1, known.sum())), np.arange(len(order))
+    order, edges, hidden, before, row, first, second = levels(net, hidden, seen[:, SCORED].ravel(), np.maximum(wanted, 0))
+    wanted = wanted.take(order)
+    each, want, at = (wanted >= 0) * share, np.maximum(wanted, 0), np.arange(len(order))
     for logits, one in ((first, want // MEMBERS), (second, want % MEMBERS)):
         np.exp(logits, out=logits)
         logits *= (each / _row_sums(logits))[:, None]
-        logits[at, one] -= each
-    grads = {"group_pairs": _added_rows(before, first, CLASSES), "pairs": _added_rows(row, second, CLASSES * GROUPS)}
-    grads |= {"groups": own_hidden.T @ first, "members": np.zeros_like(net["members"])}
-    d_own = first @ net["groups"].T
+        logits.reshape(-1)[at * logits.shape[1] + one] -= each
+    _add_rows(grads["group_pairs"], before, first)
+    _add_rows(grads["pairs"], row, second)
+    grads["groups"] += hidden.T @ first
+    d_sorted = np.empty_like(hidden)
     for g in range(GROUPS):
-        own = slice(edges[g], edges[g + 1])
-        grads["members"][g] = own_hidden[own].T @ second[own]
-        d_own[own] += second[own] @ net["members"][g].T
-    d_hidden = np.empty_like(d_own)
-    d_hidden[order] = d_own
-    grads["back"] = flat(out).T @ d_hidden
-    d_out = (d_hidden @ net["back"].T).reshape(out.shape)
-    share = weight
-    share /= total
-    d_score = np.matmul(d_out, v.transpose(0, 2, 1))
-    d_score -= _row_sums(d_out * out)[:, :, None]
-    d_score *= share
-    d_v, d_k = np.matmul(share.transpose(0, 2, 1), d_out), np.matmul(d_score.transpose(0, 2, 1), q)
-    d_q = np.matmul(d_score, k)
-    d_x = flat(d_k) @ net["key"].T
-    d_x += flat(d_v) @ net["value"].T
-    d_x = d_x.reshape(x.shape)
-    d_x[:, last] += (flat(d_q) @ net["query"].T + d_hidden).reshape(q.shape)
-    for name, of, d in (("query", x[:, last], d_q), ("key", x, d_k), ("value", x, d_v)):
-        grads[name] = flat(of).T @ flat(d)
-    grads["place"] = (np.ones(len(d_x), d_x.dtype) @ d_x.reshape(len(d_x), -1)).reshape(WINDOW, WIDTH)
-    grads["embed"] = _added_rows(seen.ravel(), flat(d_x), CLASSES)
-    return grads
+        part = slice(edges[g], edges[g + 1])
+        grads["members"][g] += hidden[part].T @ second[part]
+        np.matmul(second[part], net["members"][g].T, out=d_sorted[part])
+    d_sorted += first @ net["groups"].T
+    back = np.empty_like(order)
+    back[order] = at
+    d_hidden = d_sorted.take(back, axis=0)
+    d_product = flat(mixed).T @ d_hidden
+    grads["value"] += d_product @ net["back"].T
+    grads["back"] += net["value"].T @ d_product
+    d_mixed = (d_hidden @ (net["value"] @ net["back"]).T).reshape(mixed.shape)
+    d_mixed /= total
+    d_score = np.matmul(d_mixed, turned)
+    mixed *= d_mixed
+    d_score -= _row_sums(flat(mixed)).reshape(total.shape)
+    d_score *= weight
+    d_x = np.matmul(weight.transpose(0, 2, 1), d_mixed)
+    d_x += np.matmul(d_score.transpose(0, 2, 1), q)
+    d_q = flat(np.matmul(d_score, x))
+    d_product = own.T @ d_q
+    grads["query"] += d_product @ net["key"]
+    grads["key"] += d_product.T @ net["query"]
+    d_hidden += d_q @ (net["key"] @ net["query"].T)
+    d_x[:, SCORED] += d_hidden.reshape(q.shape)
+    grads["place"] += (np.ones(len(d_x), d_x.dtype) @ d_x.reshape(len(d_x), -1)).reshape(WINDOW, WIDTH)
+    _add_rows(grads["embed"], seen.ravel(), flat(d_x))
 
 
 @dataclass(frozen=True)
@@ -222,8 +248,9 @@ def _add_neighbours(total: np.ndarray, lines: list[np.ndarray], places: Places)
     row, column = places.row, places.column
     left, right = np.concatenate([x[:-1] for x in lines]), np.concatenate([x[1:] for x in lines])
     for here, there, shift in ((left, right, 0), (right, left, CONTEXT)):
-        good = (row[here] >= 0) & (column[there] >= 0)
-        np.add.at(total, (row[here[good]], column[there[good]] + shift), 1)
+        good = np.flatnonzero((row.take(here) >= 0) & (column.take(there) >= 0))
+        cell = row.take(here.take(good)) * total.shape[1] + (column.take(there.take(good)) + shift)
+        np.add.at(total.reshape(-1), cell, np.ones(len(cell), total.dtype))
 
 
 def _class_table(places: Places, neighbours: np.ndarray | None) -> np.ndarray:
@@ -271,7 +298,8 @@ def started(pairs: np.ndarray, seed: int = 7) -> dict[str, np.ndarray]:
     pairs = (pairs + 0.5).reshape(CLASSES, GROUPS, MEMBERS)
     of_group = pairs.sum(axis=2)
     net["group_pairs"] = np.log(of_group / of_group.sum(axis=1, keepdims=True)).astype(np.float32)
-    net["pairs"] = np.log(pairs / of_group[:, :, None]).reshape(-1, MEMBERS).astype(np.float32)
+    # Rows of one group lie together, as the gradients go group by group.
+    net["pairs"] = np.log(pairs / of_group[:, :, None]).transpose(1, 0, 2).reshape(-1, MEMBERS).astype(np.float32)
     return net
 
 
@@ -290,31 +318,44 @@ def _stepped(net: dict, inputs: np.ndarray, targets: np.ndarray, classes: np.nda
     rng = np.random.default_rng(seed)
     passes = -(-steps * batch // len(inputs))
     order = np.concatenate([rng.permutation(len(inputs)) for _ in range(passes)])
+    seen, wanted = _classes_of(inputs, targets, classes)
     flat = np.concatenate([w.ravel() for w in net.values()]).astype(np.float32)
+    grad, mean, square = np.zeros_like(flat), np.zeros_like(flat), np.zeros_like(flat)
     edges = np.cumsum([w.size for w in net.values()])[:-1]
-    net = {n: x.reshape(w.shape) for (n, w), x in zip(net.items(), np.split(flat, edges))}
+    net, grads = ({n: x.reshape(w.shape) for (n, w), x in zip(net.items(), np.split(of, edges))} for of in (flat, grad))
     slow = np.concatenate([np.full(w.size, 0.1 if n.endswith("pairs") else 1, np.float32) for n, w in net.items()])
-    mean, square = np.zeros_like(flat), np.zeros_like(flat)
+    parts = [slice(at, at + CELLS_AT_ONCE) for at in range(0, len(flat), CELLS_AT_ONCE)]
     for step in range(1, steps + 1):
         own = order[(step - 1) * batch : step * batch]
-        wanted = targets.take(own, axis=0)
-        seen, wanted = classes.take(inputs.take(own, axis=0)), np.where(wanted >= 0, classes.take(wanted, mode="clip"), -1)
         rate = 0.01 * min(1, step / 20) * (1 - 0.9 * (done + (upto - done) * step / steps))
-        found = _gradients(net, seen, wanted)
-        grad = np.concatenate([found[n].ravel() for n in net])
-        mean += np.float32(0.1) * (grad - mean)
-        grad *= grad
-        square += np.float32(0.01) * (grad - square)
-        np.sqrt(square, out=grad)
-        grad *= np.float32(1 / np.sqrt(1 - 0.99**step))
-        grad += np.float32(1e-8)
-        np.divide(mean, grad, out=grad)
-        grad *= slow
-        grad *= np.float32(rate / (1 - 0.9**step))
-        flat -= grad
+        grad.fill(0)
+        _add_gradients(grads, net, seen.take(own, axis=0).astype(np.int64), wanted.take(own, axis=0).astype(np.int64))
+        # ``mean`` and ``square`` are kept 10 and 100 times as large as Adam's.
+        larger = np.sqrt(0.01 / (1 - 0.99**step))
+        factor, least = np.float32(0.1 * rate / (1 - 0.9**step) / larger), np.float32(1e-8 / larger)
+        for part in parts:
+            g, m, v = grad[part], mean[part], square[part]
+            m *= np.float32(0.9)
+            m += g
+            g *= g
+            v *= np.float32(0.99)
+            v += g
+            np.sqrt(v, out=g)
+            g += least
+            np.divide(m, g, out=g)
+            g *= slow[part]
+            g *= factor
+            flat[part] -= g
     return net
 
 
+def _classes_of(inputs: np.ndarray, targets: np.ndarray, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Classes of inputs and targets in few bytes; -1 where there is no target."""
+    wanted = classes.astype(np.int16).take(targets, mode="clip")
+    wanted[targets < 0] = -1
+    return classes.astype(np.uint8).take(inputs), wanted
+
+
 def trained(lines: list[np.ndarray], classes: np.ndarray, steps: int = 1_000, batch: int = 128, seed: int = 7) -> dict[str, np.ndarray]:
     """Weights after ``steps`` of Adam on windows of texts held in memory."""
     net = started(_class_pairs(lines, classes), seed)
@@ -334,15 +375,20 @@ def log10_probability(weights: Weights, lines: list[np.ndarray], most: int = 256
     return score
 
 
-def _encoder(model: str):
-    """A function from distinct words to their packed subword ids; the empty word is the end of a text."""
-    pieces = pieces_of(model)
+def _encoded(proto: bytes, words: list[bytes]) -> list[bytes]:
+    """The packed subword ids of distinct words; the empty word is the end of a text.
 
-    def encode(words: list[bytes]) -> list[bytes]:
-        found = pieces.plain.encode(["▁" + w.decode(errors="replace") for w in words], num_threads=1)
-        return [np.array(ids if w else [END], np.uint16).tobytes() for w, ids in zip(words, found)]
+    The library is loaded anew for each bucket: kept in a worker, it would take memory in all later stages.
+    """
+    import sentencepiece
 
-    return encode
+    library = sentencepiece.SentencePieceProcessor(model_proto=proto)
+    packed = []
+    for at in range(0, len(words), WORDS_AT_ONCE):
+        some = words[at : at + WORDS_AT_ONCE]
+        found = library.encode(["▁" + w.decode(errors="replace") for w in some], num_threads=1)
+        packed += [np.array(ids if w else [END], np.uint16).tobytes() for w, ids in zip(some, found)]
+    return packed
 
 
 def _planes(numbers: np.ndarray) -> bytes:
@@ -377,6 +423,14 @@ def _cut(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held)
 
 
+def _numbered_words(texts: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    """How many words each text has, where these stand in the list of distinct words, and that list."""
+    lists = [words_of(part.slice(at, SLICE)) for part in texts.chunks for at in range(0, len(part), SLICE)]
+    size = np.concatenate([pc.list_value_length(x).to_numpy() for x in lists])
+    found = pa.chunked_array([x.flatten() for x in lists]).dictionary_encode().combine_chunks()
+    return size, found.indices.to_numpy(), found.dictionary.cast(pa.binary()).to_pylist()
+
+
 def chunks_of(rows: DataFrame, buckets: int) -> DataFrame:
     """Rows of two kinds, all with their ``chunk``.
 
@@ -388,19 +442,17 @@ def chunks_of(rows: DataFrame, buckets: int) -> DataFrame:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId() << 32
         for number, table in enumerate(_cut(batches, CHUNK_BYTES)):
-            lists = words_of(table["text"].combine_chunks())
-            found = lists.flatten().dictionary_encode()
-            place, words = found.indices.to_numpy(), found.dictionary.cast(pa.binary()).to_pylist()
-            size, trains = pc.list_value_length(lists).to_numpy(), table["trains"].combine_chunks()
-            places = pa.array([_planes(x) for x in np.split(place.astype(np.int32), np.cumsum(size)[:-1])], pa.binary())
+            ids, trains = table["id"].combine_chunks(), table["trains"].combine_chunks()
+            size, place, words = _numbered_words(table["text"])
+            del table
+            places = pa.array([_planes(x) for x in np.split(place, np.cumsum(size)[:-1])], pa.binary())
             n = np.bincount(place[np.repeat(trains.to_numpy(zero_copy_only=False).astype(bool), size)], minlength=len(words))
             bucket = np.fromiter(map(zlib.crc32, words), np.uint32, len(words)) % buckets
             order = np.argsort(bucket, kind="stable").astype(np.int32)
             own, first = np.unique(bucket[order], return_index=True)
             parts = np.split(order, first[1:])
-            ids = table["id"].combine_chunks()
             for count, columns in (
-                (len(lists), {"id": ids, "trains": trains, "places": places}),
+                (len(ids), {"id": ids, "trains": trains, "places": places}),
                 (
                     len(own),
                     {
@@ -426,14 +478,16 @@ def counted_words(chunks: DataFrame, model: str) -> DataFrame:
     ``total`` and ``kinds`` are a bucket's words in training texts, repeated and not, and stand in one of its rows.
     """
 
+    proto = pieces_of(model).plain.serialized_model_proto()
+
     def count(table: pa.Table) -> pa.Table:
-        lists = [x.split(b" ") for x in table["words"].to_pylist()]
-        found = pa.array([w for words in lists for w in words], pa.binary()).dictionary_encode()
+        lists = pc.split_pattern(table["words"].combine_chunks(), b" ")
+        ends = np.cumsum(pc.list_value_length(lists).to_numpy())
+        found = lists.flatten().dictionary_encode()
         code, words = found.indices.to_numpy(), found.dictionary.to_pylist()
         # Whole numbers below 2 ** 53 are exact here.
         n = np.bincount(code, np.concatenate(_from_planes(table["n"].to_pylist(), np.int64)), len(words)).astype(np.int64)
-        edges, ids = _packed(_encoder(model)(words))
-        ends = np.cumsum([len(words) for words in lists])
+        edges, ids = _packed(_encoded(proto, words))
         columns: dict[str, list[bytes]] = {"n": [], "sizes": [], "ids": []}
         for own in np.split(code, ends[:-1]):
             line, begins = _gathered(own, edges, ids)

@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import tempfile
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -445,3 +446,29 @@ def test_classes_come_from_all_training_texts(spark, monkeypatch):
     start = attention_scores.started(attention_scores._class_pairs(lines, held[0].classes))
     before = attention_scores.log10_probability(attention_scores.Weights(held[0].classes, held[0].shares, start), lines)
     assert scores["score"].mean() > before.mean() and np.isfinite(scores["score"]).all()
+
+
+def test_attention_equals_a_plain_loop_and_a_large_batch_holds_no_more_than_a_part():
+    rng = np.random.default_rng(4)
+    net = {k: v.astype(np.float64) * 3 for k, v in attention_scores.started(rng.integers(0, 9, 256 * 256)).items() if "pairs" not in k}
+    seen = rng.integers(0, 256, (3, attention_scores.WINDOW))
+    got = attention_scores.attended(net, seen)[0].reshape(3, attention_scores.STRIDE, -1)
+    ahead = attention_scores.WINDOW - attention_scores.STRIDE
+    for w, window in enumerate(seen):
+        x = net["embed"][window] + net["place"]
+        q, k, v = (x @ net[name] for name in ("query", "key", "value"))
+        for i in range(ahead, attention_scores.WINDOW):
+            share = np.exp(np.minimum(q[i] @ k[: i + 1].T, 40))
+            assert np.allclose(got[w, i - ahead], share @ v[: i + 1] / share.sum() @ net["back"] + x[i])
+    net = attention_scores.started(rng.integers(0, 9, 256 * 256))
+    seen = rng.integers(0, 256, (4_000, attention_scores.WINDOW))
+    wanted = rng.integers(-1, 256, (4_000, attention_scores.STRIDE))
+    # Gradients are means over known targets, however the batch is divided.
+    known = [(part >= 0).sum() for part in (wanted[:1_000], wanted[1_000:])]
+    parts = [attention_scores._gradients(net, *x) for x in ((seen[:1_000], wanted[:1_000]), (seen[1_000:], wanted[1_000:]))]
+    tracemalloc.start()
+    whole = attention_scores._gradients(net, seen, wanted)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert all(np.allclose(whole[n], np.average([p[n] for p in parts], axis=0, weights=known), atol=1e-5) for n in net)
+    assert peak < 24_000_000
